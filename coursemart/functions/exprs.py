@@ -67,6 +67,21 @@ def exact_avg(x) -> Column:
     return F.sum(col(x)).cast("double") / F.nullif(F.count(col(x)), F.lit(0))
 
 
+def cents_sum_count(x, digits: int = 2) -> tuple[Column, Column]:
+    """Aggregate parts of an exact average of values that carry ``digits`` decimals:
+    (sum of integer units, count). Finish with ``exact_round_avg``."""
+    units = F.round(col(x).cast("double") * F.lit(float(10 ** digits)), 0).cast("bigint")
+    return F.sum(units), F.count(units)
+
+
+def exact_round_avg(s: str, c: str, digits: int = 2) -> Column:
+    """round(avg, digits) from ``cents_sum_count`` parts (named columns ``s``, ``c``), half
+    away from zero, in integer arithmetic: the result does not depend on the order the
+    values were summed in (a DOUBLE sum can land either side of an .xx5 tie)."""
+    units = F.expr(f"signum({s}) * ((2 * abs({s}) + {c}) div (2 * {c}))")
+    return F.when(F.col(c) > 0, units / F.lit(float(10 ** digits)))
+
+
 def completed_years(end, start) -> Column:
     """Whole calendar years from ``start`` to ``end`` (extract(year from age(end, start))).
 

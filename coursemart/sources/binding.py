@@ -254,3 +254,26 @@ raw_assessment_results as (
 RAW_VIEWS = ["raw_programs", "raw_subjects", "raw_semesters", "raw_program_subjects", "raw_students",
              "raw_subject_offerings", "raw_assessments", "raw_program_enrollments", "raw_subject_enrollments",
              "raw_assessment_results"]
+
+
+def landed_tables(spark: SparkSession, sf_dir: str, p) -> dict[str, DataFrame]:
+    """The binding as landed tables: dims get the run's ``_ingested_at`` (a full reload), and
+    subject enrollments get their letter grade from the mark and the programme's degree level
+    (the driver rows have no grade)."""
+    from coursemart.functions.exprs import grade_from_mark, ts_lit
+
+    raw = raw_tables(spark, sf_dir)
+    out = {}
+    for name in ["programs", "subjects", "semesters", "program_subjects", "students", "subject_offerings",
+                 "assessments"]:
+        out[name] = raw[name].withColumn("_ingested_at", ts_lit(p.run_ts))
+    out["program_enrollments"] = raw["program_enrollments"]
+    out["assessment_results"] = raw["assessment_results"]
+    pe_program = raw["program_enrollments"].select("program_enrollment_id", "program_id").distinct()
+    levels = raw["programs"].select("program_id", "degree_level")
+    se = (raw["subject_enrollments"].join(pe_program, "program_enrollment_id", "left")
+          .join(F.broadcast(levels), "program_id", "left"))  # 25 rows: one per nation
+    out["subject_enrollments"] = se.select(
+        "subject_enrollment_id", "program_enrollment_id", "offering_id", "status", "final_mark",
+        grade_from_mark("final_mark", "degree_level").alias("final_grade"), "updated_at", "_ingested_at", "src_seq")
+    return out
