@@ -104,3 +104,522 @@ def q_obt_program_enrollment(spark, sf_dir):
 @register("obt_program_summary", O.q("select * from obt_program_summary"))
 def q_obt_program_summary(spark, sf_dir):
     return wh(spark, sf_dir).obt_program_summary()
+
+
+# ---------------------------------------------------------------------------------------
+# landing (each run lands into a fresh folder under the shared work folder)
+
+from coursemart.functions.exprs import ts_lit  # noqa: E402
+from coursemart.operators import derive, dq, facts as factops, obt as obtops, scd2  # noqa: E402
+from coursemart.operators.joins import Lookup  # noqa: E402
+from coursemart.plans import dashboards  # noqa: E402
+from coursemart.session import scratch_path  # noqa: E402
+from coursemart.sources import landing, store  # noqa: E402
+from coursemart.sources.binding import read_driver  # noqa: E402
+from coursemart.sources.staging import staged  # noqa: E402
+from coursemart.streaming import stream  # noqa: E402
+
+# Fixed scenario clock for the landing / upsert / history queries.
+RUN1, RUN2, RUN3 = "2024-01-16 00:00:00", "2024-02-01 00:00:00", "2024-02-02 00:00:00"
+EVENTS_CUT = "2024-01-15 12:00:00"           # first landing sees events up to here ...
+LATE_FROM = "2024-01-15 11:30:00"            # ... except 'error' events after this: they commit late
+JOURNAL_CUT = "1998-01-01 00:00:00"          # subject-enrollment journal: base build / later batch
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _events_first_run(ev: DataFrame) -> DataFrame:
+    late = (F.col("event_type") == "error") & (F.col("ts") > ts_lit(LATE_FROM))
+    return ev.filter((F.col("ts") <= ts_lit(EVENTS_CUT)) & ~late)
+
+
+FIRST_RUN_SQL = (f"select * from events where ts <= timestamp '{EVENTS_CUT}'"
+                 f" and not (event_type = 'error' and ts > timestamp '{LATE_FROM}')")
+
+
+def _two_landings(spark, sf_dir, force_full=False):
+    target = scratch_path(spark, "raw_events")
+    ev = read_driver(spark, sf_dir, "events")
+    r1 = landing.land_incremental(spark, _events_first_run(ev), target, "ts", "event_id", RUN1, name="events")
+    r2 = landing.land_incremental(spark, ev, target, "ts", "event_id", RUN2, force_full=force_full, name="events")
+    return target, r1, r2
+
+
+LANDED_SQL = f"""with landed1 as ({FIRST_RUN_SQL}),
+wm as (select max(ts) as wm from landed1),
+landed2 as (select e.* from events e, wm where e.ts > wm.wm - interval 10 minute
+            and not exists (select 1 from landed1 l where l.event_id = e.event_id and l.ts = e.ts)),
+landed as (select *, timestamp '{RUN1}' as _ingested_at from landed1
+           union all select *, timestamp '{RUN2}' as _ingested_at from landed2)
+"""
+
+
+@register("land_incremental", LANDED_SQL + "select * from landed")
+def q_land_incremental(spark, sf_dir):
+    target, _, _ = _two_landings(spark, sf_dir)
+    return spark.read.parquet(target)
+
+
+@register("land_metrics", LANDED_SQL + "select _ingested_at, count(*) as rows_landed from landed group by _ingested_at")
+def q_land_metrics(spark, sf_dir):
+    """Rows landed per run, exact (observed while writing) and equal to a count by run."""
+    target, _, _ = _two_landings(spark, sf_dir)
+    return spark.read.parquet(target).groupBy("_ingested_at").agg(F.count(F.lit(1)).alias("rows_landed"))
+
+
+@register("watermark", f"with landed1 as ({FIRST_RUN_SQL}) select max(ts) as watermark from landed1")
+def q_watermark(spark, sf_dir):
+    target = scratch_path(spark, "raw_events")
+    ev = read_driver(spark, sf_dir, "events")
+    landing.land_incremental(spark, _events_first_run(ev), target, "ts", "event_id", RUN1, name="events")
+    return spark.read.parquet(target).agg(F.max("ts").alias("watermark"))
+
+
+@register("land_force_full", f"select *, timestamp '{RUN2}' as _ingested_at from events")
+def q_land_force_full(spark, sf_dir):
+    target, _, _ = _two_landings(spark, sf_dir, force_full=True)
+    return spark.read.parquet(target)
+
+
+STUDENT_COLS = "student_id, first_name, last_name, email, created_at"
+
+
+@register("land_full", O.q(f"select {STUDENT_COLS}, timestamp '{RUN1}' as _ingested_at from raw_students"))
+def q_land_full(spark, sf_dir):
+    target = scratch_path(spark, "raw_students")
+    src = wh(spark, sf_dir).stg["students"].drop("_ingested_at")
+    landing.land_full(spark, src, target, RUN1, "students")
+    return spark.read.parquet(target)
+
+
+@register("land_empty_guard", O.q(f"select {STUDENT_COLS}, timestamp '{RUN1}' as _ingested_at from raw_students"))
+def q_land_empty_guard(spark, sf_dir):
+    target = scratch_path(spark, "raw_students")
+    src = wh(spark, sf_dir).stg["students"].drop("_ingested_at")
+    landing.land_full(spark, src, target, RUN1, "students")
+    res = landing.land_full(spark, src.filter(F.lit(False)), target, RUN2, "students")
+    assert res.mode == "skipped"
+    return spark.read.parquet(target)
+
+
+@register("insert_if_absent", O.q("""select offering_id, subject_code, semester_id,
+  case when semester_id < 'SEM-1998' then coordinator_name else coordinator_name || ' (new intake)' end
+    as coordinator_name
+from raw_subject_offerings"""))
+def q_insert_if_absent(spark, sf_dir):
+    target = scratch_path(spark, "raw_subject_offerings")
+    so = wh(spark, sf_dir).stg["subject_offerings"].drop("_ingested_at")
+    landing.insert_if_absent(spark, so.filter(F.col("semester_id") < "SEM-1998"), target, ["offering_id"])
+    intake = so.withColumn("coordinator_name", F.concat("coordinator_name", F.lit(" (new intake)")))
+    # the batch carries every key twice: one row per key survives, existing keys are left alone
+    landing.insert_if_absent(spark, intake.unionByName(intake), target, ["offering_id"])
+    return spark.read.parquet(target)
+
+
+SE_STG_COLS = ["subject_enrollment_id", "program_enrollment_id", "offering_id", "status", "final_mark",
+               "final_grade", "updated_at", "_ingested_at"]
+
+
+@register("stg_project", O.q(f"select {', '.join(SE_STG_COLS)} from stg_subject_enrollments"))
+def q_stg_project(spark, sf_dir):
+    return staged(wh(spark, sf_dir).stg["subject_enrollments"], "subject_enrollments").select(*SE_STG_COLS)
+
+
+@register("incremental_filter", O.q(f"select * from stg_subject_enrollments where _ingested_at > timestamp '{JOURNAL_CUT}'"))
+def q_incremental_filter(spark, sf_dir):
+    """A first build at JOURNAL_CUT sees the journal up to then; the next build's source is
+    what arrived after max(_loaded_at) of the target."""
+    w = wh(spark, sf_dir)
+    p1 = ORACLE_PARAMS.with_(run_ts=JOURNAL_CUT)
+    stg = w.stg["subject_enrollments"]
+    target = scratch_path(spark, "fact_subject_enrollment")
+    base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
+                                           w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p1)
+    store.upsert_delete_insert(spark, base, target, "subject_enrollment_key", buckets=16)
+    since = store.max_loaded_at(spark, target)
+    return factops.incremental_source(stg, str(since))
+
+
+@register("upsert_delete_insert", O.q("select * from fact_subject_enrollment"))
+def q_upsert_delete_insert(spark, sf_dir):
+    """Base = fact built from the journal up to a cut; batch = latest versions that arrived
+    later; delete+insert by key gives the fact over the whole journal."""
+    w = wh(spark, sf_dir)
+    p = ORACLE_PARAMS
+    stg = w.stg["subject_enrollments"]
+    target = scratch_path(spark, "fact_subject_enrollment")
+    base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
+                                           w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p)
+    store.upsert_delete_insert(spark, base, target, "subject_enrollment_key", buckets=16)
+    batch = factops.fact_subject_enrollment(stg, w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p,
+                                            since=JOURNAL_CUT)
+    return store.upsert_delete_insert(spark, batch, target, "subject_enrollment_key", buckets=16)
+
+
+# ---------------------------------------------------------------------------------------
+# SCD2 over three runs: run 2 renames one department and drops the Certificate programmes
+# from the source (hard delete, ignored); run 3 restores the source.
+
+CHANGED_DEPT, NEW_DEPT = "ASIA", "ASIA-PACIFIC"
+
+
+def _scd_runs(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    src = scd2.program_snapshot_source(w.stg["programs"], ORACLE_PARAMS)
+    snaps = scratch_path(spark, "dim_program_snapshot")
+
+    def run(cur, ts, prev_path, path):
+        prev = spark.read.parquet(prev_path) if prev_path else None
+        cur = cur.withColumn("_loaded_at", ts_lit(ts))
+        scd2.scd2_snapshot(cur, prev, scd2.PROGRAM_KEY, scd2.PROGRAM_CHECK_COLS, ts).write.parquet(path)
+        return path
+
+    v1 = run(src, RUN1, None, f"{snaps}/v=1")
+    changed = (src.filter(F.col("degree_level") != "Certificate")
+               .withColumn("department", F.when(F.col("department") == CHANGED_DEPT, NEW_DEPT)
+                           .otherwise(F.col("department"))))
+    v2 = run(changed, RUN2, v1, f"{snaps}/v=2")
+    v3 = run(src, RUN3, v2, f"{snaps}/v=3")
+    return spark.read.parquet(v3)
+
+
+def _scd_version_sql(ts, valid_to, dept="department", where=""):
+    vt = "cast(null as timestamp)" if valid_to is None else valid_to
+    return (f"select md5(program_id || '|' || cast(timestamp '{ts}' as varchar)) as dbt_scd_id, program_id, program_name,"
+            f" {dept} as department, degree_level, total_credit_points_required, timestamp '{ts}' as _loaded_at,"
+            f" timestamp '{ts}' as dbt_updated_at, timestamp '{ts}' as dbt_valid_from, {vt} as dbt_valid_to"
+            f" from raw_programs {where}")
+
+
+# programmes that change in run 2: in the renamed department and still in the source
+_CHANGED = f"department = '{CHANGED_DEPT}' and degree_level <> 'Certificate'"
+SCD_SQL = ("," + "scd_all as (" + _scd_version_sql(
+    RUN1, f"case when {_CHANGED} then timestamp '{RUN2}' end")
+    + " union all " + _scd_version_sql(RUN2, f"timestamp '{RUN3}'", f"'{NEW_DEPT}'", f"where {_CHANGED}")
+    + " union all " + _scd_version_sql(RUN3, None, "department", f"where {_CHANGED}") + ")")
+
+
+def _scd_q(select):
+    return O.PREFIX + SCD_SQL + "\n" + select
+
+
+@register("scd2_snapshot", _scd_q("select * from scd_all"))
+def q_scd2_snapshot(spark, sf_dir):
+    return _scd_runs(spark, sf_dir)
+
+
+@register("scd2_current", _scd_q("""select program_id, program_name, department, degree_level, total_credit_points_required,
+  dbt_valid_from as effective_from from scd_all where dbt_valid_to is null"""))
+def q_scd2_current(spark, sf_dir):
+    return scd2.scd2_current(_scd_runs(spark, sf_dir)).select(
+        "program_id", *scd2.PROGRAM_CHECK_COLS, F.col("dbt_valid_from").alias("effective_from"))
+
+
+@register("scd2_history", _scd_q("""select program_id, department, dbt_valid_from, dbt_valid_to,
+  row_number() over (partition by program_id order by dbt_valid_from) as version from scd_all"""))
+def q_scd2_history(spark, sf_dir):
+    from pyspark.sql import Window
+    h = _scd_runs(spark, sf_dir)
+    w = Window.partitionBy("program_id").orderBy("dbt_valid_from")  # a handful of versions per key
+    return h.select("program_id", "department", "dbt_valid_from", "dbt_valid_to",
+                    F.row_number().over(w).cast("bigint").alias("version"))
+
+
+# ---------------------------------------------------------------------------------------
+# single operators (each the operator's own output over the whole input)
+
+def _sel(*cols):
+    return ", ".join(cols)
+
+
+@register("dedup_latest", O.q(f"select {', '.join(SE_STG_COLS)} from se_dedup"))
+def q_dedup_latest(spark, sf_dir):
+    return factops.dedup_latest(wh(spark, sf_dir).stg["subject_enrollments"], "subject_enrollment_id") \
+        .select(*SE_STG_COLS)
+
+
+@register("attempt_number", O.q("select subject_enrollment_id, program_enrollment_key, subject_code, attempt_number,"
+                                " is_retake from obt_subject_enrollment"))
+def q_attempt_number(spark, sf_dir):
+    return wh(spark, sf_dir).obt_subject_enrollment().select(
+        "subject_enrollment_id", "program_enrollment_key", "subject_code", "attempt_number", "is_retake")
+
+
+@register("rank_in_group", O.q("select subject_enrollment_id, offering_id, final_mark, rank_in_offering"
+                               " from obt_subject_enrollment"))
+def q_rank_in_group(spark, sf_dir):
+    return wh(spark, sf_dir).obt_subject_enrollment().select(
+        "subject_enrollment_id", "offering_id", "final_mark", "rank_in_offering")
+
+
+@register("class_size", O.q("select dso.offering_id, count(*) as class_size from fact_subject_enrollment f"
+                            " join dim_subject_offering dso on f.offering_key = dso.offering_key group by dso.offering_id"))
+def q_class_size(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    e = obtops.subject_enriched(w.fact_subject_enrollment(), w.dim_student(), w.dim_program(),
+                                w.dim_subject_offering(), w.dim_subject(), w.dim_semester(), w.lk)
+    ranks = obtops.offering_mark_ranks(obtops.mark_counts(e))
+    sizes = ranks.groupBy("offering_key").agg(F.max("class_size").alias("class_size"))
+    return w.lk.join(sizes, w.dim_subject_offering(), "offering_key", "inner",
+                     cols=["offering_key", "offering_id"]).select("offering_id", "class_size")
+
+
+@register("pass_rate", O.q(f"select subject_code, semester_id, {O.R6('program_average_mark_for_this_subject')} as"
+                           f" program_average_mark_for_this_subject, {O.R6('subject_pass_rate')} as subject_pass_rate"
+                           " from o1_subject_stats"))
+def q_pass_rate(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    e = obtops.subject_enriched(w.fact_subject_enrollment(), w.dim_student(), w.dim_program(),
+                                w.dim_subject_offering(), w.dim_subject(), w.dim_semester(), w.lk)
+    st = obtops._weighted_mark_stats(obtops.mark_counts(e), ["subject_code", "semester_id"], w.p, "subject_pass_rate")
+    return r6(st.withColumnRenamed("_avg", "program_average_mark_for_this_subject"),
+              ["program_average_mark_for_this_subject", "subject_pass_rate"])
+
+
+@register("group_stats_attach", O.q(f"select subject_enrollment_id, subject_code, semester_id,"
+                                    f" {O.R6('program_average_mark_for_this_subject')} as program_average_mark_for_this_subject,"
+                                    f" {O.R6('subject_pass_rate')} as subject_pass_rate from obt_subject_enrollment"))
+def q_group_stats_attach(spark, sf_dir):
+    return r6(wh(spark, sf_dir).obt_subject_enrollment().select(
+        "subject_enrollment_id", "subject_code", "semester_id", "program_average_mark_for_this_subject",
+        "subject_pass_rate"), ["program_average_mark_for_this_subject", "subject_pass_rate"])
+
+
+@register("trend_vs_previous", O.q(f"select result_id, {O.R6('score_percentage')} as score_percentage,"
+                                   " mark_trend_within_subject from obt_assessment_result"))
+def q_trend_vs_previous(spark, sf_dir):
+    return r6(wh(spark, sf_dir).obt_assessment_result().select(
+        "result_id", "score_percentage", "mark_trend_within_subject"), ["score_percentage"])
+
+
+@register("z_score", O.q(f"select result_id, {O.R6('assessment_average_score_for_offering')} as"
+                         f" assessment_average_score_for_offering, {O.R6('z_score_within_assessment')} as"
+                         " z_score_within_assessment, score_band from obt_assessment_result"))
+def q_z_score(spark, sf_dir):
+    return r6(wh(spark, sf_dir).obt_assessment_result().select(
+        "result_id", "assessment_average_score_for_offering", "z_score_within_assessment", "score_band"),
+        ["assessment_average_score_for_offering", "z_score_within_assessment"])
+
+
+@register("credit_weighted_gpa", O.q(f"select program_enrollment_key, cast(total_retakes as bigint) as total_retakes,"
+                                     f" cast(credits_earned as bigint) as credits_earned, {O.R6('program_gpa')} as"
+                                     " gpa_raw from o3_subject_agg"))
+def q_credit_weighted_gpa(spark, sf_dir):
+    a = obtops.subject_agg(wh(spark, sf_dir).obt_subject_enrollment())
+    return r6(a.withColumn("total_retakes", F.col("total_retakes").cast("bigint"))
+              .withColumn("credits_earned", F.col("credits_earned").cast("bigint")), ["gpa_raw"])
+
+
+@register("last_activity", O.q("select * from o3_last_activity"))
+def q_last_activity(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return obtops.last_activity(w.fact_subject_enrollment(), w.fact_assessment_result())
+
+
+@register("multi_program", O.q("select * from o3_multi_program"))
+def q_multi_program(spark, sf_dir):
+    return obtops.multi_program(wh(spark, sf_dir).fact_program_enrollment())
+
+
+@register("program_cohort_counts", O.q("select program_id, cohort_year, total_enrolled_students, total_active_students,"
+                                       " total_graduated_students, total_withdrawn_students from obt_program_summary"))
+def q_program_cohort_counts(spark, sf_dir):
+    return wh(spark, sf_dir).obt_program_summary().select(
+        "program_id", "cohort_year", "total_enrolled_students", "total_active_students", "total_graduated_students",
+        "total_withdrawn_students")
+
+
+for _name, _col in [("duration_years", "actual_duration_years"), ("year_of_study", "current_year_of_study"),
+                    ("expected_graduation", "expected_graduation_date")]:
+    def _mk2(c):
+        return lambda spark, sf_dir: wh(spark, sf_dir).obt_program_enrollment().select(
+            "program_enrollment_id", "degree_level", "enrollment_date", "completion_date", c)
+    register(_name, O.q(f"select program_enrollment_id, degree_level, enrollment_date, completion_date, {_col}"
+                        " from obt_program_enrollment"))(_mk2(_col))
+
+
+@register("surrogate_key", O.q(f"select student_id, {O.K('student_id')} as student_key,"
+                               f" {O.K2('student_id', 'email')} as student_email_key from raw_students"))
+def q_surrogate_key(spark, sf_dir):
+    from coursemart.functions.exprs import key
+    s = wh(spark, sf_dir).stg["students"]
+    return s.select("student_id", key(s, "student_id", p=ORACLE_PARAMS).alias("student_key"),
+                    key(s, "student_id", "email", p=ORACLE_PARAMS).alias("student_email_key"))
+
+
+@register("dim_lookup_left", O.q("select f.subject_enrollment_id, d.subject_code, d.subject_title, d.credit_points"
+                                 " from fact_subject_enrollment f left join dim_subject d on f.subject_key = d.subject_key"))
+def q_dim_lookup_left(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return w.lk.join(w.fact_subject_enrollment().select("subject_enrollment_id", "subject_key"), w.dim_subject(),
+                     "subject_key", cols=["subject_key", "subject_code", "subject_title", "credit_points"]) \
+        .drop("subject_key")
+
+
+@register("snowflake_hop", O.q("""select a.assessment_id, dsub.subject_code, dsem.semester_id, dsem.academic_year
+from dim_assessment a left join dim_subject_offering dso on a.offering_key = dso.offering_key
+left join dim_subject dsub on dso.subject_key = dsub.subject_key
+left join dim_semester dsem on dso.semester_key = dsem.semester_key"""))
+def q_snowflake_hop(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    x = w.lk.join(w.dim_assessment().select("assessment_id", "offering_key"), w.dim_subject_offering(),
+                  "offering_key", cols=["offering_key", "subject_key", "semester_key"])
+    x = w.lk.join(x, w.dim_subject(), "subject_key", cols=["subject_key", "subject_code"])
+    x = w.lk.join(x, w.dim_semester(), "semester_key", cols=["semester_key", "semester_id", "academic_year"])
+    return x.select("assessment_id", "subject_code", "semester_id", "academic_year")
+
+
+# ---------------------------------------------------------------------------------------
+# derived marks and grades
+
+@register("weighted_final_mark", O.q(f"""select r.subject_enrollment_id,
+  {O.R6('sum(cast(r.raw_score as double) / cast(a.max_score as double) * cast(a.weight_percentage as double))'
+        ' / sum(cast(a.weight_percentage as double)) * 100.0')} as weighted_final_mark
+from raw_assessment_results r join raw_assessments a on r.assessment_id = a.assessment_id
+where r.raw_score is not null and a.max_score > 0 group by r.subject_enrollment_id"""))
+def q_weighted_final_mark(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return r6(derive.weighted_final_mark(w.stg["assessment_results"], w.stg["assessments"]), ["weighted_final_mark"])
+
+
+@register("grade_from_mark", O.q(f"""select f.subject_enrollment_id, f.final_mark, dp.degree_level,
+  {O.GRADE_SQL} as grade from fact_subject_enrollment f left join dim_program dp on f.program_key = dp.program_key"""))
+def q_grade_from_mark(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    x = w.lk.join(w.fact_subject_enrollment().select("subject_enrollment_id", "final_mark", "program_key"),
+                  w.dim_program(), "program_key", cols=["program_key", "degree_level"]).drop("program_key")
+    return derive.with_grade(x)
+
+
+@register("final_degree_result", O.q("""select program_enrollment_id, count(final_mark) as completed_subjects,
+  case when sum(final_mark) >= 85 * count(final_mark) then 'High Distinction'
+       when sum(final_mark) >= 75 * count(final_mark) then 'Distinction'
+       when sum(final_mark) >= 65 * count(final_mark) then 'Merit' else 'Pass' end as final_degree_result
+from se_dedup where status = 'Completed' and final_mark is not null group by program_enrollment_id"""))
+def q_final_degree_result(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return derive.final_degree_result(factops.dedup_latest(w.stg["subject_enrollments"], "subject_enrollment_id"))
+
+
+# ---------------------------------------------------------------------------------------
+# dashboards over the programme-enrollment wide table
+
+_ACTIVE = "from obt_program_enrollment where status = 'Active'"
+
+
+def _risk_sql(by):
+    return O.q(f"""select {by}, count(*) as active_enrollments, count(case when is_at_risk then 1 end) as at_risk,
+  count(case when not is_at_risk then 1 end) as on_track,
+  round(count(case when is_at_risk then 1 end)::double / nullif(count(*), 0), 4) as at_risk_rate
+{_ACTIVE} group by {by}""")
+
+
+@register("dash_active_summary", O.q(f"select is_at_risk, count(*) as enrollments {_ACTIVE} group by is_at_risk"))
+def q_dash_active_summary(spark, sf_dir):
+    return dashboards.dash_active_summary(wh(spark, sf_dir).obt_program_enrollment())
+
+
+@register("dash_graduation_trend", O.q("""select date_trunc('month', completion_date)::date as completion_month,
+  count(*) as graduations from obt_program_enrollment where status = 'Graduated' group by 1"""))
+def q_dash_graduation_trend(spark, sf_dir):
+    return dashboards.dash_graduation_trend(wh(spark, sf_dir).obt_program_enrollment())
+
+
+@register("dash_by_department", _risk_sql("department"))
+def q_dash_by_department(spark, sf_dir):
+    return dashboards.dash_by_department(wh(spark, sf_dir).obt_program_enrollment())
+
+
+@register("dash_by_level", _risk_sql("degree_level"))
+def q_dash_by_level(spark, sf_dir):
+    return dashboards.dash_by_level(wh(spark, sf_dir).obt_program_enrollment())
+
+
+@register("dash_by_grad_month", O.q(f"""select date_trunc('month', expected_graduation_date)::date as expected_graduation_month,
+  count(*) as active_enrollments {_ACTIVE} group by 1"""))
+def q_dash_by_grad_month(spark, sf_dir):
+    return dashboards.dash_by_grad_month(wh(spark, sf_dir).obt_program_enrollment())
+
+
+# ---------------------------------------------------------------------------------------
+# data quality
+
+def _dq_models(w: Warehouse):
+    """Resolver of checked model names; facts are checkpointed once (each is read by many checks)."""
+    memo = {}
+
+    def get(name):
+        if name not in memo:
+            if name.startswith("stg_"):
+                memo[name] = w.stg[name[4:]]
+            elif name.startswith("src_"):
+                t = name[4:]
+                pk = {"program_enrollments": "program_enrollment_id", "subject_enrollments": "subject_enrollment_id",
+                      "assessment_results": "result_id"}[t]
+                memo[name] = factops.dedup_latest(w.stg[t], pk).checkpoint(eager=True)
+            elif name.startswith("fact_"):
+                memo[name] = w.table(name).checkpoint(eager=True)
+            else:
+                memo[name] = w.table(name)
+        return memo[name]
+    return get
+
+
+def _dq_query(checks):
+    def run(spark, sf_dir):
+        return dq.run_suite(_dq_models(wh(spark, sf_dir)), checks)
+    return run
+
+
+for _test in ["unique", "not_null", "relationships", "accepted_values", "accepted_range", "unique_combination"]:
+    _cs = [c for c in dq.ALL_CHECKS if c.test == _test]
+    register(f"dq_{_test}", O.dq_report_sql(_cs))(_dq_query(_cs))
+
+register("dq_suite", O.dq_report_sql(dq.ALL_CHECKS))(_dq_query(dq.ALL_CHECKS))
+register("dq_contract", O.dq_report_sql(dq.CONTRACT_CHECKS))(_dq_query(dq.CONTRACT_CHECKS))
+
+
+@register("dq_singular_score", O.q("select * from fact_assessment_result where raw_score < 0 or raw_score > 200"))
+def q_dq_singular_score(spark, sf_dir):
+    return dq.dq_singular(wh(spark, sf_dir).fact_assessment_result(), dq.singular_score())
+
+
+@register("dq_singular_program", O.q("""select * from fact_program_enrollment where enrollment_date > completion_date
+  or status not in ('Active', 'Graduated', 'Withdrawn', 'Suspended', 'Dismissed', 'Leave of Absence')
+  or program_enrollment_id is null or student_key is null
+  or final_degree_result not in ('High Distinction', 'Distinction', 'Merit', 'Pass')"""))
+def q_dq_singular_program(spark, sf_dir):
+    return dq.dq_singular(wh(spark, sf_dir).fact_program_enrollment(), dq.singular_program())
+
+
+# ---------------------------------------------------------------------------------------
+# streaming (file drops under the work folder, availableNow triggers)
+
+@register("stream_land_dedup", f"select *, timestamp '{RUN1}' as _ingested_at from events")
+def q_stream_land_dedup(spark, sf_dir):
+    """Two drops of events; the second replays the last 10 minutes of the first. The stream
+    lands every event once."""
+    base = scratch_path(spark, "stream_land")
+    ev = read_driver(spark, sf_dir, "events")
+    cut = ts_lit(EVENTS_CUT)
+    ev.filter(F.col("ts") <= cut).write.parquet(f"{base}/src/d1")
+    ev.filter(F.col("ts") > cut - F.expr("INTERVAL 10 MINUTES")).write.parquet(f"{base}/src/d2")
+    schema = spark.read.parquet(f"{base}/src/d1").schema
+    stream.land_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "ts", "event_id", RUN1,
+                       max_files_per_trigger=None)
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_upsert", O.q(f"select {', '.join(SE_STG_COLS)}, src_seq from se_dedup"))
+def q_stream_upsert(spark, sf_dir):
+    """The subject-enrollment journal arrives in three drops by landing time; each
+    micro-batch is merged into the table by key; the result is the latest version per id."""
+    base = scratch_path(spark, "stream_upsert")
+    j = wh(spark, sf_dir).stg["subject_enrollments"]
+    ing = F.col("_ingested_at")
+    j.filter(ing < ts_lit("1996-01-01 00:00:00")).write.parquet(f"{base}/src/d1")
+    j.filter((ing >= ts_lit("1996-01-01 00:00:00")) & (ing < ts_lit(JOURNAL_CUT))).write.parquet(f"{base}/src/d2")
+    j.filter(ing >= ts_lit(JOURNAL_CUT)).write.parquet(f"{base}/src/d3")
+    schema = spark.read.parquet(f"{base}/src/d1").schema
+    stream.upsert_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "subject_enrollment_id")
+    return stream.read_latest(spark, f"{base}/out").select(*SE_STG_COLS, "src_seq")

@@ -27,8 +27,12 @@ def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targ
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_dir)
-    out = (src.withWatermark(cursor, f"{int(lookback_minutes)} minutes")
+    # the watermark needs a TIMESTAMP column; the cursor is TIMESTAMP_NTZ, so a derived copy
+    # carries the event time (the landed row keeps the cursor as it is)
+    out = (src.withColumn("_event_time", F.col(cursor).cast("timestamp"))
+           .withWatermark("_event_time", f"{int(lookback_minutes)} minutes")
            .dropDuplicatesWithinWatermark([pk, cursor])
+           .drop("_event_time")
            .withColumn("_ingested_at", ts_lit(run_ts)))
     q = (out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
