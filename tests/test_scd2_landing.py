@@ -35,8 +35,8 @@ def test_scd2_runs(spark):
                        ("C", "c", "D3", "Doctoral", 72), ("N", "n", "D4", "Bachelor's", 144)], v2, r3)
     v3b = _snap(spark, [("A", "a", "D1", "Bachelor's", 144), ("B", "b", "D2", "Master's", 96),
                         ("C", "c", "D3", "Doctoral", 72), ("N", "n", "D4", "Bachelor's", 144)], v3, r3)
-    got = sorted((r.program_id, r.department, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in v3b.collect())
-    assert got == sorted([
+    got = sorted((r.program_id, str(r.department), str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in v3b.collect())
+    assert got == sorted((a, str(b), c, e) for a, b, c, e in [
         ("A", "D1", r1, "None"),
         ("B", "D2", r1, r2), ("B", "D9", r2, r3), ("B", "D2", r3, "None"),
         ("C", None, r1, r2), ("C", "D3", r2, "None"),
