@@ -18,11 +18,11 @@ from coursemart.functions.exprs import (cents_sum_count, completed_years, date_l
                                         exact_round_avg, key, round_half_away, safe_div, score_band, trend, ts_lit)
 from coursemart.operators.joins import Lookup
 from coursemart.params import Params
+from coursemart.session import materialize
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a small intermediate: written once to the checkpoint dir, then reused."""
-    return df.checkpoint(eager=True)
+def _materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
+    return materialize(df, name)
 
 
 # ---------------------------------------------------------------------------------------
@@ -70,8 +70,8 @@ def _weighted_mark_stats(counts: DataFrame, by: list[str], p: Params, pass_col:
 def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup,
                            p: Params) -> DataFrame:
     e = subject_enriched(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk)
-    counts = _materialize(mark_counts(e))
-    ranks = _materialize(offering_mark_ranks(counts))
+    counts = _materialize(mark_counts(e), "offering_mark_counts")
+    ranks = _materialize(offering_mark_ranks(counts), "offering_mark_ranks")
     subj = _weighted_mark_stats(counts, ["subject_code", "semester_id"], p, "subject_pass_rate") \
         .withColumnRenamed("_avg", "program_average_mark_for_this_subject")
     coord = _weighted_mark_stats(counts, ["coordinator_name"], p, None) \
@@ -122,12 +122,17 @@ def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_sub
     e = e.join(f_se.select("subject_enrollment_key", "final_mark", "final_grade"), "subject_enrollment_key", "left")
     e = e.withColumn("score_percentage", safe_div("raw_score", "max_score"))
 
+    # per-assessment statistics need only the result and its assessment (the fact grain keeps
+    # the other left joins one-to-one), so they are computed from the narrow pair
+    scored = lk.join(f_ar.select("assessment_key", "raw_score"), d_assessment, "assessment_key",
+                     cols=["assessment_key", "max_score"]) \
+        .withColumn("score_percentage", safe_div("raw_score", "max_score"))
     stats = _materialize(
-        e.groupBy("assessment_key").agg(
+        scored.groupBy("assessment_key").agg(
             exact_avg("raw_score").alias("assessment_average_score_for_offering"),
             F.stddev_samp(F.col("raw_score").cast("double")).alias("_sd"),
             F.avg(F.when(F.col("score_percentage") >= F.lit(p.pass_threshold_pct), 1.0).otherwise(0.0))
-            .alias("assessment_pass_rate")))
+            .alias("assessment_pass_rate")), "assessment_stats")
 
     w = Window.partitionBy("subject_enrollment_key").orderBy(F.col("submitted_at").asc_nulls_last(),
                                                             F.col("result_id").asc_nulls_last())

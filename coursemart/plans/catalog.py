@@ -113,7 +113,7 @@ from coursemart.functions.exprs import ts_lit  # noqa: E402
 from coursemart.operators import derive, dq, facts as factops, obt as obtops, scd2  # noqa: E402
 from coursemart.operators.joins import Lookup  # noqa: E402
 from coursemart.plans import dashboards  # noqa: E402
-from coursemart.session import scratch_path  # noqa: E402
+from coursemart.session import materialize, scratch_path  # noqa: E402
 from coursemart.sources import landing, store  # noqa: E402
 from coursemart.sources.binding import read_driver  # noqa: E402
 from coursemart.sources.staging import staged  # noqa: E402
@@ -545,7 +545,7 @@ def q_dash_by_grad_month(spark, sf_dir):
 # data quality
 
 def _dq_models(w: Warehouse):
-    """Resolver of checked model names; facts are checkpointed once (each is read by many checks)."""
+    """Resolver of checked model names; facts are written once (each is read by many checks)."""
     memo = {}
 
     def get(name):
@@ -556,9 +556,9 @@ def _dq_models(w: Warehouse):
                 t = name[4:]
                 pk = {"program_enrollments": "program_enrollment_id", "subject_enrollments": "subject_enrollment_id",
                       "assessment_results": "result_id"}[t]
-                memo[name] = factops.dedup_latest(w.stg[t], pk).checkpoint(eager=True)
+                memo[name] = materialize(factops.dedup_latest(w.stg[t], pk), name)
             elif name.startswith("fact_"):
-                memo[name] = w.table(name).checkpoint(eager=True)
+                memo[name] = materialize(w.table(name), name)
             else:
                 memo[name] = w.table(name)
         return memo[name]

@@ -1,7 +1,7 @@
 """Wires the models together: staging → SCD2 → dims → facts → wide tables.
 
 Every model is a memoized DataFrame. Dimensions are small by nature and are materialized
-(checkpointed into the shared checkpoint dir) so that their size check is a cheap scan, they
+(written once under the shared work folder) so that their size check is a cheap scan, they
 are computed once, and every fact join can broadcast them. Facts and wide tables stay lazy
 here; ``plans.pipeline`` writes them as tables.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from coursemart.operators import dims, facts, obt, scd2
 from coursemart.operators.joins import Lookup
 from coursemart.params import Params
-from coursemart.session import work_root
+from coursemart.session import materialize, work_root
 from coursemart.sources.binding import landed_tables
 from coursemart.sources.staging import stage_all
 
@@ -41,7 +41,7 @@ class Warehouse:
         if name not in self._memo:
             df = build()
             if dim and self.materialize_dims:
-                df = df.checkpoint(eager=True)
+                df = materialize(df, name)
             self._memo[name] = df
         return self._memo[name]
 

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # submit config; ``build_session`` applies them for local runs and tests.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -77,3 +78,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
     except AnalysisException:
         return False
+
+
+def materialize(df, name: str = "intermediate"):
+    """Cut lineage: write ``df`` once as a Parquet table under the shared work folder and
+    return the table as read back (one computation; an eager RDD checkpoint counts and then
+    recomputes to write). The read-back scan carries real size statistics for the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
