@@ -236,33 +236,101 @@ def _report_row(c: Check, failures: Column) -> list[Column]:
             F.lit(c.test).alias("test"), failures.cast("bigint").alias("failures")]
 
 
-def run_suite(models: Callable[[str], DataFrame], checks=ALL_CHECKS) -> DataFrame:
-    """Report (model, column_name, test, failures), one row per declared check."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.test in _ROW_LEVEL:
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        # one pass per model for all row-level checks, then one row per check
-        agg = models(model).agg(*[F.sum(F.when(_row_condition(c), 1).otherwise(0)).alias(f"f{i}")
-                                  for i, c in enumerate(cs)])
-        stacked = agg.select(F.explode(F.array(*[F.struct(*_report_row(c, F.coalesce(F.col(f"f{i}"), F.lit(0))))
-                                                   for i, c in enumerate(cs)])).alias("r")).select("r.*")
-        parts.append(stacked)
+def _keyed_value(c: Check):
+    """(include?, value text) of a check's grouping key. A combination is one JSON text (a NULL
+    field is left out, so NULLs group together and never equal a value)."""
+    if c.test == "unique_combination":
+        return F.lit(True), F.to_json(F.struct(*[F.col(x) for x in c.column.split(",")]))
+    v = F.col(c.column)
+    if c.test == "unique":
+        return v.isNotNull(), v.cast("string")
+    return v.isNotNull() & ~v.isin(*c.args["values"]), v.cast("string")
+
+
+def _keyed_checks(df: DataFrame, cs: list[Check]) -> DataFrame:
+    """unique, unique_combination and accepted_values checks of one model in one aggregation:
+    each row emits (check, value) pairs — non-NULL values for unique, the combination for
+    unique_combination, invalid values for accepted_values — grouped once by (check, value)."""
+    pairs = []
+    for i, c in enumerate(cs):
+        cond, v = _keyed_value(c)
+        pairs.append(F.when(cond, F.struct(F.lit(i).alias("i"), v.alias("v"))))
+    g = (df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull())
+         .groupBy("p.i", "p.v").agg(F.count(F.lit(1)).alias("n")))
+    fails = []
+    for i, c in enumerate(cs):
+        dup = c.test in ("unique", "unique_combination")
+        hit = (F.col("i") == i) & ((F.col("n") > 1) if dup else F.lit(True))
+        fails.append(F.count(F.when(hit, 1)).alias(f"f{i}"))
+    return _stack(g.agg(*fails), cs)
+
+
+def _stack(one_row: DataFrame, cs: list[Check]) -> DataFrame:
+    return one_row.select(F.explode(F.array(*[F.struct(*_report_row(c, F.coalesce(F.col(f"f{i}"), F.lit(0))))
+                                              for i, c in enumerate(cs)])).alias("r")).select("r.*")
+
+
+def _relationship_checks(child: DataFrame, cs: list[Check], models, lookup) -> DataFrame:
+    """All relationship checks of one child model in one plan: a left join per foreign key to
+    the parent's distinct keys (each flagged), then one count per key of unmatched values."""
+    x = child.select(*sorted({c.column for c in cs}))
+    for i, c in enumerate(cs):
+        parent = models(c.args["to"])
+        keys = parent.select(F.col(c.args["field"]).alias(f"_k{i}")).distinct().withColumn(f"_m{i}", F.lit(True))
+        if lookup is not None and lookup.fits(parent):
+            keys = F.broadcast(keys)
+        x = x.join(keys, F.col(c.column) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    agg = x.agg(*[F.count(F.when(F.col(c.column).isNotNull() & F.col(f"_m{i}").isNull(), 1)).alias(f"f{i}")
+                  for i, c in enumerate(cs)])
+    return _stack(agg, cs)
+
+
+def run_suite(models: Callable[[str], DataFrame], checks=ALL_CHECKS, lookup=None, eager: bool = True,
+              parallelism: int = 8) -> DataFrame:
+    """Report (model, column_name, test, failures), one row per declared check.
+
+    Per model: one aggregate pass for all row-level checks, one grouped pass for all unique /
+    accepted_values checks; a grouped count per unique combination; an anti join per
+    relationship, against the parent's distinct keys (broadcast when ``lookup`` finds the
+    parent small).
+
+    ``eager``: every part runs as its own small job (several submitted at once), is written
+    under the shared work folder, and the report is the union of those tiny tables. One
+    union over all parts would be one plan with a hundred branches, which adaptive execution
+    re-plans at every stage boundary."""
+    parts = suite_parts(models, checks, lookup)
+    if not eager:
+        return reduce(DataFrame.unionByName, parts)
+    from concurrent.futures import ThreadPoolExecutor
+
+    from coursemart.session import scratch_path
+    spark = parts[0].sparkSession
+    paths = [scratch_path(spark, "dq_part") for _ in parts]
+
+    def write(i):
+        parts[i].write.parquet(paths[i])
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        list(pool.map(write, range(len(parts))))
+    return spark.read.parquet(*paths)
+
+
+def suite_parts(models: Callable[[str], DataFrame], checks=ALL_CHECKS, lookup=None) -> list[DataFrame]:
+    """One part per checked model (up to three scans of it: row-level, keyed, relationships)."""
+    groups: dict[str, dict[str, list[Check]]] = {}
     for c in checks:
-        if c.test in _ROW_LEVEL:
-            continue
-        df = models(c.model)
-        if c.test == "unique":
-            failing = dq_unique(df, c.column)
-        elif c.test == "unique_combination":
-            failing = dq_unique_combination(df, c.column.split(","))
-        elif c.test == "relationships":
-            failing = dq_relationships(df, c.column, models(c.args["to"]), c.args["field"])
-        elif c.test == "accepted_values":
-            failing = dq_accepted_values(df, c.column, c.args["values"])
-        else:
-            raise ValueError(c.test)
-        parts.append(failing.agg(*_report_row(c, F.count(F.lit(1)))))
-    return reduce(DataFrame.unionByName, parts)
+        kind = ("row" if c.test in _ROW_LEVEL else "rel" if c.test == "relationships" else "keyed")
+        groups.setdefault(c.model, {}).setdefault(kind, []).append(c)
+    parts: list[DataFrame] = []
+    for model, kinds in groups.items():
+        df = models(model)
+        pieces = []
+        if "row" in kinds:
+            cs = kinds["row"]
+            pieces.append(_stack(df.agg(*[F.sum(F.when(_row_condition(c), 1).otherwise(0)).alias(f"f{i}")
+                                          for i, c in enumerate(cs)]), cs))
+        if "keyed" in kinds:
+            pieces.append(_keyed_checks(df, kinds["keyed"]))
+        if "rel" in kinds:
+            pieces.append(_relationship_checks(df, kinds["rel"], models, lookup))
+        parts.append(reduce(DataFrame.unionByName, pieces))
+    return parts

@@ -44,11 +44,14 @@ class Lookup:
         self.p = p
         self._ok: dict[int, bool] = {}
 
-    def side(self, dim: DataFrame) -> DataFrame:
+    def fits(self, dim: DataFrame) -> bool:
         k = id(dim)
         if k not in self._ok:
             self._ok[k] = fits_broadcast(dim, self.p)
-        return F.broadcast(dim) if self._ok[k] else dim
+        return self._ok[k]
+
+    def side(self, dim: DataFrame) -> DataFrame:
+        return F.broadcast(dim) if self.fits(dim) else dim
 
     def join(self, fact: DataFrame, dim: DataFrame, on, how: str = "left", cols=None) -> DataFrame:
         """Equi-join of a large input with a dimension (projected to ``cols``): broadcast hash

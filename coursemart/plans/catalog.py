@@ -567,7 +567,8 @@ def _dq_models(w: Warehouse):
 
 def _dq_query(checks):
     def run(spark, sf_dir):
-        return dq.run_suite(_dq_models(wh(spark, sf_dir)), checks)
+        w = wh(spark, sf_dir)
+        return dq.run_suite(_dq_models(w), checks, w.lk)
     return run
 
 

@@ -103,7 +103,8 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Param
             if name.startswith("stg_"):
                 return staged[name[4:]]
             return w.table(name)
-        _timed(rep, "dq_suite", lambda: store.write_table(dq.run_suite(models), f"{root}/dq/report_{n + 1}"))
+        _timed(rep, "dq_suite", lambda: store.write_table(dq.run_suite(models, lookup=w.lk),
+                                                          f"{root}/dq/report_{n + 1}"))
     return rep
 
 
