@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from coursemart.functions.exprs import (cents_sum_count, completed_years, date_lit, degree_years, exact_avg,
                                         exact_round_avg, key, round_half_away, safe_div, score_band, trend, ts_lit)
+from coursemart.operators import windows
 from coursemart.operators.joins import Lookup
 from coursemart.params import Params
 from coursemart.session import materialize
@@ -77,9 +78,12 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
     coord = _weighted_mark_stats(counts, ["coordinator_name"], p, None) \
         .withColumnRenamed("_avg", "coordinator_average_mark")
 
-    w_att = Window.partitionBy("program_enrollment_key", "subject_code") \
-        .orderBy(F.col("semester_start_date").asc_nulls_last(), F.col("subject_enrollment_id").asc_nulls_last())
-    x = e.withColumn("attempt_number", F.row_number().over(w_att).cast("bigint"))
+    # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment
+    # group of early-arriving rows) are numbered across partitions
+    x = windows.row_number(e, ["program_enrollment_key", "subject_code"],
+                           [F.col("semester_start_date").asc_nulls_last(),
+                            F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
+                           p.hot_group_rows, p.hot_sample_fraction)
     # NULL-safe on both keys: NULL offering / NULL mark rows get their group's rank
     r = lk.side(ranks)
     x = x.join(r, x.offering_key.eqNullSafe(r.offering_key) & x.final_mark.eqNullSafe(r.final_mark), "left") \
@@ -134,9 +138,9 @@ def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_sub
             F.avg(F.when(F.col("score_percentage") >= F.lit(p.pass_threshold_pct), 1.0).otherwise(0.0))
             .alias("assessment_pass_rate")), "assessment_stats")
 
-    w = Window.partitionBy("subject_enrollment_key").orderBy(F.col("submitted_at").asc_nulls_last(),
-                                                            F.col("result_id").asc_nulls_last())
-    x = e.withColumn("_prev", F.lag("score_percentage").over(w))
+    x = windows.lag(e, ["subject_enrollment_key"], [F.col("submitted_at").asc_nulls_last(),
+                                                     F.col("result_id").asc_nulls_last()],
+                    "score_percentage", "_prev", p.hot_group_rows, p.hot_sample_fraction)
     x = lk.join(x, stats, "assessment_key")
     sd = F.col("_sd")
     z = F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double")) \
