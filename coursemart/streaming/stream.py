@@ -4,8 +4,8 @@
   → ``dropDuplicatesWithinWatermark(pk, cursor)`` (state is bounded by the watermark) →
   append to the raw journal. Exactly-once through the checkpoint + file sink log.
 * ``upsert_stream``: each micro-batch is reduced to the latest version per key and
-  merged into the fact table by key (``foreachBatch``); the merge keeps the newer of
-  target and batch row, so a replayed batch is a no-op.
+  merged into the table by key (``foreachBatch``), rewriting only the key buckets it
+  touches; the merge keeps the newer of target and batch row, so a replayed batch is a no-op.
 Both run with ``trigger(availableNow=True)``: process what is there, then stop.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from coursemart.functions.exprs import ts_lit
 from coursemart.operators.facts import ARRIVAL_ORDER, dedup_latest
-from coursemart.session import path_exists
+from coursemart.sources import store
 
 
 def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
@@ -39,36 +39,18 @@ def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targ
     q.awaitTermination()
 
 
-def merge_latest(spark: SparkSession, batch: DataFrame, target: str, pk: str) -> None:
-    """Merge ``batch`` into ``target`` keeping, per key, the latest row by arrival order.
-
-    Written as a new version directory per batch (target/v=<n>) and read through the highest
-    complete version, so a reader never sees a half-written table."""
-    latest = dedup_latest(batch, pk)
-    versions = _versions(spark, target)
-    if versions:
-        cur = spark.read.parquet(f"{target}/v={versions[-1]}")
-        latest = dedup_latest(cur.unionByName(latest), pk)
-    nxt = (versions[-1] + 1) if versions else 0
-    latest.write.mode("overwrite").parquet(f"{target}/v={nxt}")
-
-
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    out = []
-    n = 0
-    while path_exists(spark, f"{target}/v={n}"):
-        out.append(n)
-        n += 1
-    return out
+def merge_latest(spark: SparkSession, batch: DataFrame, target: str, pk: str, buckets: int = 64) -> None:
+    """Merge one micro-batch into ``target``: newest row per key wins, only the key buckets the
+    batch touches are rewritten (see ``store.upsert_latest``)."""
+    store.upsert_latest(spark, batch, target, pk, buckets)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
-    v = _versions(spark, target)
-    return spark.read.parquet(f"{target}/v={v[-1]}")
+    return store.read_table(spark, target)
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
-                  pk: str, max_files_per_trigger: int | None = 1) -> None:
+                  pk: str, max_files_per_trigger: int | None = 1, buckets: int = 64) -> None:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -76,6 +58,6 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     order_cols = [c for c in ARRIVAL_ORDER if c in schema.fieldNames()]
     assert order_cols, "an arrival-order column is needed"
     q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: merge_latest(spark, df, target, pk))
+         .foreachBatch(lambda df, _epoch: merge_latest(spark, df, target, pk, buckets))
          .trigger(availableNow=True).start())
     q.awaitTermination()
