@@ -87,3 +87,30 @@ def materialize(df, name: str = "intermediate"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Submit-time settings for a run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``target_partition_bytes / 2`` (compressed Parquet inflates ~2x in memory);
+    * initial shuffle partitions so each holds about ``target_partition_bytes`` of the largest
+      input, at least 2 waves of all cores; AQE coalesces small ones and splits skewed ones
+      (``advisoryPartitionSizeInBytes`` = the same target, skew = 4x the median and > 1 GB);
+    * automatic broadcast off at plan time beyond 64 MB: dimensions are broadcast explicitly
+      after a size check, facts never.
+    E.g. 100 TB on 1,000 executors × 8 cores → ~410,000 shuffle partitions of ~256 MB.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
