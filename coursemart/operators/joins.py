@@ -30,11 +30,16 @@ def row_width(schema: T.StructType) -> int:
 def fits_broadcast(df: DataFrame, p: Params) -> bool:
     """True when ``df`` has at most ``broadcast_max_bytes / row_width`` rows.
 
-    The count is bounded (``limit(n + 1)``), so a large input stops early. Callers pass
-    materialized dimensions, for which the check is a short scan.
+    The count is bounded (``limit(n + 1)``), so a large input stops early; for a table written
+    by ``session.materialize`` the count observed while writing is used (no extra job).
     """
+    from coursemart.session import known_rows
+
     max_rows = max(1, p.broadcast_max_bytes // row_width(df.schema))
-    return df.limit(max_rows + 1).count() <= max_rows
+    n = known_rows(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+    return n <= max_rows
 
 
 class Lookup:

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemart.session import materialize
+from coursemart.session import known_rows, materialize
 
 HOT_GROUP_ROWS = 5_000_000   # a group above this many rows is numbered across partitions
 HOT_PARTITION_ROWS = 2_000_000
@@ -44,10 +44,10 @@ def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float =
     hot_keys = (sample.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > max(1.0, threshold * fraction / 2)).select(*part)
                 .withColumn("_hot", F.lit(True)))
-    hot_keys = materialize(hot_keys, "hot_groups")
-    n_hot = hot_keys.count()
-    if n_hot == 0:
+    if hot_keys.isEmpty():  # the usual case: one small sampled job, nothing written
         return df, None, 0
+    hot_keys = materialize(hot_keys, "hot_groups")
+    n_hot = known_rows(hot_keys)
     hk = F.broadcast(hot_keys)
     marked = df.join(hk, _ns_join_cond(df, hk, part), "left")
     for c in part:

@@ -83,10 +83,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def materialize(df, name: str = "intermediate"):
     """Cut lineage: write ``df`` once as a Parquet table under the shared work folder and
     return the table as read back (one computation; an eager RDD checkpoint counts and then
-    recomputes to write). The read-back scan carries real size statistics for the planner."""
+    recomputes to write). The read-back scan carries real size statistics for the planner,
+    and its row count, observed while writing, is remembered for size checks."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    try:
+        out._materialized_rows = int(obs.get["n"])
+    except AttributeError:  # a DataFrame class without instance attributes: checks count instead
+        pass
+    return out
+
+
+def known_rows(df) -> int | None:
+    """Row count of a table returned by ``materialize`` (None for other DataFrames)."""
+    return getattr(df, "_materialized_rows", None)
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
