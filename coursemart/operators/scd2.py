@@ -75,7 +75,6 @@ def scd2_snapshot(current: DataFrame, history: DataFrame | None, key: str, check
                .when(~has_h, F.array(opening))
                .otherwise(F.array(kept)))
     moved = j.select(F.explode(actions).alias("v")).select("v.*")
-    # a replay at the same run_ts must not close a version it opened itself
     return closed.unionByName(moved.select(*hist_cols)).select("dbt_scd_id", *cols, *SCD_COLS[1:])
 
 

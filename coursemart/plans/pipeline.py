@@ -78,25 +78,25 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Param
 
     snap_path = f"{root}/snapshots/dim_program/v={n + 1}"
     _timed(rep, "scd2_snapshot", lambda: w.snapshot().write.parquet(snap_path))
-    w._memo["snapshot"] = spark.read.parquet(snap_path)
+    w.put("snapshot", spark.read.parquet(snap_path))
 
     for d in DIMS:
         path = f"{root}/warehouse/{d}"
-        w._memo[d] = _timed(rep, d, lambda d=d, path=path: store.write_table(w.table(d), path))
+        w.put(d, _timed(rep, d, lambda d=d, path=path: store.write_table(w.table(d), path)))
 
     for f, key in FACT_KEYS.items():
         target = f"{root}/warehouse/{f}"
         since = None if full_refresh else store.max_loaded_at(spark, target)
         rep.since[f] = since
         w.since[f] = None if since is None else str(since)
-        w._memo.pop(f, None)
+        w.forget(f)
         batch = w.table(f)
-        w._memo[f] = _timed(rep, f, lambda batch=batch, target=target, key=key, since=since: store.upsert_delete_insert(
-            spark, batch, target, key, buckets=buckets, full_refresh=since is None))
+        w.put(f, _timed(rep, f, lambda batch=batch, target=target, key=key, since=since: store.upsert_delete_insert(
+            spark, batch, target, key, buckets=buckets, full_refresh=since is None)))
 
     for o in OBTS:
         path = f"{root}/obt/{o}"
-        w._memo[o] = _timed(rep, o, lambda o=o, path=path: store.write_table(w.table(o), path))
+        w.put(o, _timed(rep, o, lambda o=o, path=path: store.write_table(w.table(o), path)))
 
     if run_dq:
         def models(name):

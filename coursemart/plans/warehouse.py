@@ -113,3 +113,11 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)()
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Replace a model by its materialized table (later models read the table)."""
+        self._memo[name] = df
+        return df
+
+    def forget(self, name: str) -> None:
+        self._memo.pop(name, None)

@@ -80,17 +80,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def materialize(df, name: str = "intermediate"):
-    """Cut lineage: write ``df`` once as a Parquet table under the shared work folder and
-    return the table as read back (one computation; an eager RDD checkpoint counts and then
-    recomputes to write). The read-back scan carries real size statistics for the planner,
-    and its row count, observed while writing, is remembered for size checks."""
+def write_and_read(df, path: str, mode: str = "overwrite"):
+    """Write ``df`` as Parquet at ``path`` and return the table as read back, with the row count
+    observed while writing remembered for size checks (``known_rows``)."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    path = scratch_path(df.sparkSession, name)
-    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
     out = df.sparkSession.read.parquet(path)
     try:
         out._materialized_rows = int(obs.get["n"])
@@ -99,6 +96,14 @@ def materialize(df, name: str = "intermediate"):
     return out
 
 
+def materialize(df, name: str = "intermediate"):
+    """Cut lineage: write ``df`` once as a Parquet table under the shared work folder and
+    return the table as read back (one computation; an eager RDD checkpoint counts and then
+    recomputes to write). The read-back scan carries real size statistics for the planner,
+    and its row count, observed while writing, is remembered for size checks."""
+    return write_and_read(df, scratch_path(df.sparkSession, name))
+
+
 def known_rows(df) -> int | None:
     """Row count of a table returned by ``materialize`` (None for other DataFrames)."""
     return getattr(df, "_materialized_rows", None)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.session import path_exists
+from coursemart.session import path_exists, write_and_read
 from coursemart.sources.staging import check_same_schema
 
 BUCKET = "_bucket"
@@ -21,8 +21,7 @@ BUCKET = "_bucket"
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Materialize a model as a whole-table rebuild and return the table as read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return write_and_read(df, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
