@@ -21,7 +21,7 @@ from coursemart.operators import dq
 from coursemart.operators.facts import dedup_latest
 from coursemart.params import Params
 from coursemart.plans.warehouse import Warehouse
-from coursemart.session import path_exists
+from coursemart.session import table_exists
 from coursemart.sources import landing, store
 from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, stage_all
 
@@ -64,7 +64,7 @@ def read_landed(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def _latest_snapshot(spark: SparkSession, root: str):
     n = 0
-    while path_exists(spark, f"{root}/snapshots/dim_program/v={n + 1}"):
+    while table_exists(spark, f"{root}/snapshots/dim_program/v={n + 1}"):
         n += 1
     return n, (spark.read.parquet(f"{root}/snapshots/dim_program/v={n}") if n else None)
 

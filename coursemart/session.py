@@ -18,8 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # dynamic partition overwrite: delete+insert rewrites only the buckets it touches
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -71,7 +69,31 @@ def local_path(p: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when a readable Parquet table is at ``path``."""
+    """True when something exists at ``path`` on its file system (any Hadoop-compatible store).
+
+    Asks the Hadoop FileSystem of the path; where the JVM is not reachable from Python
+    (Spark Connect) it falls back to probing a Parquet read."""
+    jvm = getattr(spark.sparkContext, "_jvm", None) if hasattr(spark, "sparkContext") else None
+    if jvm is not None:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a readable table is at ``path``: the job committer's ``_SUCCESS`` marker, or —
+    for tables last rewritten by dynamic partition overwrite, which leaves no marker at the
+    root — a successful schema read. A folder left by a failed write does not count."""
+    if path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
+        return True
+    if not path_exists(spark, path):
+        return False
     from pyspark.errors import AnalysisException
     try:
         spark.read.parquet(path).schema

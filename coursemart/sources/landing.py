@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from coursemart.functions.exprs import ts_lit
-from coursemart.session import path_exists
+from coursemart.session import table_exists
 
 
 @dataclass
@@ -32,7 +32,7 @@ def _write(df: DataFrame, path: str, mode: str, name: str) -> int:
 
 
 def target_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
+    return table_exists(spark, path)
 
 
 def land_full(spark: SparkSession, src: DataFrame, target: str, run_ts: str, name: str = "table") -> LandResult:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.session import path_exists, write_and_read
+from coursemart.session import table_exists, write_and_read
 from coursemart.sources.staging import check_same_schema
 
 BUCKET = "_bucket"
@@ -39,9 +39,10 @@ def upsert_delete_insert(spark: SparkSession, batch: DataFrame, target: str, key
     ``full_refresh`` (or a missing target) writes the batch as the whole table. A batch
     whose schema differs from the target's raises ``SchemaDrift`` (on_schema_change=fail).
     """
-    if full_refresh or not path_exists(spark, target):
+    if full_refresh or not table_exists(spark, target):
+        # static overwrite: a full refresh replaces every bucket, including ones the batch lacks
         _with_bucket(batch, key, buckets).repartition(BUCKET).write.mode("overwrite") \
-            .partitionBy(BUCKET).parquet(target)
+            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(target)
         return read_table(spark, target)
 
     current = spark.read.parquet(target)
@@ -65,8 +66,9 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, target: str, key: str,
     from coursemart.operators.facts import dedup_latest
 
     b = _with_bucket(dedup_latest(batch, key), key, buckets)
-    if not path_exists(spark, target):
-        b.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+    if not table_exists(spark, target):
+        b.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(BUCKET).parquet(target)
         return read_table(spark, target)
     current = spark.read.parquet(target)
     touched = b.select(BUCKET).distinct()
@@ -79,6 +81,6 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, target: str, key: str,
 def max_loaded_at(spark: SparkSession, target: str):
     """Incremental watermark of a fact: max(_loaded_at) of the target, None when the target is
     missing or empty (then the run is a first load: an empty target must not block loading)."""
-    if not path_exists(spark, target):
+    if not table_exists(spark, target):
         return None
     return spark.read.parquet(target).agg(F.max("_loaded_at")).first()[0]

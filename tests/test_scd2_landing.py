@@ -132,3 +132,12 @@ def test_upsert_latest_keeps_newer_and_replay_is_noop(spark):
     store.upsert_latest(spark, old, target, "k", buckets=4)      # a late replay of an older version
     out = sorted((r.k, r.v) for r in store.upsert_latest(spark, new, target, "k", buckets=4).collect())
     assert out == [(1, "new"), (2, "b")]
+
+
+def test_full_refresh_replaces_every_bucket(spark):
+    target = scratch_path(spark, "t_refresh")
+    store.upsert_delete_insert(spark, spark.createDataFrame([(i, "a") for i in range(20)], "k long, v string"),
+                               target, "k", buckets=8)
+    out = store.upsert_delete_insert(spark, spark.createDataFrame([(1, "b")], "k long, v string"), target, "k",
+                                     buckets=8, full_refresh=True)
+    assert [(r.k, r.v) for r in out.collect()] == [(1, "b")]
