@@ -1,10 +1,11 @@
 """Data-quality operators and the declared suite.
 
 Each check returns its failing rows (0 rows = pass). The suite runner turns every declared
-check into one (model, column_name, test, failures) row: row-level checks of one model
-(not_null, accepted_range, singular predicates) are fused into a single aggregate pass
-over that model; unique / unique_combination are a grouped count; relationships an anti
-join against the parent's distinct keys; accepted_values a distinct count of bad values.
+check into one (model, column_name, test, failures) row, with one job per checked model:
+row-level checks (not_null, accepted_range, CHECK predicates, singular tests) fused into a
+single aggregate pass; unique / unique_combination / accepted_values as typed grouped counts
+reading only their columns; all foreign keys of the model as left joins to the parents'
+distinct keys in one plan.
 """
 
 from __future__ import annotations
@@ -236,33 +237,23 @@ def _report_row(c: Check, failures: Column) -> list[Column]:
             F.lit(c.test).alias("test"), failures.cast("bigint").alias("failures")]
 
 
-def _keyed_value(c: Check):
-    """(include?, value text) of a check's grouping key. A combination is one JSON text (a NULL
-    field is left out, so NULLs group together and never equal a value)."""
-    if c.test == "unique_combination":
-        return F.lit(True), F.to_json(F.struct(*[F.col(x) for x in c.column.split(",")]))
-    v = F.col(c.column)
+def _keyed_check(df: DataFrame, c: Check) -> DataFrame:
+    """One grouped check as a one-row report: typed grouping on the checked column(s) only, so
+    the scan reads just those columns and the shuffle carries narrow typed keys."""
     if c.test == "unique":
-        return v.isNotNull(), v.cast("string")
-    return v.isNotNull() & ~v.isin(*c.args["values"]), v.cast("string")
+        failing = dq_unique(df.select(c.column), c.column)
+    elif c.test == "unique_combination":
+        cols = c.column.split(",")
+        failing = dq_unique_combination(df.select(*cols), cols)
+    else:
+        failing = dq_accepted_values(df.select(c.column), c.column, c.args["values"])
+    return failing.agg(*_report_row(c, F.count(F.lit(1))))
 
 
 def _keyed_checks(df: DataFrame, cs: list[Check]) -> DataFrame:
-    """unique, unique_combination and accepted_values checks of one model in one aggregation:
-    each row emits (check, value) pairs — non-NULL values for unique, the combination for
-    unique_combination, invalid values for accepted_values — grouped once by (check, value)."""
-    pairs = []
-    for i, c in enumerate(cs):
-        cond, v = _keyed_value(c)
-        pairs.append(F.when(cond, F.struct(F.lit(i).alias("i"), v.alias("v"))))
-    g = (df.select(F.explode(F.array(*pairs)).alias("p")).filter(F.col("p").isNotNull())
-         .groupBy("p.i", "p.v").agg(F.count(F.lit(1)).alias("n")))
-    fails = []
-    for i, c in enumerate(cs):
-        dup = c.test in ("unique", "unique_combination")
-        hit = (F.col("i") == i) & ((F.col("n") > 1) if dup else F.lit(True))
-        fails.append(F.count(F.when(hit, 1)).alias(f"f{i}"))
-    return _stack(g.agg(*fails), cs)
+    """unique, unique_combination and accepted_values checks of one model: independent typed
+    aggregations, run as stages of one job."""
+    return reduce(DataFrame.unionByName, [_keyed_check(df, c) for c in cs])
 
 
 def _stack(one_row: DataFrame, cs: list[Check]) -> DataFrame:
