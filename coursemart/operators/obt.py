@@ -80,10 +80,13 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
 
     # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment
     # group of early-arriving rows) are numbered across partitions
+    # hot groups are detected on a narrow input: the fact's two key columns and one dimension lookup
+    detect = lk.join(f_se.select("program_enrollment_key", "subject_key"), d_subject, "subject_key",
+                     cols=["subject_key", "subject_code"]).drop("subject_key")
     x = windows.row_number(e, ["program_enrollment_key", "subject_code"],
                            [F.col("semester_start_date").asc_nulls_last(),
                             F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
-                           p.hot_group_rows, p.hot_sample_fraction)
+                           p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
     # NULL-safe on both keys: NULL offering / NULL mark rows get their group's rank
     r = lk.side(ranks)
     x = x.join(r, x.offering_key.eqNullSafe(r.offering_key) & x.final_mark.eqNullSafe(r.final_mark), "left") \
@@ -140,7 +143,8 @@ def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_sub
 
     x = windows.lag(e, ["subject_enrollment_key"], [F.col("submitted_at").asc_nulls_last(),
                                                      F.col("result_id").asc_nulls_last()],
-                    "score_percentage", "_prev", p.hot_group_rows, p.hot_sample_fraction)
+                    "score_percentage", "_prev", p.hot_group_rows, p.hot_sample_fraction,
+                    detect_on=f_ar.select("subject_enrollment_key"))
     x = lk.join(x, stats, "assessment_key")
     sd = F.col("_sd")
     z = F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double")) \

@@ -33,14 +33,18 @@ def _ns_join_cond(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float = HOT_SAMPLE_FRACTION):
+def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float = HOT_SAMPLE_FRACTION,
+              detect_on: DataFrame | None = None):
     """(cold rows, hot rows, number of hot groups).
 
     Hot groups are found on a seeded sample: a group with more than ``threshold`` rows shows
     about ``threshold * fraction`` sampled rows; groups with half of that are flagged. A
     missed or an extra flag changes only the speed, never the result (both paths are exact).
-    At most rows/threshold groups can be hot, so the key list is small and broadcast."""
-    sample = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
+    At most rows/threshold groups can be hot, so the key list is small and broadcast.
+    ``detect_on``: a narrower input with the same rows per group (e.g. the fact before its
+    dimension joins) to sample instead of ``df``; a sample is not pushed below joins."""
+    src = df if detect_on is None else detect_on
+    sample = src if fraction >= 1.0 else src.sample(fraction=fraction, seed=17)
     hot_keys = (sample.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > max(1.0, threshold * fraction / 2)).select(*part)
                 .withColumn("_hot", F.lit(True)))
@@ -65,11 +69,12 @@ def _ranged(hot: DataFrame, part: list[str], order: list[Column], n_rows_hint: i
 
 
 def row_number(df: DataFrame, part: list[str], order: list[Column], out: str,
-               threshold: int = HOT_GROUP_ROWS, fraction: float = HOT_SAMPLE_FRACTION) -> DataFrame:
+               threshold: int = HOT_GROUP_ROWS, fraction: float = HOT_SAMPLE_FRACTION,
+               detect_on: DataFrame | None = None) -> DataFrame:
     """``row_number() over (partition by part order by order)`` as BIGINT; ``order`` must be a
     total order within each group (end it with a unique column)."""
     w = Window.partitionBy(*part).orderBy(*order)
-    cold, hot, n_hot = split_hot(df, part, threshold, fraction)
+    cold, hot, n_hot = split_hot(df, part, threshold, fraction, detect_on)
     cold = cold.withColumn(out, F.row_number().over(w).cast("bigint"))
     if hot is None:
         return cold
@@ -87,10 +92,11 @@ def row_number(df: DataFrame, part: list[str], order: list[Column], out: str,
 
 
 def lag(df: DataFrame, part: list[str], order: list[Column], value: str, out: str,
-        threshold: int = HOT_GROUP_ROWS, fraction: float = HOT_SAMPLE_FRACTION) -> DataFrame:
+        threshold: int = HOT_GROUP_ROWS, fraction: float = HOT_SAMPLE_FRACTION,
+        detect_on: DataFrame | None = None) -> DataFrame:
     """``lag(value) over (partition by part order by order)``; ``order`` a total order per group."""
     w = Window.partitionBy(*part).orderBy(*order)
-    cold, hot, n_hot = split_hot(df, part, threshold, fraction)
+    cold, hot, n_hot = split_hot(df, part, threshold, fraction, detect_on)
     cold = cold.withColumn(out, F.lag(value).over(w))
     if hot is None:
         return cold
