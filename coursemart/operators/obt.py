@@ -4,9 +4,9 @@ Skew notes. Per-offering statistics (rank, class size, mark averages) are not co
 windows over the raw rows — one offering may hold a large share of all enrollments.
 Rows are first pre-aggregated to (offering, mark) counts (partial aggregation before the
 shuffle); the rank of a mark is then 1 + the number of rows with a higher mark, a window
-over at most 10,001 marks per offering. The small tables are checkpointed (one pass
-over the wide input instead of one per statistic) and joined back with a size-checked
-broadcast.
+over at most 10,001 marks per offering. The (offering, mark) counts are written once (one
+pass over the wide input for all per-offering statistics); the statistics aggregated from
+them are joined back, broadcast when their proven row bound fits the budget.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from coursemart.functions.exprs import (cents_sum_count, completed_years, date_l
 from coursemart.operators import windows
 from coursemart.operators.joins import Lookup
 from coursemart.params import Params
-from coursemart.session import materialize
+from coursemart.session import known_rows, materialize
 
 
 def _materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
@@ -72,7 +72,8 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
                            p: Params) -> DataFrame:
     e = subject_enriched(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk)
     counts = _materialize(mark_counts(e), "offering_mark_counts")
-    ranks = _materialize(offering_mark_ranks(counts), "offering_mark_ranks")
+    bound = known_rows(counts)  # every table below aggregates ``counts``: at most this many rows
+    ranks = offering_mark_ranks(counts)
     subj = _weighted_mark_stats(counts, ["subject_code", "semester_id"], p, "subject_pass_rate") \
         .withColumnRenamed("_avg", "program_average_mark_for_this_subject")
     coord = _weighted_mark_stats(counts, ["coordinator_name"], p, None) \
@@ -88,11 +89,11 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
                             F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
                            p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
     # NULL-safe on both keys: NULL offering / NULL mark rows get their group's rank
-    r = lk.side(ranks)
+    r = lk.side_bounded(ranks, bound)
     x = x.join(r, x.offering_key.eqNullSafe(r.offering_key) & x.final_mark.eqNullSafe(r.final_mark), "left") \
         .drop(r.offering_key).drop(r.final_mark)
-    x = lk.join(x, subj, ["subject_code", "semester_id"])
-    x = lk.join(x, coord, "coordinator_name")
+    x = x.join(lk.side_bounded(subj, bound), ["subject_code", "semester_id"], "left")
+    x = x.join(lk.side_bounded(coord, bound), "coordinator_name", "left")
 
     mark = F.col("final_mark")
     is_pass = mark.isNotNull() & (mark >= F.lit(p.subject_pass_mark))
@@ -145,6 +146,8 @@ def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_sub
                                                      F.col("result_id").asc_nulls_last()],
                     "score_percentage", "_prev", p.hot_group_rows, p.hot_sample_fraction,
                     detect_on=f_ar.select("subject_enrollment_key"))
+    # one row per assessment key seen in the fact (keys of deleted assessments included), written
+    # once with its row count observed: broadcast only when that count fits the budget
     x = lk.join(x, stats, "assessment_key")
     sd = F.col("_sd")
     z = F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double")) \
