@@ -28,8 +28,14 @@ def dedup_latest(df: DataFrame, pk, order=None) -> DataFrame:
 
 def incremental_source(stg: DataFrame, since: str | None) -> DataFrame:
     """Journal rows that arrived after the target's last load (``since`` is a literal, so the
-    predicate reaches the Parquet scan). ``None`` means first load / full refresh."""
-    return stg if since is None else stg.filter(F.col("_ingested_at") > ts_lit(since))
+    predicate reaches the Parquet scan; on a journal partitioned by ingest date the implied
+    date bound prunes the folders of earlier runs). ``None`` means first load / full refresh."""
+    if since is None:
+        return stg
+    out = stg.filter(F.col("_ingested_at") > ts_lit(since))
+    if "_ingest_date" in stg.columns:
+        out = out.filter(F.col("_ingest_date") >= F.to_date(ts_lit(since)))
+    return out
 
 
 def fact_program_enrollment(stg: DataFrame, d_student: DataFrame, d_program: DataFrame, lk: Lookup,

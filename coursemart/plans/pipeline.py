@@ -54,7 +54,7 @@ def land(spark: SparkSession, sources: dict[str, DataFrame], root: str, p: Param
         rep.landed[t] = landing.land_full(spark, sources[t], f"{root}/raw/raw_{t}", p.run_ts, t)
     for t, spec in INCREMENTAL_TABLES.items():
         rep.landed[t] = landing.land_incremental(spark, sources[t], f"{root}/raw/raw_{t}", spec["cursor"], spec["pk"],
-                                                 p.run_ts, p.lookback_minutes, force_full, t)
+                                                 p.run_ts, p.lookback_minutes, force_full, t, by_ingest_date=True)
     return rep
 
 

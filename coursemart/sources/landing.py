@@ -25,9 +25,19 @@ class LandResult:
     watermark: object = None
 
 
-def _write(df: DataFrame, path: str, mode: str, name: str) -> int:
+INGEST_DATE = "_ingest_date"
+
+
+def _write(df: DataFrame, path: str, mode: str, name: str, by_ingest_date: bool = False) -> int:
+    """Write and return the exact row count observed while writing. Journals are partitioned
+    by ingest date, so incremental reads prune whole folders of earlier runs."""
     obs = Observation(f"land_{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if by_ingest_date:
+        w = w.withColumn(INGEST_DATE, F.to_date("_ingested_at"))
+        w.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(INGEST_DATE).parquet(path)
+    else:
+        w.write.mode(mode).parquet(path)
     return int(obs.get["rows"])
 
 
@@ -35,12 +45,13 @@ def target_exists(spark: SparkSession, path: str) -> bool:
     return table_exists(spark, path)
 
 
-def land_full(spark: SparkSession, src: DataFrame, target: str, run_ts: str, name: str = "table") -> LandResult:
+def land_full(spark: SparkSession, src: DataFrame, target: str, run_ts: str, name: str = "table",
+              by_ingest_date: bool = False) -> LandResult:
     """Replace ``target`` with ``src`` + ``_ingested_at``. An empty source never wipes a
     non-empty target (the guard costs a ``limit 1`` probe on each side, not a count)."""
     if src.isEmpty() and target_exists(spark, target) and not spark.read.parquet(target).isEmpty():
         return LandResult(name, "skipped", 0)
-    rows = _write(src.withColumn("_ingested_at", ts_lit(run_ts)), target, "overwrite", name)
+    rows = _write(src.withColumn("_ingested_at", ts_lit(run_ts)), target, "overwrite", name, by_ingest_date)
     return LandResult(name, "full", rows)
 
 
@@ -59,7 +70,8 @@ def _ts_text(v) -> str:
 
 
 def land_incremental(spark: SparkSession, src: DataFrame, target: str, cursor: str, pk: str, run_ts: str,
-                     lookback_minutes: int = 10, force_full: bool = False, name: str = "table") -> LandResult:
+                     lookback_minutes: int = 10, force_full: bool = False, name: str = "table",
+                     by_ingest_date: bool = False) -> LandResult:
     """Append source rows with ``cursor > watermark - lookback`` that are not already landed
     with the same (pk, cursor). No watermark (or ``force_full``) → full reload.
 
@@ -68,15 +80,15 @@ def land_incremental(spark: SparkSession, src: DataFrame, target: str, cursor: s
     """
     wm = None if force_full else watermark(spark, target, cursor)
     if wm is None:
-        res = land_full(spark, src, target, run_ts, name)
+        res = land_full(spark, src, target, run_ts, name, by_ingest_date)
         res.watermark = None
         return res
     bound = ts_lit(_ts_text(wm)) - F.expr(f"INTERVAL {int(lookback_minutes)} MINUTES")
     fresh = src.filter(F.col(cursor) > bound)
     landed = spark.read.parquet(target).filter(F.col(cursor) > bound).select(pk, cursor)
     batch = fresh.join(landed, [pk, cursor], "left_anti").withColumn("_ingested_at", ts_lit(run_ts))
-    batch = batch.select(*spark.read.parquet(target).columns)
-    rows = _write(batch, target, "append", name)
+    batch = batch.select(*[c for c in spark.read.parquet(target).columns if c != INGEST_DATE])
+    rows = _write(batch, target, "append", name, by_ingest_date)
     return LandResult(name, "incremental", rows, wm)
 
 

@@ -95,6 +95,8 @@ def staged(raw: DataFrame, table: str) -> DataFrame:
     cols = [f.name for f in SOURCE_SCHEMAS[table].fields if f.name in raw.columns] + ["_ingested_at"]
     if "src_seq" in raw.columns:  # landing sequence, the last tie-break of arrival order
         cols.append("src_seq")
+    if "_ingest_date" in raw.columns:  # journal partition column: lets incremental reads prune folders
+        cols.append("_ingest_date")
     return raw.select(*cols)
 
 

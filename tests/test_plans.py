@@ -44,3 +44,18 @@ def test_wide_table_broadcasts_dims_and_has_no_python(spark):
     # column pruning: the lineitem scan reads only the columns the binding needs
     scans = [ln for ln in p.splitlines() if ln.startswith("ReadSchema: struct<l_")]
     assert scans and all("l_tax" not in s and "l_discount" not in s and "l_quantity" not in s for s in scans)
+
+
+def test_journal_partitions_pruned_by_ingest_date(spark):
+    from coursemart.sources import landing
+    from coursemart.sources.staging import staged
+    target = scratch_path(spark, "journal_by_date")
+    rows = spark.range(10).select(F.col("id").alias("result_id"), F.col("id").alias("subject_enrollment_id"),
+                                  F.col("id").alias("assessment_id"), F.lit(None).cast("decimal(5,2)").alias("raw_score"),
+                                  ts_lit("2024-01-01 00:00:00").alias("submitted_at"),
+                                  ts_lit("2024-01-01 00:00:00").alias("updated_at"))
+    landing.land_full(spark, rows, target, "2024-01-02 00:00:00", by_ingest_date=True)
+    stg = staged(spark.read.parquet(target), "assessment_results")
+    p = plan(incremental_source(stg, "2024-03-01 00:00:00"))
+    part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
+    assert part and "_ingest_date" in part[0] and ">= 2024-03-01" in part[0], p
