@@ -79,9 +79,9 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
     coord = _weighted_mark_stats(counts, ["coordinator_name"], p, None) \
         .withColumnRenamed("_avg", "coordinator_average_mark")
 
-    # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment
-    # group of early-arriving rows) are numbered across partitions
-    # hot groups are detected on a narrow input: the fact's two key columns and one dimension lookup
+    # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment group
+    # of early-arriving rows) are numbered across partitions. Detection samples a narrow input:
+    # the fact's two key columns and one dimension lookup.
     detect = lk.join(f_se.select("program_enrollment_key", "subject_key"), d_subject, "subject_key",
                      cols=["subject_key", "subject_code"]).drop("subject_key")
     x = windows.row_number(e, ["program_enrollment_key", "subject_code"],
