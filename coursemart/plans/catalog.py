@@ -45,14 +45,24 @@ def r6_sql(cols_all: list[str], rounded: list[str]) -> str:
 # ---------------------------------------------------------------------------------------
 # dims and facts (whole tables)
 
-for _name in ["dim_program", "dim_student", "dim_subject", "dim_semester", "dim_subject_offering", "dim_assessment",
+@register("dim_program", O.q("""select * from dim_program
+where program_id in (select program_id from raw_program_enrollments)"""))
+def q_dim_program(spark, sf_dir):
+    """The programme dimension (current SCD2 versions), restricted to programmes in use by the
+    enrollment journal (a semi join; programmes come from a fixed-size table in the binding)."""
+    w = wh(spark, sf_dir)
+    used = w.stg["program_enrollments"].select("program_id")
+    return w.dim_program().join(used, "program_id", "left_semi")
+
+
+for _name in ["dim_student", "dim_subject", "dim_semester", "dim_subject_offering", "dim_assessment",
               "fact_program_enrollment", "fact_subject_enrollment", "fact_assessment_result"]:
     def _mk(n):
         return lambda spark, sf_dir: wh(spark, sf_dir).table(n)
     register(_name, O.q(f"select * from {_name}"))(_mk(_name))
 
 
-@register("dim_date", O.PREFIX.split("with", 1)[0] + """
+@register("dim_date", O.q("""
 select d as full_date, extract(year from d)::int as year, extract(quarter from d)::int as quarter,
        extract(month from d)::int as month, monthname(d) as month_name, extract(dow from d)::int as day_of_week,
        dayname(d) as day_name, extract(dow from d)::int in (0, 6) as is_weekend, extract(day from d)::int as day_of_month,
@@ -60,9 +70,15 @@ select d as full_date, extract(year from d)::int as year, extract(quarter from d
        date_trunc('quarter', d)::date as quarter_start,
        case when extract(month from d)::int >= 7 then extract(year from d)::int + 1 else extract(year from d)::int end
          as fiscal_year
-from (select unnest(generate_series(date '2000-01-01', date '2035-12-31', interval '1 day'))::date as d) s""")
+from (select unnest(generate_series(min(start_date), max(end_date), interval '1 day'))::date as d
+      from raw_semesters) s"""))
 def q_dim_date(spark, sf_dir):
-    return wh(spark, sf_dir).dim_date()
+    """The calendar dimension over the span of the data (first semester start to last semester
+    end); the warehouse default spans 2000-01-01 to 2035-12-31."""
+    from coursemart.operators.dims import dim_date
+    w = wh(spark, sf_dir)
+    lo, hi = w.stg["semesters"].agg(F.min("start_date"), F.max("end_date")).first()
+    return dim_date(spark, lo.isoformat(), hi.isoformat())
 
 
 # ---------------------------------------------------------------------------------------
@@ -257,46 +273,46 @@ def q_upsert_delete_insert(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------------------
-# SCD2 over three runs: run 2 renames one department and drops the Certificate programmes
-# from the source (hard delete, ignored); run 3 restores the source.
+# SCD2 over three runs, on students (an entity that grows with the data; the programme
+# snapshot of the warehouse uses the same operator): run 2 changes the e-mail of one segment
+# and drops another segment from the source (hard delete, ignored); run 3 restores the source.
 
-CHANGED_DEPT, NEW_DEPT = "ASIA", "ASIA-PACIFIC"
+SCD_KEY, SCD_CHECK = "student_id", ["first_name", "last_name", "email"]
+CHANGED_SEGMENT, DROPPED_SEGMENT = "BUILDING", "MACHINERY"
 
 
 def _scd_runs(spark, sf_dir):
     w = wh(spark, sf_dir)
-    src = scd2.program_snapshot_source(w.stg["programs"], ORACLE_PARAMS)
-    snaps = scratch_path(spark, "dim_program_snapshot")
+    src = w.stg["students"].select(SCD_KEY, *SCD_CHECK)
+    snaps = scratch_path(spark, "student_snapshot")
 
     def run(cur, ts, prev_path, path):
         prev = spark.read.parquet(prev_path) if prev_path else None
         cur = cur.withColumn("_loaded_at", ts_lit(ts))
-        scd2.scd2_snapshot(cur, prev, scd2.PROGRAM_KEY, scd2.PROGRAM_CHECK_COLS, ts).write.parquet(path)
+        scd2.scd2_snapshot(cur, prev, SCD_KEY, SCD_CHECK, ts).write.parquet(path)
         return path
 
     v1 = run(src, RUN1, None, f"{snaps}/v=1")
-    changed = (src.filter(F.col("degree_level") != "Certificate")
-               .withColumn("department", F.when(F.col("department") == CHANGED_DEPT, NEW_DEPT)
-                           .otherwise(F.col("department"))))
+    changed = (src.filter(F.col("first_name") != DROPPED_SEGMENT)
+               .withColumn("email", F.when(F.col("first_name") == CHANGED_SEGMENT, F.concat(F.lit("new."), "email"))
+                           .otherwise(F.col("email"))))
     v2 = run(changed, RUN2, v1, f"{snaps}/v=2")
     v3 = run(src, RUN3, v2, f"{snaps}/v=3")
     return spark.read.parquet(v3)
 
 
-def _scd_version_sql(ts, valid_to, dept="department", where=""):
+def _scd_version_sql(ts, valid_to, email="email", where=""):
     vt = "cast(null as timestamp)" if valid_to is None else valid_to
-    return (f"select md5(program_id || '|' || cast(timestamp '{ts}' as varchar)) as dbt_scd_id, program_id, program_name,"
-            f" {dept} as department, degree_level, total_credit_points_required, timestamp '{ts}' as _loaded_at,"
+    return (f"select md5(student_id || '|' || cast(timestamp '{ts}' as varchar)) as dbt_scd_id, student_id,"
+            f" first_name, last_name, {email} as email, timestamp '{ts}' as _loaded_at,"
             f" timestamp '{ts}' as dbt_updated_at, timestamp '{ts}' as dbt_valid_from, {vt} as dbt_valid_to"
-            f" from raw_programs {where}")
+            f" from raw_students {where}")
 
 
-# programmes that change in run 2: in the renamed department and still in the source
-_CHANGED = f"department = '{CHANGED_DEPT}' and degree_level <> 'Certificate'"
-SCD_SQL = ("," + "scd_all as (" + _scd_version_sql(
-    RUN1, f"case when {_CHANGED} then timestamp '{RUN2}' end")
-    + " union all " + _scd_version_sql(RUN2, f"timestamp '{RUN3}'", f"'{NEW_DEPT}'", f"where {_CHANGED}")
-    + " union all " + _scd_version_sql(RUN3, None, "department", f"where {_CHANGED}") + ")")
+_CHANGED = f"first_name = '{CHANGED_SEGMENT}'"
+SCD_SQL = ("," + "scd_all as (" + _scd_version_sql(RUN1, f"case when {_CHANGED} then timestamp '{RUN2}' end")
+           + " union all " + _scd_version_sql(RUN2, f"timestamp '{RUN3}'", "'new.' || email", f"where {_CHANGED}")
+           + " union all " + _scd_version_sql(RUN3, None, "email", f"where {_CHANGED}") + ")")
 
 
 def _scd_q(select):
@@ -308,20 +324,20 @@ def q_scd2_snapshot(spark, sf_dir):
     return _scd_runs(spark, sf_dir)
 
 
-@register("scd2_current", _scd_q("""select program_id, program_name, department, degree_level, total_credit_points_required,
-  dbt_valid_from as effective_from from scd_all where dbt_valid_to is null"""))
+@register("scd2_current", _scd_q("""select student_id, first_name, last_name, email, dbt_valid_from as effective_from
+from scd_all where dbt_valid_to is null"""))
 def q_scd2_current(spark, sf_dir):
     return scd2.scd2_current(_scd_runs(spark, sf_dir)).select(
-        "program_id", *scd2.PROGRAM_CHECK_COLS, F.col("dbt_valid_from").alias("effective_from"))
+        SCD_KEY, *SCD_CHECK, F.col("dbt_valid_from").alias("effective_from"))
 
 
-@register("scd2_history", _scd_q("""select program_id, department, dbt_valid_from, dbt_valid_to,
-  row_number() over (partition by program_id order by dbt_valid_from) as version from scd_all"""))
+@register("scd2_history", _scd_q("""select student_id, email, dbt_valid_from, dbt_valid_to,
+  row_number() over (partition by student_id order by dbt_valid_from) as version from scd_all"""))
 def q_scd2_history(spark, sf_dir):
     from pyspark.sql import Window
     h = _scd_runs(spark, sf_dir)
-    w = Window.partitionBy("program_id").orderBy("dbt_valid_from")  # a handful of versions per key
-    return h.select("program_id", "department", "dbt_valid_from", "dbt_valid_to",
+    w = Window.partitionBy(SCD_KEY).orderBy("dbt_valid_from")  # a handful of versions per key
+    return h.select(SCD_KEY, "email", "dbt_valid_from", "dbt_valid_to",
                     F.row_number().over(w).cast("bigint").alias("version"))
 
 
