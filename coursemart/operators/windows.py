@@ -27,6 +27,7 @@ from coursemart.session import known_rows, materialize
 HOT_GROUP_ROWS = 5_000_000   # a group above this many rows is numbered across partitions
 HOT_PARTITION_ROWS = 2_000_000
 HOT_SAMPLE_FRACTION = 0.001  # detection sample; a group of HOT_GROUP_ROWS shows ~5,000 sampled rows
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _ns_join_cond(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
@@ -35,7 +36,7 @@ def _ns_join_cond(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float = HOT_SAMPLE_FRACTION,
               detect_on: DataFrame | None = None):
-    """(cold rows, hot rows, number of hot groups).
+    """(cold rows, hot rows, number of hot groups, estimated hot rows).
 
     Hot groups are found on a seeded sample: a group with more than ``threshold`` rows shows
     about ``threshold * fraction`` sampled rows; groups with half of that are flagged. A
@@ -46,22 +47,29 @@ def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float =
     src = df if detect_on is None else detect_on
     sample = src if fraction >= 1.0 else src.sample(fraction=fraction, seed=17)
     hot_keys = (sample.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > max(1.0, threshold * fraction / 2)).select(*part)
+                .filter(F.col("_n") > max(1.0, threshold * fraction / 2))
                 .withColumn("_hot", F.lit(True)))
     if hot_keys.isEmpty():  # the usual case: one small sampled job, nothing written
-        return df, None, 0
+        return df, None, 0, 0
     hot_keys = materialize(hot_keys, "hot_groups")
     n_hot = known_rows(hot_keys)
-    hk = F.broadcast(hot_keys)
+    hot_rows = int(hot_keys.agg(F.sum("_n")).first()[0] / min(1.0, fraction))  # estimated hot rows
+    hk = hot_keys.drop("_n")
+    # at most 2 * rows / threshold keys; broadcast under the budget, else a shuffle join
+    if n_hot * 64 * (len(part) + 1) <= BROADCAST_BYTES:
+        hk = F.broadcast(hk)
     marked = df.join(hk, _ns_join_cond(df, hk, part), "left")
     for c in part:
         marked = marked.drop(hk[c])
     cold = marked.filter(F.col("_hot").isNull()).drop("_hot")
     hot = marked.filter(F.col("_hot")).drop("_hot")
-    return cold, hot, n_hot
+    return cold, hot, n_hot, hot_rows
 
 
 def _ranged(hot: DataFrame, part: list[str], order: list[Column], n_rows_hint: int) -> DataFrame:
+    """Hot rows range-partitioned on (group, order) into ~HOT_PARTITION_ROWS-row partitions.
+    Groups are contiguous in range order, so (group, partition) pairs number at most
+    groups + partitions: the offset tables below stay small."""
     n = max(1, n_rows_hint // HOT_PARTITION_ROWS + 1)
     ranged = hot.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in part], *order) \
         .withColumn("_pid", F.spark_partition_id())
@@ -74,11 +82,11 @@ def row_number(df: DataFrame, part: list[str], order: list[Column], out: str,
     """``row_number() over (partition by part order by order)`` as BIGINT; ``order`` must be a
     total order within each group (end it with a unique column)."""
     w = Window.partitionBy(*part).orderBy(*order)
-    cold, hot, n_hot = split_hot(df, part, threshold, fraction, detect_on)
+    cold, hot, n_hot, hot_rows = split_hot(df, part, threshold, fraction, detect_on)
     cold = cold.withColumn(out, F.row_number().over(w).cast("bigint"))
     if hot is None:
         return cold
-    r = _ranged(hot, part, order, threshold * n_hot)
+    r = _ranged(hot, part, order, max(hot_rows, threshold * n_hot))
     counts = r.groupBy(*part, "_pid").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, "_pid", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
@@ -96,11 +104,11 @@ def lag(df: DataFrame, part: list[str], order: list[Column], value: str, out: st
         detect_on: DataFrame | None = None) -> DataFrame:
     """``lag(value) over (partition by part order by order)``; ``order`` a total order per group."""
     w = Window.partitionBy(*part).orderBy(*order)
-    cold, hot, n_hot = split_hot(df, part, threshold, fraction, detect_on)
+    cold, hot, n_hot, hot_rows = split_hot(df, part, threshold, fraction, detect_on)
     cold = cold.withColumn(out, F.lag(value).over(w))
     if hot is None:
         return cold
-    r = _ranged(hot, part, order, threshold * n_hot)
+    r = _ranged(hot, part, order, max(hot_rows, threshold * n_hot))
     wl = Window.partitionBy(*part, "_pid").orderBy(*order)
     local = (r.withColumn("_rn", F.row_number().over(wl))
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*part, "_pid")))

@@ -41,7 +41,7 @@ def test_hot_group_found_through_narrow_detection_input(spark, monkeypatch):
     monkeypatch.setattr(windows, "HOT_PARTITION_ROWS", 300)
     df = _data(spark)
     order = [F.col("t").asc_nulls_last(), F.col("uid").asc()]
-    cold, hot, n_hot = windows.split_hot(df, ["g"], threshold=400, fraction=0.5, detect_on=df.select("g"))
+    cold, hot, n_hot, _ = windows.split_hot(df, ["g"], threshold=400, fraction=0.5, detect_on=df.select("g"))
     assert n_hot >= 1 and hot.filter(F.col("g").isNull()).count() == 3500
     w = Window.partitionBy("g").orderBy(*order)
     want = {r.uid: r.rn for r in df.select("uid", F.row_number().over(w).alias("rn")).collect()}
