@@ -92,12 +92,20 @@ class Words:
         return span_hash(self.buf, self.start, self.end)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.full(max(n, 1), base, dtype=np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
+    """base^0 .. base^(n-1) modulo 2^64 (kept up to 16 million per process)."""
+    have = _POWERS.get(int(base))
+    if have is None or len(have) < n:
+        out = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            have = np.multiply.accumulate(out)
+        if len(have) <= 1 << 24:
+            _POWERS[int(base)] = have
+    return have[:n]
 
 
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coursemart.llm import exact, mixing
+from coursemart.llm import exact, lm, mixing, sampling
 from coursemart.llm.common import fold, read
 
 
@@ -15,6 +16,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf_dir, "documents"), fold("doc_id", 2) == 1)
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose fold of 5 is not 1; scores all."""
+    return lm.lm_score(read(spark, sf_dir, "documents"), fold("doc_id", 5) != 1, piece_model())
+
+
+def op8_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document, decoded again: ``lossless`` says whether the text came back."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = sampling.decode(sampling.encode(docs, piece_model()), piece_model())
+    return pieces.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                         F.coalesce(F.col("text"), F.lit("")).eqNullSafe(F.col("decoded")).alias("lossless"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target weight of a source: the square root of its size; as many rows out as in, in expectation."""
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
@@ -22,6 +42,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
+    "op8_sample_pieces": op8_sample_pieces,
     "op9_mix_sources": op9_mix_sources,
 }
 
