@@ -1,11 +1,14 @@
 """Subword lattice language model: a document's probability is the sum over all its segmentations.
 
 A document is its words and one end. A word's lattice has the pieces of an existing vocabulary as arcs and,
-if the training texts hold the word, one arc over the whole word. The word arc weighs its discounted training
-frequency; the discounted mass goes to the piece paths, whose weights start from the vocabulary's scores and are
-re-estimated on the distinct training words by expected counts (the pieces themselves stay as they are). Words
-are separated, so the forward recursion runs over each distinct word once, in logarithms, and a document's
-marginal is the sum over its words.
+if the training texts hold the word, one arc over the whole word; a word that the document has had before has
+one more. The word arc weighs its discounted training frequency; the discounted mass goes to the piece
+paths, whose weights start from the vocabulary's scores and are re-estimated on the distinct training words by
+expected counts (the pieces themselves stay as they are). The recall arc weighs the word's share of the
+document so far, which counts as RECALL tokens of the static model against each token read. Words are
+separated, so the forward recursion over pieces runs once for each distinct word, in logarithms, and a
+document's marginal is the sum over its tokens. Unseen words are spelled, so all texts' probabilities
+sum to one at most (the base gives every unseen word the mass of one).
 
 Counts and word scores are tables as large as the corpus' vocabulary; they are aggregated, joined and read in
 *chunks* of documents (a hash of id and text picks the chunk; about ``chunk_bytes`` of text each): every chunk
@@ -29,7 +32,7 @@ from coursemart.llm.common import cut, text_or_empty
 from coursemart.llm.lattice import vocabulary
 
 CHUNK_BYTES = 8 << 20
-DISCOUNT = 0.6
+RECALL = 1600.0
 ROUNDS = 2
 WORDS_AT_ONCE = 200_000
 
@@ -45,6 +48,7 @@ class Counts:
     tokens: int      # N: words and ends
     kinds: int       # V: distinct words, and the end
     ends: int
+    discount: float = 0.6
 
     def base(self, c: np.ndarray) -> np.ndarray:
         """log10 of the add-0.5 estimate of a token seen ``c`` times."""
@@ -54,13 +58,13 @@ class Counts:
     def left(self) -> float:
         """Mass that the discount leaves to the piece paths (all of it without training words)."""
         words, kinds = self.tokens - self.ends, max(0, self.kinds - (1 if self.ends else 0))
-        return DISCOUNT * kinds / words if words else 1.0
+        return self.discount * kinds / words if words else 1.0
 
     def word(self, c: np.ndarray, pieces: np.ndarray) -> np.ndarray:
         """log10 probability of a word seen ``c`` times whose piece paths weigh exp(pieces)."""
         words = self.tokens - self.ends
         p_word = 1.0 - 10 ** self.end()
-        whole = np.where(c > 0, (c - DISCOUNT) / max(words, 1), 0.0)
+        whole = np.where(c > 0, (c - self.discount) / max(words, 1), 0.0)
         with np.errstate(divide="ignore"):
             return (np.logaddexp(np.log(whole), math.log(self.left) + pieces) + math.log(p_word)) / math.log(10)
 
@@ -87,6 +91,17 @@ def _joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buf, end - lens, end
 
 
+def recalled(kind: np.ndarray, lp: np.ndarray) -> np.ndarray:
+    """log10 probability of each token of a document with the recall arc: ``kind`` numbers the tokens' words."""
+    order = np.argsort(kind, kind="stable")
+    first = np.flatnonzero(np.r_[True, kind[order][1:] != kind[order][:-1]])
+    before = np.empty(len(kind))
+    before[order] = np.arange(len(kind)) - np.repeat(first, np.diff(np.r_[first, len(kind)]))
+    with np.errstate(divide="ignore"):
+        own = np.where(before > 0, np.log10(RECALL * 10.0 ** lp + before), math.log10(RECALL) + lp)
+    return own - np.log10(RECALL + np.arange(len(kind)))
+
+
 def chunk_words(rows: DataFrame) -> DataFrame:
     """(chunk, word, seen): the distinct words of each chunk with their training occurrences.
     ``rows``: chunk, training, body; dealt by chunk."""
@@ -160,9 +175,11 @@ def lm_score(docs: DataFrame, training: Column, model_path: str, id_col: str = "
             .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "body"), F.lit(chunks))).repartition(chunks, "chunk"))
     per_chunk = cut(chunk_words(rows), "chunk-words")
     words = cut(per_chunk.groupBy("word").agg(F.sum("seen").alias("seen")), "words")
-    seen, kinds = words.agg(F.sum("seen"), F.sum((F.col("seen") > 0).cast("long"))).first()
+    seen, kinds, once, twice = words.agg(F.sum("seen"), *[F.count_if(c) for c in (F.col("seen") > 0, F.col("seen") == 1, F.col("seen") == 2)]).first()
     ends = int(ends or 0)
-    counts = Counts(tokens=int(seen or 0) + ends, kinds=int(kinds or 0) + (1 if ends else 0), ends=ends)
+    # the usual estimate from the numbers of words seen once and twice
+    discount = min(0.95, max(0.1, once / (once + 2.0 * twice))) if once else 0.6
+    counts = Counts(tokens=int(seen or 0) + ends, kinds=int(kinds or 0) + (1 if ends else 0), ends=ends, discount=discount)
     weight = learn_pieces(words, model_path, rounds)
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +200,7 @@ def lm_score(docs: DataFrame, training: Column, model_path: str, id_col: str = "
         out = []
         for text in part["body"]:
             at = np.array([place[w] for w in tokens(text)] + [len(table)], dtype=np.int64)
-            out.append((len(at), int((c[at] > 0).sum()), float(base[at].sum()), float(lp[at].sum())))
+            out.append((len(at), int((c[at] > 0).sum()), float(base[at].sum()), float(recalled(at, lp[at]).sum())))
         n = np.array(out, dtype=float).reshape(-1, 4)
         return pd.DataFrame({"doc_id": part["doc_id"], "held_out": ~part["training"].astype(bool), "n_tokens": n[:, 0].astype(np.int64),
                              "n_known": n[:, 1].astype(np.int64), "train_tokens": np.int64(counts.tokens),

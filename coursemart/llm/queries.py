@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import exact, lm, mixing, sampling
+from coursemart.llm import exact, lm, mixing, quality, sampling, tokenfile
 from coursemart.llm.common import fold, read
 
 
@@ -27,6 +27,15 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_score(read(spark, sf_dir, "documents"), fold("doc_id", 5) != 1, piece_model())
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, written in id order, read back."""
+    import public_tokenizers
+
+    path = tokenfile.tokenize_to_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return (tokenfile.token_crc32(tokenfile.read_tokens(spark, path)).join(tokenfile.token_starts(spark, path), "seq")
+            .select("doc_id", "start", "n_tokens", "ids_crc32"))
+
+
 def op8_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, decoded again: ``lossless`` says whether the text came back."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,11 +49,21 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits on the labelled documents whose fold of 3 is not 1; scores all."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return quality.score(docs, model).select("row.doc_id", (fold("row.doc_id", 3) == 1).alias("held_out"), "score",
+                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
+    "op6_token_files": op6_token_files,
     "op8_sample_pieces": op8_sample_pieces,
     "op9_mix_sources": op9_mix_sources,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
