@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import exact, lm, mixing, quality, sampling, tokenfile
+from coursemart.llm import exact, lines, lm, mixing, near, quality, sampling, tokenfile
 from coursemart.llm.common import fold, read
 
 
@@ -27,6 +27,13 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_score(read(spark, sf_dir, "documents"), fold("doc_id", 5) != 1, piece_model())
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat earlier ones, equal or within one edit."""
+    out = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", F.col("clean").alias("text"), "n_lines", F.size("dropped").alias("n_dropped"),
+                      F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped_lines"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, written in id order, read back."""
     import public_tokenizers
@@ -36,6 +43,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "n_tokens", "ids_crc32"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.8: every document's component and links."""
+    out = near.jaccard_join(read(spark, sf_dir, "documents"))
+    return (out.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+            .select(F.col("id").alias("doc_id"), "class_id", "n_links", (F.col("kept") & (F.col("nth") == 1)).alias("kept"),
+                    F.col("n").alias("n_shingles")))
+
+
 def op8_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, decoded again: ``lossless`` says whether the text came back."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,7 +75,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
+    "op4_line_dedup": op4_line_dedup,
     "op6_token_files": op6_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_sample_pieces": op8_sample_pieces,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality": op10_quality,
@@ -68,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact.ORACLE,
+    "op4_line_dedup": lines.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
 }
