@@ -10,6 +10,7 @@ numbers alone, skip the token pages.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,59 +21,90 @@ from pyspark.sql import functions as F
 
 from coursemart.llm.common import scratch_path, text_or_empty
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000        # words kept by a worker from batch to batch
+RUN_BYTES = 2 << 20          # text encoded at once
+ENCODE_AT_ONCE = 4096
+#: a word that ends in ASCII punctuation after an ASCII letter: tokenizers of this kind cut there
+TAIL = re.compile(rb"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
 
 class WordIds:
     """Token ids of whitespace-free words by a tokenizers file, each word encoded once while it is kept.
 
-    Holds for tokenizers that cut at white space and drop it: then a text's ids are its words' ids in
-    turn. Up to CACHE_WORDS words are kept from batch to batch."""
+    Holds for tokenizers that lower their text, cut at white space and drop it, and cut between letters
+    and other signs: then a text's ids are its words' ids in turn, and a word's are those of its letters
+    (lowered) and its closing punctuation. The first CACHE_WORDS words are kept, later ones for their run."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
         self.slot: dict[bytes, int] = {}
         self.flat = np.empty(1 << 16, dtype=np.int32)
         self.at = np.zeros(1, dtype=np.int64)
 
-    def _add(self, words: list[bytes]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+    def _put(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
         used = int(self.at[-1])
-        need = used + int(n.sum())
+        need = used + len(ids)
         if need > len(self.flat):
             grown = np.empty(max(need, 2 * len(self.flat)), dtype=np.int32)
             grown[:used] = self.flat[:used]
             self.flat = grown
-        self.flat[used:need] = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=need - used)
+        self.flat[used:need] = ids
         self.slot.update(zip(words, range(len(self.at) - 1, len(self.at) - 1 + len(words))))
         self.at = np.concatenate([self.at, used + np.cumsum(n)])
 
+    def _encode(self, words: list[bytes]) -> None:
+        for a in range(0, len(words), ENCODE_AT_ONCE):
+            part = words[a:a + ENCODE_AT_ONCE]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
+            n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            self._put(part, np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(n.sum())), n)
+
+    def _ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.at[slots + 1] - self.at[slots]
+        return self.flat[np.repeat(self.at[slots] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+    def _add(self, words: list[bytes]) -> None:
+        whole, split = [], {}
+        for w in words:
+            m = None if b"<|" in w else TAIL.fullmatch(w)
+            if m:
+                split[w] = (m[1].lower(), m[2])
+            else:
+                whole.append(w)
+        self._encode(list({p for two in split.values() for p in two if p not in self.slot and p not in split}.union(whole)))
+        # a part may itself be a word that is split: it is encoded as it is, under its own name
+        late = list({p for two in split.values() for p in two if p not in self.slot})
+        if late:
+            self._encode(late)
+        rest = [w for w in split if w not in self.slot]
+        if rest:
+            slots = np.array([[self.slot[a], self.slot[b]] for a, b in (split[w] for w in rest)], dtype=np.int64).ravel()
+            ids, n = self._ids(slots)
+            self._put(rest, ids, n.reshape(-1, 2).sum(axis=1))
+
     def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has); ``end_id`` closes each text."""
         docs = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        if len(self.slot) > CACHE_WORDS:
-            self.clear()
+        kept = len(self.at)
         fresh = list({w for d in docs for w in d if w not in self.slot})
         if fresh:
             self._add(fresh)
         slots = np.fromiter((self.slot[w] for d in docs for w in d), dtype=np.int64)
         words = np.array([len(d) for d in docs], dtype=np.int64)
-        n = self.at[slots + 1] - self.at[slots]
+        ids, n = self._ids(slots)
         doc = np.repeat(np.arange(len(docs)), words)
         per = np.bincount(doc, weights=n, minlength=len(docs)).astype(np.int64)
         total = per + (end_id is not None)
         out = np.full(int(total.sum()), end_id if end_id is not None else 0, dtype=np.int32)
         first = np.cumsum(total) - total
-        within = np.cumsum(n) - n - np.repeat(np.cumsum(per) - per, words)  # a word's place in its text
-        to = np.repeat(first[doc] + within - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        out[to] = self.flat[np.repeat(self.at[slots] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        out[np.arange(len(ids)) + np.repeat(first - (np.cumsum(per) - per), per)] = ids
+        if len(self.slot) > CACHE_WORDS:  # forget what this run added
+            for w in [w for w, k in self.slot.items() if k >= kept - 1]:
+                del self.slot[w]
+            self.at = self.at[:kept]
         return out, total
 
 
@@ -96,7 +128,7 @@ def encode_tokens(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_c
             a = 0
             while a < len(texts):
                 z, size = a, 0
-                while z < len(texts) and (z == a or size + len(texts[z]) <= 8 << 20):
+                while z < len(texts) and (z == a or size + len(texts[z]) <= RUN_BYTES):
                     size += len(texts[z])
                     z += 1
                 ids, counts = coder.encode(texts[a:z], end_id)
