@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import exact, lines, lm, mixing, near, quality, sampling, tokenfile
+from coursemart.llm import exact, lines, lm, mixing, near, quality, sampling, tokenfile, toxic, vectors
 from coursemart.llm.common import fold, read
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors against all, cosine 0.9."""
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with an even crc32 of the id are the snapshot, the others the arriving batch."""
     return exact.exact_dedup(read(spark, sf_dir, "documents"), fold("doc_id", 2) == 1)
@@ -34,6 +39,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat_ws(",", F.col("dropped").cast("array<string>")).alias("dropped_lines"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits on the labelled documents whose fold of 5 is not 0; scores all."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxic.fit(docs, read(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return toxic.score(docs, net).select("row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "score",
+                                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, written in id order, read back."""
     import public_tokenizers
@@ -73,9 +86,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
     "op4_line_dedup": op4_line_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sample_pieces": op8_sample_pieces,
@@ -84,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_near_vectors": vectors.ORACLE,
     "op2_exact_dedup": exact.ORACLE,
     "op4_line_dedup": lines.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
