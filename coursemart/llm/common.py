@@ -108,7 +108,11 @@ def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
     return have[:n]
 
 
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+def inverse(base: np.uint64) -> np.uint64:
+    return np.uint64(pow(int(base), -1, 1 << 64))
+
+
+INVERSE = inverse(BASE)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -119,12 +123,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
     """64-bit hash of each span of ``buf``: differences of a prefix polynomial, shifted back."""
     with np.errstate(over="ignore"):
         pre = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(len(buf)), dtype=np.uint64, out=pre[1:])
-        back = powers(len(buf) + 1, INVERSE)
+        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(len(buf), base), dtype=np.uint64, out=pre[1:])
+        back = powers(len(buf) + 1, INVERSE if base == BASE else inverse(base))
         return mix64((pre[end] - pre[start]) * back[start] + (end - start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 

@@ -19,13 +19,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import scratch_path, text_or_empty
+from coursemart.llm.common import Words, scratch_path, span_hash, text_or_empty
 
-CACHE_WORDS = 300_000        # words kept by a worker from batch to batch
+CACHE_WORDS = 400_000        # words kept by a worker from batch to batch
 RUN_BYTES = 2 << 20          # text encoded at once
 ENCODE_AT_ONCE = 4096
+SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 #: a word that ends in ASCII punctuation after an ASCII letter: tokenizers of this kind cut there
 TAIL = re.compile(rb"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+#: one token run of such a tokenizer: letters, or punctuation
+PLAIN = re.compile(rb"[a-z]+|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordIds:
@@ -33,81 +36,111 @@ class WordIds:
 
     Holds for tokenizers that lower their text, cut at white space and drop it, and cut between letters
     and other signs: then a text's ids are its words' ids in turn, and a word's are those of its letters
-    (lowered) and its closing punctuation. The first CACHE_WORDS words are kept, later ones for their run."""
+    (lowered) and its closing punctuation. Words are told apart by two 64-bit hashes. The first CACHE_WORDS
+    words are kept from run to run, later ones for their run."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.slot: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, dtype=np.int32)
-        self.at = np.zeros(1, dtype=np.int64)
-
-    def _put(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
-        used = int(self.at[-1])
-        need = used + len(ids)
-        if need > len(self.flat):
-            grown = np.empty(max(need, 2 * len(self.flat)), dtype=np.int32)
-            grown[:used] = self.flat[:used]
-            self.flat = grown
-        self.flat[used:need] = ids
-        self.slot.update(zip(words, range(len(self.at) - 1, len(self.at) - 1 + len(words))))
-        self.at = np.concatenate([self.at, used + np.cumsum(n)])
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        #: ids that end a run; without word ends in the vocabulary, words are encoded one by one
+        self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.slot: dict[int, int] = {}      # hash of a kept word -> its number
+        self.check = np.zeros(0, dtype=np.uint64)  # second hash of each word
+        self.parts: dict[bytes, int] = {}   # token runs of this run of texts
+        self.words, self.pieces = _Lists(), _Lists()
 
     def _encode(self, words: list[bytes]) -> None:
-        for a in range(0, len(words), ENCODE_AT_ONCE):
-            part = words[a:a + ENCODE_AT_ONCE]
+        """Encode the parts and number them."""
+        plain = [w for w in words if b"<|" not in w and PLAIN.fullmatch(w)] if self.ends.any() else []
+        for a in range(0, len(plain), ENCODE_AT_ONCE):  # runs apart by spaces: each ends with a word end
+            part = plain[a:a + ENCODE_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, dtype=np.int32)
+            n = np.diff(np.flatnonzero(np.r_[True, self.ends[ids]]))
+            if len(n) != len(part):
+                raise ValueError("a plain word is not one run of this tokenizer")
+            self.parts.update(zip(part, self.pieces.add(ids, n)))
+        rest = [w for w in words if w not in self.parts]
+        for a in range(0, len(rest), ENCODE_AT_ONCE):
+            part = rest[a:a + ENCODE_AT_ONCE]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
             n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            self._put(part, np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(n.sum())), n)
-
-    def _ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = self.at[slots + 1] - self.at[slots]
-        return self.flat[np.repeat(self.at[slots] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+            self.parts.update(zip(part, self.pieces.add(np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(n.sum())), n)))
 
     def _add(self, words: list[bytes]) -> None:
-        whole, split = [], {}
-        for w in words:
-            m = None if b"<|" in w else TAIL.fullmatch(w)
-            if m:
-                split[w] = (m[1].lower(), m[2])
-            else:
-                whole.append(w)
-        self._encode(list({p for two in split.values() for p in two if p not in self.slot and p not in split}.union(whole)))
-        # a part may itself be a word that is split: it is encoded as it is, under its own name
-        late = list({p for two in split.values() for p in two if p not in self.slot})
-        if late:
-            self._encode(late)
-        rest = [w for w in split if w not in self.slot]
-        if rest:
-            slots = np.array([[self.slot[a], self.slot[b]] for a, b in (split[w] for w in rest)], dtype=np.int64).ravel()
-            ids, n = self._ids(slots)
-            self._put(rest, ids, n.reshape(-1, 2).sum(axis=1))
+        """Number the words: a word's ids are those of its one or two parts."""
+        self.parts, self.pieces = {b"": 0}, _Lists()
+        self.pieces.add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))
+        split = [(w, b"") if b"<|" in w or not (m := TAIL.fullmatch(w)) else (m[1].lower(), m[2]) for w in words]
+        self._encode(list({p for two in split for p in two if p}))
+        ids, n = self.pieces.get(np.array([self.parts[p] for two in split for p in two], dtype=np.int64))
+        self.words.add(ids, n.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has); ``end_id`` closes each text."""
-        docs = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        kept = len(self.at)
-        fresh = list({w for d in docs for w in d if w not in self.slot})
-        if fresh:
-            self._add(fresh)
-        slots = np.fromiter((self.slot[w] for d in docs for w in d), dtype=np.int64)
-        words = np.array([len(d) for d in docs], dtype=np.int64)
-        ids, n = self._ids(slots)
-        doc = np.repeat(np.arange(len(docs)), words)
-        per = np.bincount(doc, weights=n, minlength=len(docs)).astype(np.int64)
+        w = Words([(t or "").encode("utf-8", "replace") for t in texts])
+        first_hash, second = w.hash, span_hash(w.buf, w.start, w.end, SECOND)
+        uniq, pick, kind = np.unique(first_hash, return_index=True, return_inverse=True)
+        if not np.array_equal(second[pick][kind], second):  # two words with one hash: tell them by position
+            pick, kind = np.arange(len(first_hash)), np.arange(len(first_hash))
+            uniq = np.zeros(0, dtype=np.uint64)
+        number = np.array([self.slot.get(h, -1) for h in uniq.tolist()] if len(uniq) else [-1] * len(pick), dtype=np.int64)
+        known = number >= 0
+        known[known] = self.check[number[known]] == second[pick][known]
+        fresh = np.flatnonzero(~known)
+        kept = self.words.count
+        if len(fresh):
+            buf = w.buf.tobytes()
+            self._add([buf[a:z] for a, z in zip(w.start[pick[fresh]].tolist(), w.end[pick[fresh]].tolist())])
+            number[fresh] = np.arange(kept, self.words.count)
+        ids, n = self.words.get(number[kind])
+        per = np.bincount(w.doc, weights=n, minlength=len(texts)).astype(np.int64)
         total = per + (end_id is not None)
         out = np.full(int(total.sum()), end_id if end_id is not None else 0, dtype=np.int32)
-        first = np.cumsum(total) - total
-        out[np.arange(len(ids)) + np.repeat(first - (np.cumsum(per) - per), per)] = ids
-        if len(self.slot) > CACHE_WORDS:  # forget what this run added
-            for w in [w for w, k in self.slot.items() if k >= kept - 1]:
-                del self.slot[w]
-            self.at = self.at[:kept]
+        out[np.arange(len(ids)) + np.repeat(np.cumsum(total) - total - (np.cumsum(per) - per), per)] = ids
+        if kept + len(fresh) <= CACHE_WORDS and len(uniq):
+            self.slot.update(zip(uniq[fresh].tolist(), range(kept, self.words.count)))
+            self.check = np.concatenate([self.check, second[pick[fresh]]])
+        else:
+            self.words.drop(kept)
         return out, total
 
 
+class _Lists:
+    """Numbered lists of ids in one growing array."""
+
+    def __init__(self):
+        self.flat, self.at, self.count = np.empty(1 << 12, dtype=np.int32), np.zeros(1 << 12, dtype=np.int64), 0
+
+    @staticmethod
+    def _room(x: np.ndarray, need: int) -> np.ndarray:
+        if need <= len(x):
+            return x
+        grown = np.empty(max(need, len(x) * 3 // 2), dtype=x.dtype)
+        grown[:len(x)] = x
+        return grown
+
+    def add(self, ids: np.ndarray, n: np.ndarray) -> range:
+        used = int(self.at[self.count])
+        self.flat = self._room(self.flat, used + len(ids))
+        self.flat[used:used + len(ids)] = ids
+        self.at = self._room(self.at, self.count + len(n) + 1)
+        self.at[self.count + 1:self.count + 1 + len(n)] = used + np.cumsum(n)
+        self.count += len(n)
+        return range(self.count - len(n), self.count)
+
+    def get(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the lists one after the other, their sizes)."""
+        n = self.at[k + 1] - self.at[k]
+        return self.flat[np.repeat(self.at[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+    def drop(self, count: int) -> None:
+        self.count = count
+
+
 _CODERS: dict[str, WordIds] = {}
 
 
