@@ -67,6 +67,24 @@ def by_bytes(texts: Iterable[str | None], limit: int = 4 << 20) -> Iterator[list
         yield run
 
 
+def column_runs(column, limit: int = 1 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(i, j, UTF-8 of the texts i..j-1) of an Arrow string column in runs of about ``limit`` bytes, taken from
+    the column's own buffer: a large batch is never turned into Python objects as a whole."""
+    n = len(column)
+    if not n:
+        return
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[column.offset:column.offset + n + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    i = 0
+    while i < n:
+        j = i + 1
+        while j < n and at[j + 1] - at[i] <= limit:
+            j += 1
+        yield i, j, [bytes(view[at[k]:at[k + 1]]) for k in range(i, j)]
+        i = j
+
+
 class Words:
     """Whitespace-separated words of a run of byte texts, as arrays.
 

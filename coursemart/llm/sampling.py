@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import mix64, span_hash, text_or_empty
+from coursemart.llm.common import column_runs, mix64, span_hash, text_or_empty
 from coursemart.llm.lattice import Lattice, Vocabulary, vocabulary
 
 GRID = float(1 << 36)  # arc probabilities as whole numbers: sums are exact, draws do not depend on the batch
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 def units(buf: np.ndarray, text_start: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -117,18 +117,6 @@ def decode_ids(vocab: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> list[b
     return [out[a + 1:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def _runs(texts: list, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    a = size = 0
-    for k, t in enumerate(texts):
-        n = len(t) if t else 0
-        if k > a and size + n > limit:
-            yield a, k
-            a, size = k, 0
-        size += n
-    if len(texts) > a:
-        yield a, len(texts)
-
-
 def encode(docs: DataFrame, model_path: str, seed: int = 17, sharpness: float = 1.0, id_col: str = "doc_id",
            text_col: str = "text", out_col: str = "piece_ids") -> DataFrame:
     """The columns of ``docs`` plus ``out_col`` (array of int): one sampled segmentation per row.
@@ -148,9 +136,8 @@ def encode(docs: DataFrame, model_path: str, seed: int = 17, sharpness: float =
         vocab = vocabulary(model_path)
         weight = vocab.weight * sharpness
         for b in batches:
-            texts, seeds = b.column("body").to_pylist(), b.column("seed").to_numpy().astype(np.uint64)
-            for i, j in _runs(texts):
-                part = [(t or "").encode() for t in texts[i:j]]
+            seeds = b.column("seed").to_numpy().astype(np.uint64)
+            for i, j, part in column_runs(b.column("body"), BATCH_BYTES):
                 ids, counts = sample_texts(vocab, part, seeds[i:j], weight)
                 if decode_ids(vocab, ids, counts) != part:  # two units with one hash: do each on its own
                     ids, counts = sample_texts(vocab, part, seeds[i:j], weight, share_units=False)
@@ -172,11 +159,12 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "piece_ids", out_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model_path)
         for b in batches:
-            col = b.column("ids")
-            counts = np.diff(col.offsets.to_numpy()).astype(np.int64)
-            ids = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            text = decode_ids(vocab, ids, counts)
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([t.decode("utf-8", "replace") for t in text], type=pa.string())],
-                                             names=["row", "text"])
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                col = part.column("ids")
+                counts = np.diff(col.offsets.to_numpy()).astype(np.int64)
+                text = decode_ids(vocab, col.flatten().to_numpy(zero_copy_only=False), counts)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([t.decode("utf-8", "replace") for t in text], type=pa.string())],
+                                                 names=["row", "text"])
 
     return rows.mapInArrow(run, schema).select("row.*", F.col("text").alias(out_col))
