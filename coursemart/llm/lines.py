@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import INVERSE, cut, mix64, powers, text_or_empty
+from coursemart.llm.common import INVERSE, column_runs, cut, mix64, powers, text_or_empty
 
 BLOCKS = 4
 MIN_FUZZY = 20               # characters from which a line may differ by an edit; shorter ones must be equal
 BROADCAST_BYTES = 32 << 20
+RUN_BYTES = 1 << 20          # text hashed at once
 MUL = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -130,20 +131,14 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bodies = b.column("body").to_pylist()
-            a = 0
-            while a < len(bodies):
-                z, size = a, 0
+            for a, _, bodies in column_runs(b.column("body"), RUN_BYTES):
                 lines, doc, no = [], [], []
-                while z < len(bodies) and (z == a or size < 4 << 20):
-                    for k, x in enumerate(split_lines(bodies[z])):
+                for z, body in enumerate(bodies):
+                    for k, x in enumerate(split_lines(body.decode())):
                         if x:
                             lines.append(x)
-                            doc.append(z)
+                            doc.append(a + z)
                             no.append(k)
-                    size += len(bodies[z])
-                    z += 1
-                a = z
                 x = Lines(lines)
                 h = x.whole()
                 keys = block_keys(x).astype(np.int64)
@@ -203,12 +198,10 @@ def _spell(docs: DataFrame, suspects: DataFrame, id_col: str, text_col: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: dict[str, None] = {}
-            for t in b.column("body").to_pylist():
-                seen.update(dict.fromkeys(x for x in split_lines(t) if len(x) >= MIN_FUZZY))
-            lines = list(seen)
-            h = Lines(lines).whole().astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(lines, pa.string())], names=["h", "line"])
+            for _, _, bodies in column_runs(b.column("body"), RUN_BYTES):
+                lines = list(dict.fromkeys(x for t in bodies for x in split_lines(t.decode()) if len(x) >= MIN_FUZZY))
+                h = Lines(lines).whole().astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(lines, pa.string())], names=["h", "line"])
 
     found = bodies.mapInArrow(run, "h long, line string").join(_small(suspects, 64), "h")
     return found.dropDuplicates(["h"])
@@ -220,10 +213,10 @@ def _variants(spelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, lines, slots = b.column("h").to_numpy(), b.column("line").to_pylist(), b.column("slots").to_pylist()
-            for a in range(0, len(lines), 2000):
-                x = Lines(lines[a:a + 2000])
+            for a in range(0, len(lines), 500):
+                x = Lines(lines[a:a + 500])
                 met = np.zeros((len(x.n), 2 * BLOCKS), dtype=bool)
-                for i, s in enumerate(slots[a:a + 2000]):
+                for i, s in enumerate(slots[a:a + 500]):
                     met[i, s] = True
                 line, key, kind = variant_keys(x, met)
                 yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(h[a + line]), pa.array(kind == "w"), pa.array(kind == "s")],
