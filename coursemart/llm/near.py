@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import Words, by_bytes, components, cut, discard, local_forest, mix64, text_or_empty
+from coursemart.llm.common import Words, column_runs, components, cut, discard, local_forest, mix64, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -100,7 +100,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, trees: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
-            for part in by_bytes(b.column("body").to_pylist()):
+            for _, _, part in column_runs(b.column("body")):
                 sets = shingle_sets(part, size)
                 m = minhash(sets, trees * max_depth)
                 with np.errstate(over="ignore"):
@@ -297,7 +297,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .select("component", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES),
                                              F.lit(1)).alias("blocks")))
     texts = (docs.select(F.col(id_col).alias("t_id"), text_or_empty(text_col).alias("body")).withColumn("t_tk", F.xxhash64("body")))
-    members = (maybe.join(sizes, "component")
+    # a shuffle join at every size: the texts are too large to send, the candidates grow with them
+    members = (maybe.join(sizes, "component").hint("merge")
                .join(texts, F.col("rep.id").eqNullSafe(F.col("t_id")) & (F.col("rep.tk") == F.col("t_tk")))
                .dropDuplicates(["node"]).select("component", "node", "docs", "body", "blocks"))
     found = cut(exact_links(blocked(members, "component", "blocks"), size, threshold), "links")
