@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import Words, by_bytes, mix64, text_or_empty
+from coursemart.llm.common import Words, by_bytes, column_runs, mix64, text_or_empty
 
 BITS = 17                    # 131,072 hashed vectors
 DIM = 8
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: Linear, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [model.score(t) for t in by_bytes(b.column("body").to_pylist())]
+            parts = [model.score(t) for _, _, t in column_runs(b.column("body"))]
             out = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.float64())], names=["row", "score"])
 

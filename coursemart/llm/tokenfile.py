@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import Words, scratch_path, span_hash, text_or_empty
+from coursemart.llm.common import Words, column_runs, scratch_path, span_hash, text_or_empty
 
 CACHE_WORDS = 400_000        # words kept by a worker from batch to batch
 RUN_BYTES = 2 << 20          # text encoded at once
@@ -79,9 +79,9 @@ class WordIds:
         ids, n = self.pieces.get(np.array([self.parts[p] for two in split for p in two], dtype=np.int64))
         self.words.add(ids, n.reshape(-1, 2).sum(axis=1))
 
-    def encode(self, texts: list[str | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has); ``end_id`` closes each text."""
-        w = Words([(t or "").encode("utf-8", "replace") for t in texts])
+        w = Words(texts)
         first_hash, second = w.hash, span_hash(w.buf, w.start, w.end, SECOND)
         uniq, pick, kind = np.unique(first_hash, return_index=True, return_inverse=True)
         if not np.array_equal(second[pick][kind], second):  # two words with one hash: tell them by position
@@ -157,19 +157,12 @@ def encode_tokens(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_c
         coder = _CODERS.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
         _CODERS[tokenizer_path] = coder
         for b in batches:
-            texts = b.column("body").to_pylist()
-            a = 0
-            while a < len(texts):
-                z, size = a, 0
-                while z < len(texts) and (z == a or size + len(texts[z]) <= RUN_BYTES):
-                    size += len(texts[z])
-                    z += 1
-                ids, counts = coder.encode(texts[a:z], end_id)
+            for a, z, texts in column_runs(b.column("body"), RUN_BYTES):
+                ids, counts = coder.encode(texts, end_id)
                 at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(a, z - a), b.column("seq").slice(a, z - a), pa.array(counts, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(at), pa.array(ids, pa.int32()))], names=["doc_id", "seq", "n_tokens", "tokens"])
-                a = z
 
     return rows.mapInArrow(run, f"doc_id {kind}, seq long, n_tokens long, tokens array<int>")
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import Words, by_bytes, mix64, text_or_empty
+from coursemart.llm.common import Words, column_runs, mix64, text_or_empty
 from coursemart.llm.quality import labelled_sample
 
 INDEX_BITS = 18              # slots of an index: at most so many words, and n-grams, have a vector
@@ -354,7 +354,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [shared.value.score(t) for t in by_bytes(b.column("body").to_pylist())]
+            parts = [shared.value.score(t) for _, _, t in column_runs(b.column("body"))]
             out = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.float64())], names=["row", "score"])
 

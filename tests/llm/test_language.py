@@ -155,7 +155,7 @@ def test_word_ids_of_odd_texts(monkeypatch):
         monkeypatch.setattr(tokenfile, "CACHE_WORDS", keep)
         coder = tokenfile.WordIds(WORD_BPE)
         for _ in range(2):
-            ids, n = coder.encode(texts, 2)
+            ids, n = coder.encode([(x or "").encode() for x in texts], 2)
             assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
