@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from coursemart.llm.common import Words, column_runs, scratch_path, span_hash, text_or_empty
 
 CACHE_WORDS = 400_000        # words kept by a worker from batch to batch
-RUN_BYTES = 2 << 20          # text encoded at once
+RUN_BYTES = 1 << 20          # text encoded at once
 ENCODE_AT_ONCE = 4096
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 #: a word that ends in ASCII punctuation after an ASCII letter: tokenizers of this kind cut there
