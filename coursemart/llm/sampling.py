@@ -21,7 +21,7 @@ from coursemart.llm.common import column_runs, mix64, span_hash, text_or_empty
 from coursemart.llm.lattice import Lattice, Vocabulary, vocabulary
 
 GRID = float(1 << 36)  # arc probabilities as whole numbers: sums are exact, draws do not depend on the batch
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 512 << 10
 
 
 def units(buf: np.ndarray, text_start: np.ndarray, joined: np.ndarray) -> np.ndarray:
