@@ -28,7 +28,7 @@ from coursemart.llm.common import INVERSE, column_runs, cut, mix64, powers, text
 BLOCKS = 4
 MIN_FUZZY = 20               # characters from which a line may differ by an edit; shorter ones must be equal
 BROADCAST_BYTES = 32 << 20
-RUN_BYTES = 1 << 20          # text hashed at once
+RUN_BYTES = 512 << 10          # text hashed at once
 MUL = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
