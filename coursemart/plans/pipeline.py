@@ -3,10 +3,13 @@
 Layout under ``root`` (a shared folder on a cluster):
 
     raw/raw_<table>                 landed journal / full reloads (Parquet)
-    snapshots/dim_program/v=<n>     SCD2 versions, one directory per run
-    warehouse/<dim|fact>            dims rebuilt per run; facts upserted by key buckets
+    snapshots/dim_program           SCD2 history, a new version per run
+    warehouse/<dim|fact>            dims rebuilt per run; facts upserted as deltas
     obt/<table>                     wide tables rebuilt per run
-    dq/report_<run>                 data-quality report
+    dq/report                       data-quality report, a new version per run
+
+All but the raw layer are versioned tables (``sources.store``): a run that fails leaves the committed versions
+as they were and can be started again; readers keep the version that they opened.
 """
 
 from __future__ import annotations
@@ -15,20 +18,19 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from coursemart.operators import dq
-from coursemart.operators.facts import dedup_latest
 from coursemart.params import Params
 from coursemart.plans.warehouse import Warehouse
-from coursemart.session import table_exists
 from coursemart.sources import landing, store
-from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, stage_all
-
-DIMS = ["dim_student", "dim_subject", "dim_semester", "dim_program", "dim_subject_offering", "dim_assessment"]
-FACT_KEYS = {"fact_program_enrollment": "program_enrollment_key",
-             "fact_subject_enrollment": "subject_enrollment_key",
-             "fact_assessment_result": "result_key"}
+from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, SOURCE_SCHEMAS, check_schema, stage_all
+
+DIMS = ["dim_student", "dim_subject", "dim_semester", "dim_program", "dim_subject_offering", "dim_assessment",
+        "dim_date"]
+# upserts match on the natural id, not on the hashed surrogate key
+FACT_KEYS = {"fact_program_enrollment": "program_enrollment_id",
+             "fact_subject_enrollment": "subject_enrollment_id",
+             "fact_assessment_result": "result_id"}
 OBTS = ["obt_subject_enrollment", "obt_assessment_result", "obt_program_enrollment", "obt_program_summary"]
 
 
@@ -48,8 +50,11 @@ def _timed(rep: RunReport, name: str, fn):
 
 def land(spark: SparkSession, sources: dict[str, DataFrame], root: str, p: Params, force_full: bool = False,
          rep: RunReport | None = None) -> RunReport:
-    """Land the seven full-reload tables and the three incremental journals (fail-fast)."""
+    """Land the seven full-reload tables and the three incremental journals (fail-fast; every source is checked
+    against its contract before anything is written)."""
     rep = rep or RunReport()
+    for t in [*FULL_TABLES, *INCREMENTAL_TABLES]:
+        check_schema(sources[t], SOURCE_SCHEMAS[t])
     for t in FULL_TABLES:
         rep.landed[t] = landing.land_full(spark, sources[t], f"{root}/raw/raw_{t}", p.run_ts, t)
     for t, spec in INCREMENTAL_TABLES.items():
@@ -62,23 +67,14 @@ def read_landed(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{root}/raw/raw_{t}") for t in list(FULL_TABLES) + list(INCREMENTAL_TABLES)}
 
 
-def _latest_snapshot(spark: SparkSession, root: str):
-    n = 0
-    while table_exists(spark, f"{root}/snapshots/dim_program/v={n + 1}"):
-        n += 1
-    return n, (spark.read.parquet(f"{root}/snapshots/dim_program/v={n}") if n else None)
-
-
 def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Params, full_refresh: bool = False,
-          buckets: int = 64, run_dq: bool = True, rep: RunReport | None = None) -> RunReport:
+          run_dq: bool = True, rep: RunReport | None = None) -> RunReport:
     """One warehouse run over staged (landed) tables."""
     rep = rep or RunReport()
-    n, prev = _latest_snapshot(spark, root)
+    snap_path = f"{root}/snapshots/dim_program"
+    prev = store.read_table(spark, snap_path) if store.exists(spark, snap_path) else None
     w = Warehouse(spark, staged, p, snapshot=prev, materialize_dims=False)
-
-    snap_path = f"{root}/snapshots/dim_program/v={n + 1}"
-    _timed(rep, "scd2_snapshot", lambda: w.snapshot().write.parquet(snap_path))
-    w.put("snapshot", spark.read.parquet(snap_path))
+    w.put("snapshot", _timed(rep, "scd2_snapshot", lambda: store.write_table(w.snapshot(), snap_path)))
 
     for d in DIMS:
         path = f"{root}/warehouse/{d}"
@@ -92,7 +88,7 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Param
         w.forget(f)
         batch = w.table(f)
         w.put(f, _timed(rep, f, lambda batch=batch, target=target, key=key, since=since: store.upsert_delete_insert(
-            spark, batch, target, key, buckets=buckets, full_refresh=since is None)))
+            spark, batch, target, key, full_refresh=since is None)))
 
     for o in OBTS:
         path = f"{root}/obt/{o}"
@@ -103,27 +99,17 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Param
             if name.startswith("stg_"):
                 return staged[name[4:]]
             return w.table(name)
-        _timed(rep, "dq_suite", lambda: store.write_table(dq.run_suite(models, lookup=w.lk),
-                                                          f"{root}/dq/report_{n + 1}"))
+        _timed(rep, "dq_suite", lambda: store.write_table(dq.run_suite(models, lookup=w.lk), f"{root}/dq/report"))
     return rep
 
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str, p: Params,
-                 full_refresh: bool = False, buckets: int = 64) -> RunReport:
+                 full_refresh: bool = False) -> RunReport:
     """Land the sources, then build the warehouse from the landed journal."""
     rep = RunReport()
     _timed(rep, "land", lambda: land(spark, sources, root, p, force_full=full_refresh, rep=rep))
     staged = stage_all(read_landed(spark, root))
-    return build(spark, staged, root, p, full_refresh=full_refresh, buckets=buckets, rep=rep)
-
-
-def journal_upto(staged: dict[str, DataFrame], cut: str) -> dict[str, DataFrame]:
-    """The journal as it stood at ``cut`` (rows landed up to then); dims unchanged."""
-    from coursemart.functions.exprs import ts_lit
-    out = dict(staged)
-    for t in INCREMENTAL_TABLES:
-        out[t] = staged[t].filter(F.col("_ingested_at") <= ts_lit(cut))
-    return out
+    return build(spark, staged, root, p, full_refresh=full_refresh, rep=rep)
 
 
-__all__ = ["land", "build", "run_pipeline", "read_landed", "journal_upto", "dedup_latest", "RunReport"]
+__all__ = ["land", "build", "run_pipeline", "read_landed", "RunReport"]

@@ -18,7 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -42,15 +41,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def work_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only when the session has none
-    (local runs, tests) a fresh local folder is made and registered as the
-    checkpoint dir, so that ``DataFrame.checkpoint()`` and our written tables
-    agree on one place.
+    It is the cluster's ``spark.checkpoint.dir``. Only in a local session (tests) that has none a fresh
+    local folder is made and registered as the checkpoint dir, so that ``DataFrame.checkpoint()`` and our
+    written tables agree on one place; with executors elsewhere its absence is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            master = spark.sparkContext.master
+            if not (master == "local" or master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="coursemart-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
@@ -64,10 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when something exists at ``path`` on its file system (any Hadoop-compatible store).
 
@@ -86,20 +83,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (none if it is missing)."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a readable table is at ``path``: the job committer's ``_SUCCESS`` marker, or —
-    for tables last rewritten by dynamic partition overwrite, which leaves no marker at the
-    root — a successful schema read. A folder left by a failed write does not count."""
-    if path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
-        return True
-    if not path_exists(spark, path):
-        return False
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    """True when a complete table is at ``path``: the job committer's ``_SUCCESS`` marker. What a failed or
+    running write has left does not count."""
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
 def write_and_read(df, path: str, mode: str = "overwrite"):
@@ -131,20 +134,24 @@ def known_rows(df) -> int | None:
     return getattr(df, "_materialized_rows", None)
 
 
+MAX_WAVES = 8
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Submit-time settings for a run over ``input_bytes`` of Parquet.
 
     * scan splits of ``target_partition_bytes / 2`` (compressed Parquet inflates ~2x in memory);
     * initial shuffle partitions so each holds about ``target_partition_bytes`` of the largest
-      input, at least 2 waves of all cores; AQE coalesces small ones and splits skewed ones
-      (``advisoryPartitionSizeInBytes`` = the same target, skew = 4x the median and > 1 GB);
+      input, at least 2 and at most ``MAX_WAVES`` waves of all cores: map outputs times partitions is what the
+      driver tracks, so beyond it partitions grow instead; AQE coalesces small ones and splits
+      skewed ones (``advisoryPartitionSizeInBytes`` = the same target, skew = 4x the median and > 1 GB);
     * automatic broadcast off at plan time beyond 64 MB: dimensions are broadcast explicitly
       after a size check, facts never.
-    E.g. 100 TB on 1,000 executors × 8 cores → ~410,000 shuffle partitions of ~256 MB.
+    E.g. 100 TB on 1,000 executors × 8 cores → 64,000 shuffle partitions of ~1.6 GB.
     """
     cores = executors * cores_per_executor
-    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    shuffle = min(max(2 * cores, input_bytes // target_partition_bytes), MAX_WAVES * cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
         "spark.sql.shuffle.partitions": str(int(shuffle)),

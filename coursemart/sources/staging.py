@@ -91,8 +91,10 @@ def check_same_schema(new: DataFrame, existing: DataFrame) -> None:
 
 
 def staged(raw: DataFrame, table: str) -> DataFrame:
-    """Staging view: the source columns plus ``_ingested_at``, nothing else."""
-    cols = [f.name for f in SOURCE_SCHEMAS[table].fields if f.name in raw.columns] + ["_ingested_at"]
+    """Staging view: the source columns plus ``_ingested_at``, nothing else. A missing column or another type
+    raises ``SchemaDrift``."""
+    check_schema(raw, SOURCE_SCHEMAS[table])
+    cols = [f.name for f in SOURCE_SCHEMAS[table].fields] + ["_ingested_at"]
     if "src_seq" in raw.columns:  # landing sequence, the last tie-break of arrival order
         cols.append("src_seq")
     if "_ingest_date" in raw.columns:  # journal partition column: lets incremental reads prune folders

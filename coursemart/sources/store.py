@@ -1,86 +1,171 @@
-"""Warehouse table IO: whole-table rebuilds and delete+insert upserts by key.
-
-Upsert layout: the target is partitioned by ``_bucket = pmod(key, buckets)``. A batch
-touches only the buckets of its keys; those buckets are rewritten as (target rows of the
-bucket whose key is not in the batch) ∪ batch, with dynamic partition overwrite, so
-untouched buckets are neither read nor written. The key anti join is co-partitioned by
-the bucket column. Partition overwrite is not atomic across buckets; the raw journal
-stays the recovery source (``full_refresh`` rebuilds the table from it).
+"""Warehouse table IO: versioned tables of a base and appended deltas.
+
+A table is a folder of committed versions:
+
+    data/base-<n>    all rows (a rebuild, a full refresh or a compaction)
+    data/delta-<n>   the batch of one upsert, as it came
+    commits/<n>      one row: number, kind, key columns, rule, rows, max(_loaded_at); written last
+
+A version counts once its commit row is complete, so a run that dies leaves nothing that a later one trips
+over, and a reader that opened the table keeps the files it saw: the generation before the current
+base is kept, older ones are removed. An upsert writes its batch and nothing else; its cost does not
+depend on the table. Reading resolves the deltas: rows of the base whose key no delta holds come straight
+from the scan, the rest are resolved among base and deltas. When the deltas hold more than COMPACT_SHARE of the
+base's rows, or there are COMPACT_AFTER of them, the resolved table becomes the next base.
+
+Keys are the columns themselves (of any type), never their hashes. One writer at a time per table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursemart.session import table_exists, write_and_read
+from coursemart.session import delete_path, list_folder, path_exists
 from coursemart.sources.staging import check_same_schema
 
-BUCKET = "_bucket"
+VERSION = "_version"
+COMPACT_AFTER = 16
+COMPACT_SHARE = 0.5
+
+COMMIT_SCHEMA = "version long, kind string, key string, rule string, rows long, loaded_at timestamp_ntz"
+
+
+@dataclass(frozen=True)
+class Commit:
+    version: int
+    kind: str            # "base" or "delta"
+    key: tuple           # key columns of the deltas
+    rule: str            # "replace": a batch's rows replace those of its keys; "latest": the newest row of a key stays
+    rows: int
+    loaded_at: object
+
+    def path(self, target: str) -> str:
+        return f"{target}/data/{self.kind}-{self.version}"
+
+
+def commits(spark: SparkSession, target: str) -> list[Commit]:
+    """The current base's commit and those of the deltas after it, in order."""
+    names = [n for n in list_folder(spark, f"{target}/commits") if n.isdigit() and path_exists(spark, f"{target}/commits/{n}/_SUCCESS")]
+    if not names:
+        return []
+    rows = spark.read.schema(COMMIT_SCHEMA).parquet(*[f"{target}/commits/{n}" for n in names]).collect()  # one row a version
+    found = sorted((Commit(r["version"], r["kind"], tuple(r["key"].split(",")) if r["key"] else (), r["rule"], r["rows"], r["loaded_at"])
+                    for r in rows), key=lambda c: c.version)
+    last = max((k for k, c in enumerate(found) if c.kind == "base"), default=0)
+    return found[last:]
+
+
+def exists(spark: SparkSession, target: str) -> bool:
+    return bool(commits(spark, target))
+
+
+def _commit(spark: SparkSession, df: DataFrame, target: str, kind: str, key: list[str], rule: str) -> Commit:
+    used = [int(n.rsplit("-", 1)[1]) for n in list_folder(spark, f"{target}/data")] + \
+           [int(n) for n in list_folder(spark, f"{target}/commits") if n.isdigit()]
+    n = max(used, default=0) + 1  # also past what an unfinished run left
+    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    loaded = F.max("_loaded_at") if "_loaded_at" in df.columns else F.max(F.lit(None).cast("timestamp_ntz"))
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), loaded.cast("string").alias("loaded_at")).write.parquet(f"{target}/data/{kind}-{n}")
+    row = spark.createDataFrame([(n, kind, ",".join(key), rule, int(obs.get["rows"]), obs.get["loaded_at"])],
+                                "version long, kind string, key string, rule string, rows long, loaded_at string")
+    row.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz")).coalesce(1).write.mode("overwrite").parquet(f"{target}/commits/{n}")
+    if kind == "base":
+        _forget_old(spark, target)
+    return commits(spark, target)[-1]
+
+
+def _forget_old(spark: SparkSession, target: str) -> None:
+    """Remove versions before the base that came before the current one."""
+    bases = sorted(int(n.rsplit("-", 1)[1]) for n in list_folder(spark, f"{target}/data") if n.startswith("base-")
+                   and path_exists(spark, f"{target}/commits/{n.rsplit('-', 1)[1]}/_SUCCESS"))
+    if len(bases) < 3:
+        return
+    for n in list_folder(spark, f"{target}/data"):
+        v = int(n.rsplit("-", 1)[1])
+        if v < bases[-2]:
+            delete_path(spark, f"{target}/commits/{v}")
+            delete_path(spark, f"{target}/data/{n}")
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Materialize a model as a whole-table rebuild and return the table as read back."""
-    return write_and_read(df, path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
-
-
-def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.col(key), F.lit(buckets)).cast("int"))
+    """Write ``df`` as the table's next base and return the table as read back, with its row count remembered
+    for size checks. Readers of the base before are not disturbed."""
+    spark = df.sparkSession
+    c = _commit(spark, df, path, "base", [], "replace")
+    out = spark.read.schema(df.schema).parquet(c.path(path))
+    out._materialized_rows = c.rows
+    return out
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """The table's rows, deltas resolved."""
+    found = commits(spark, target)
+    if not found:
+        raise FileNotFoundError(f"no committed version at {target}")
+    base = spark.read.parquet(found[0].path(target))
+    if len(found) == 1:
+        return base
+    key, rule = list(found[-1].key), found[-1].rule
+    cols = base.columns
+    deltas = None
+    for c in found[1:]:
+        d = spark.read.schema(base.schema).parquet(c.path(target)).withColumn(VERSION, F.lit(c.version))
+        deltas = d if deltas is None else deltas.unionByName(d)
+    touched = deltas.select(*key).distinct()
+    untouched = base.join(touched, key, "left_anti")
+    if rule == "replace":
+        newest = F.max(VERSION).over(Window.partitionBy(*key))
+        solved = deltas.withColumn("_newest", newest).filter(F.col("_newest") == F.col(VERSION))
+        # a null key equals none: its rows are never replaced
+        nulls = deltas.filter(" or ".join(f"`{k}` is null" for k in key))
+        solved = solved.filter(" and ".join(f"`{k}` is not null" for k in key)).select(*cols).unionByName(nulls.select(*cols))
+        return untouched.unionByName(solved)
+    from coursemart.operators.facts import ARRIVAL_ORDER, dedup_latest
+
+    old = base.join(touched, key, "left_semi").withColumn(VERSION, F.lit(found[0].version))
+    return untouched.unionByName(dedup_latest(old.unionByName(deltas), key, [*ARRIVAL_ORDER, VERSION]).select(*cols))
+
+
+def _upsert(spark: SparkSession, batch: DataFrame, target: str, key: str | list[str], rule: str, full_refresh: bool) -> DataFrame:
+    key = [key] if isinstance(key, str) else list(key)
+    found = commits(spark, target)
+    if full_refresh or not found:
+        _commit(spark, batch, target, "base", key, rule)
+        return read_table(spark, target)
+    check_same_schema(batch, spark.read.parquet(found[0].path(target)))
+    _commit(spark, batch, target, "delta", key, rule)
+    found = commits(spark, target)
+    deltas = found[1:]
+    if len(deltas) >= COMPACT_AFTER or sum(c.rows for c in deltas) > COMPACT_SHARE * max(found[0].rows, 1):
+        _commit(spark, read_table(spark, target), target, "base", key, rule)
+    return read_table(spark, target)
 
 
-def upsert_delete_insert(spark: SparkSession, batch: DataFrame, target: str, key: str,
-                         buckets: int = 64, full_refresh: bool = False) -> DataFrame:
+def upsert_delete_insert(spark: SparkSession, batch: DataFrame, target: str, key: str | list[str],
+                         full_refresh: bool = False) -> DataFrame:
     """delete from target where key in batch; insert batch. Returns the new table.
 
-    ``full_refresh`` (or a missing target) writes the batch as the whole table. A batch
-    whose schema differs from the target's raises ``SchemaDrift`` (on_schema_change=fail).
-    """
-    if full_refresh or not table_exists(spark, target):
-        # static overwrite: a full refresh replaces every bucket, including ones the batch lacks
-        _with_bucket(batch, key, buckets).repartition(BUCKET).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(target)
-        return read_table(spark, target)
-
-    current = spark.read.parquet(target)
-    check_same_schema(batch, current.drop(BUCKET))
-    b = _with_bucket(batch, key, buckets)
-    touched = b.select(BUCKET).distinct()
-    # only buckets the batch touches are read (semi join on the partition column → partition filter at run time)
-    kept = (current.join(touched, BUCKET, "left_semi")
-            .join(b.select(key, BUCKET), [key, BUCKET], "left_anti"))
-    out = kept.unionByName(b)
-    out.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(BUCKET).parquet(target)
-    return read_table(spark, target)
-
+    The batch is evaluated once, when it is written. ``full_refresh`` (or a missing target) makes it the whole
+    table. A batch whose schema differs from the target's raises ``SchemaDrift`` (on_schema_change=fail)."""
+    return _upsert(spark, batch, target, key, "replace", full_refresh)
 
-def upsert_latest(spark: SparkSession, batch: DataFrame, target: str, key: str, buckets: int = 64) -> DataFrame:
-    """Merge by key keeping, per key, the newest row by arrival order (target or batch).
 
-    Like ``upsert_delete_insert`` only the buckets the batch touches are rewritten; unlike it
-    an older replayed row never replaces a newer one, so replaying a batch is a no-op."""
+def upsert_latest(spark: SparkSession, batch: DataFrame, target: str, key: str | list[str]) -> DataFrame:
+    """Merge by key keeping, per key, the newest row by arrival order (target or batch): an older replayed row
+    never replaces a newer one, so replaying a batch changes nothing."""
     from coursemart.operators.facts import dedup_latest
 
-    b = _with_bucket(dedup_latest(batch, key), key, buckets)
-    if not table_exists(spark, target):
-        b.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(BUCKET).parquet(target)
-        return read_table(spark, target)
-    current = spark.read.parquet(target)
-    touched = b.select(BUCKET).distinct()
-    merged = dedup_latest(current.join(touched, BUCKET, "left_semi").unionByName(b), key)
-    merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(BUCKET).parquet(target)
-    return read_table(spark, target)
+    return _upsert(spark, dedup_latest(batch, key), target, key, "latest", False)
 
 
 def max_loaded_at(spark: SparkSession, target: str):
-    """Incremental watermark of a fact: max(_loaded_at) of the target, None when the target is
-    missing or empty (then the run is a first load: an empty target must not block loading)."""
-    if not table_exists(spark, target):
-        return None
-    return spark.read.parquet(target).agg(F.max("_loaded_at")).first()[0]
+    """Incremental watermark of a fact: max(_loaded_at), kept with the commits; None when the target is missing
+    or empty (then the run is a first load: an empty target must not block loading)."""
+    return max((c.loaded_at for c in commits(spark, target) if c.loaded_at is not None), default=None)
+
+
+__all__ = ["Commit", "commits", "exists", "max_loaded_at", "read_table", "upsert_delete_insert", "upsert_latest", "write_table"]

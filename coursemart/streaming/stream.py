@@ -1,23 +1,21 @@
 """Landing and upsert as Structured Streaming jobs over a directory of Parquet drops.
 
-* ``land_stream``: new files → event-time watermark on the cursor (the landing lookback)
-  → ``dropDuplicatesWithinWatermark(pk, cursor)`` (state is bounded by the watermark) →
-  append to the raw journal. Exactly-once through the checkpoint + file sink log.
-* ``upsert_stream``: each micro-batch is reduced to the latest version per key and
-  merged into the table by key (``foreachBatch``), rewriting only the key buckets it
-  touches; the merge keeps the newer of target and batch row, so a replayed batch is a no-op.
+* ``land_stream``: each micro-batch lands by the batch rule (``foreachBatch``): rows above the watermark that the
+  target had when the run began, less the lookback, whose (pk, cursor) is not landed yet. The bound is taken
+  once per run, so the rows landed do not depend on how files are cut into micro-batches, and a replayed
+  micro-batch adds nothing.
+* ``upsert_stream``: each micro-batch is reduced to the latest version per key and appended as a delta of the
+  table; reading keeps the newest row per key, so a replayed batch changes nothing.
 Both run with ``trigger(availableNow=True)``: process what is there, then stop.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.functions.exprs import ts_lit
-from coursemart.operators.facts import ARRIVAL_ORDER, dedup_latest
-from coursemart.sources import store
+from coursemart.operators.facts import ARRIVAL_ORDER
+from coursemart.sources import landing, store
 
 
 def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
@@ -26,23 +24,23 @@ def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, targ
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
-    # the watermark needs a TIMESTAMP column; the cursor is TIMESTAMP_NTZ, so a derived copy
-    # carries the event time (the landed row keeps the cursor as it is)
-    out = (src.withColumn("_event_time", F.col(cursor).cast("timestamp"))
-           .withWatermark("_event_time", f"{int(lookback_minutes)} minutes")
-           .dropDuplicatesWithinWatermark([pk, cursor])
-           .drop("_event_time")
-           .withColumn("_ingested_at", ts_lit(run_ts)))
-    q = (out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    wm = landing.watermark(spark, target, cursor)
+
+    def land(batch: DataFrame, _epoch: int) -> None:
+        one = batch.dropDuplicates([pk, cursor])
+        if landing.target_exists(spark, target):
+            landing.append_unseen(spark, one, target, cursor, pk, run_ts, wm, lookback_minutes)
+        else:
+            landing.land_full(spark, one, target, run_ts, cursor=cursor)
+
+    q = (reader.parquet(source_dir).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(land).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def merge_latest(spark: SparkSession, batch: DataFrame, target: str, pk: str, buckets: int = 64) -> None:
-    """Merge one micro-batch into ``target``: newest row per key wins, only the key buckets the
-    batch touches are rewritten (see ``store.upsert_latest``)."""
-    store.upsert_latest(spark, batch, target, pk, buckets)
+def merge_latest(spark: SparkSession, batch: DataFrame, target: str, pk: str) -> None:
+    """Merge one micro-batch into ``target``: newest row per key wins (see ``store.upsert_latest``)."""
+    store.upsert_latest(spark, batch, target, pk)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
@@ -50,7 +48,7 @@ def read_latest(spark: SparkSession, target: str) -> DataFrame:
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
-                  pk: str, max_files_per_trigger: int | None = 1, buckets: int = 64) -> None:
+                  pk: str, max_files_per_trigger: int | None = None) -> None:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -58,6 +56,6 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     order_cols = [c for c in ARRIVAL_ORDER if c in schema.fieldNames()]
     assert order_cols, "an arrival-order column is needed"
     q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: merge_latest(spark, df, target, pk, buckets))
+         .foreachBatch(lambda df, _epoch: merge_latest(spark, df, target, pk))
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -80,10 +80,10 @@ def test_empty_source_and_empty_target(spark):
 def test_upsert_twice_equals_once(spark):
     target = scratch_path(spark, "t_upsert")
     base = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
-    store.upsert_delete_insert(spark, base, target, "k", buckets=4)
+    store.upsert_delete_insert(spark, base, target, "k")
     batch = spark.createDataFrame([(3, "new3"), (12, "new12")], "k long, v string")
-    once = sorted(store.upsert_delete_insert(spark, batch, target, "k", buckets=4).collect())
-    twice = sorted(store.upsert_delete_insert(spark, batch, target, "k", buckets=4).collect())
+    once = sorted(store.upsert_delete_insert(spark, batch, target, "k").collect())
+    twice = sorted(store.upsert_delete_insert(spark, batch, target, "k").collect())
     assert once == twice
     assert dict(once)[3] == "new3" and dict(once)[12] == "new12" and len(once) == 11
 
@@ -108,10 +108,10 @@ def test_schema_drift_fails_incremental_upsert(spark):
     import pytest
     from coursemart.sources.staging import SchemaDrift
     target = scratch_path(spark, "t_drift")
-    store.upsert_delete_insert(spark, spark.createDataFrame([(1, "a")], "k long, v string"), target, "k", buckets=2)
+    store.upsert_delete_insert(spark, spark.createDataFrame([(1, "a")], "k long, v string"), target, "k")
     with pytest.raises(SchemaDrift):
         store.upsert_delete_insert(spark, spark.createDataFrame([(1, "a", 2)], "k long, v string, extra int"),
-                                   target, "k", buckets=2)
+                                   target, "k")
 
 
 def test_landed_rows_are_observed_exactly(spark):
@@ -128,16 +128,141 @@ def test_upsert_latest_keeps_newer_and_replay_is_noop(spark):
     cols = "k long, v string, _ingested_at timestamp_ntz"
     new = spark.createDataFrame([(1, "new", ts("2024-01-02 00:00:00")), (2, "b", ts("2024-01-02 00:00:00"))], cols)
     old = spark.createDataFrame([(1, "old", ts("2024-01-01 00:00:00"))], cols)
-    store.upsert_latest(spark, new, target, "k", buckets=4)
-    store.upsert_latest(spark, old, target, "k", buckets=4)      # a late replay of an older version
-    out = sorted((r.k, r.v) for r in store.upsert_latest(spark, new, target, "k", buckets=4).collect())
+    store.upsert_latest(spark, new, target, "k")
+    store.upsert_latest(spark, old, target, "k")      # a late replay of an older version
+    out = sorted((r.k, r.v) for r in store.upsert_latest(spark, new, target, "k").collect())
     assert out == [(1, "new"), (2, "b")]
 
 
-def test_full_refresh_replaces_every_bucket(spark):
+def test_full_refresh_replaces_everything(spark):
     target = scratch_path(spark, "t_refresh")
     store.upsert_delete_insert(spark, spark.createDataFrame([(i, "a") for i in range(20)], "k long, v string"),
-                               target, "k", buckets=8)
-    out = store.upsert_delete_insert(spark, spark.createDataFrame([(1, "b")], "k long, v string"), target, "k",
-                                     buckets=8, full_refresh=True)
+                               target, "k")
+    out = store.upsert_delete_insert(spark, spark.createDataFrame([(1, "b")], "k long, v string"), target, "k", full_refresh=True)
     assert [(r.k, r.v) for r in out.collect()] == [(1, "b")]
+
+
+def _dict(df):
+    return dict(sorted(tuple(r) for r in df.collect()))
+
+
+def test_upserts_write_only_their_batch_and_compact(spark, monkeypatch):
+    target = scratch_path(spark, "t_delta")
+    monkeypatch.setattr(store, "COMPACT_AFTER", 3)
+    want = {f"k{i}": "a" for i in range(1000)}                        # string keys
+    store.upsert_delete_insert(spark, spark.createDataFrame(list(want.items()), "k string, v string"), target, "k")
+    for n in range(1, 6):
+        batch = {f"k{i}": f"v{n}" for i in range(n, 40, n)} | {f"new{n}": "x"}
+        want |= batch
+        out = store.upsert_delete_insert(spark, spark.createDataFrame(list(batch.items()), "k string, v string"), target, "k")
+        assert _dict(out) == want
+        last = store.commits(spark, target)[-1]
+        if last.kind == "delta":
+            assert last.rows == len(batch)                             # nothing but the batch was written
+    assert [c.kind for c in store.commits(spark, target)] == ["base", "delta", "delta"]
+
+
+def test_null_keys_are_never_replaced(spark):
+    target = scratch_path(spark, "t_null")
+    cols = "k int, v string"
+    store.upsert_delete_insert(spark, spark.createDataFrame([(None, "a"), (1, "a")], cols), target, "k")
+    for _ in range(2):
+        out = store.upsert_delete_insert(spark, spark.createDataFrame([(None, "b"), (1, "b"), (1, "c")], cols), target, "k")
+    assert sorted((str(r.k), r.v) for r in out.collect()) == [("1", "b"), ("1", "c"), ("None", "a"), ("None", "b"), ("None", "b")]
+
+
+def test_a_failed_run_leaves_no_trap_and_readers_keep_their_version(spark):
+    target = scratch_path(spark, "t_restart")
+    store.write_table(spark.createDataFrame([(1,)], "k int"), target)
+    opened = store.read_table(spark, target)
+    # a run that died while writing: data without a commit, and a commit without its marker
+    spark.createDataFrame([(9,)], "k int").write.parquet(f"{target}/data/base-2/_temporary/0/part")
+    spark.createDataFrame([(9,)], "k int").write.parquet(f"{target}/commits/3/_temporary/0/part")
+    assert store.read_table(spark, target).count() == 1
+    store.write_table(spark.createDataFrame([(2,), (3,)], "k int"), target)
+    assert sorted(r.k for r in store.read_table(spark, target).collect()) == [2, 3]
+    assert [r.k for r in opened.collect()] == [1]                      # the version it opened is still there
+
+
+def test_landing_raises_on_schema_drift(spark):
+    import pytest
+    from coursemart.sources import staging
+    target = scratch_path(spark, "t_land_drift")
+    rows = spark.createDataFrame([(1, ts("2024-01-01 00:00:00"), "x")], EV)
+    landing.land_incremental(spark, rows, target, "ts", "event_id", "2024-01-01 01:00:00")
+    for bad in (rows.withColumn("extra", F.lit(1)), rows.drop("v"), rows.withColumn("v", F.lit(1))):
+        with pytest.raises(staging.SchemaDrift):
+            landing.land_incremental(spark, bad, target, "ts", "event_id", "2024-01-01 02:00:00")
+    raw = spark.createDataFrame([("S1", ts("2024-01-01 00:00:00"))], "subject_code string, _ingested_at timestamp_ntz")
+    with pytest.raises(staging.SchemaDrift):
+        staging.staged(raw, "subjects")
+
+
+def test_watermark_is_noted_beside_the_data(spark):
+    target = scratch_path(spark, "t_note")
+    rows = spark.createDataFrame([(i, ts(f"2024-01-01 0{i}:00:00"), "x") for i in range(5)], EV)
+    landing.land_incremental(spark, rows, target, "ts", "event_id", "2024-01-02 00:00:00")
+    assert landing.watermark(spark, target, "ts") == dt.datetime(2024, 1, 1, 4)
+    assert spark.read.parquet(target).count() == 5                     # the note is not data
+
+
+def test_stream_lands_all_rows_whatever_the_batches(spark):
+    from coursemart.streaming import stream
+    base = scratch_path(spark, "t_stream")
+    for k, hour in enumerate([5, 3, 8, 1]):                            # files out of event order
+        rows = [(100 * hour + i, ts(f"2024-01-01 0{hour}:{i // 2:02d}:00"), "x") for i in range(100)]
+        spark.createDataFrame(rows, EV).coalesce(1).write.parquet(f"{base}/src/d{k}")
+    schema = spark.read.parquet(f"{base}/src/d0").schema
+    for n in (None, 2, 1):
+        out = f"{base}/out{n}"
+        for _ in range(2):                                             # the second run finds nothing new
+            stream.land_stream(spark, f"{base}/src/*", schema, out, f"{base}/ckpt{n}", "ts", "event_id", "2024-01-02 00:00:00",
+                               max_files_per_trigger=n)
+        got = spark.read.parquet(out)
+        assert got.count() == 400 == got.select("event_id").distinct().count()
+
+
+def test_jdbc_options():
+    import pytest
+    from coursemart.sources import jdbc
+    with pytest.raises(ValueError):
+        jdbc.scan_options("students")
+    o = jdbc.scan_options("t", jdbc.cursor_bound("updated_at", "2024-01-01 00:00:00", 10), "id", 1, 100, 8)
+    assert o["dbtable"] == "(select * from t where updated_at > timestamp '2024-01-01 00:00:00' - interval '10' minute) as bounded"
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "1", "100", "8")
+    assert jdbc.cursor_bound("c", None, 10) is None and jdbc.scan_options("t", single_connection=True) == {"dbtable": "t"}
+    p = jdbc.key_predicates("student_id", 16)
+    assert len(p) == 17 and sum(f"'{i:02d}'" in x for x in p[:-1] for i in range(100)) == 100
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    import pytest
+    from coursemart import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.work_root(Session())
+
+
+def test_derived_marks_keep_rows_without_marks(spark):
+    from coursemart.operators import derive
+    r = spark.createDataFrame([(1, 10, None), (1, 11, None), (2, 10, 30.0), (2, 11, None)], "subject_enrollment_id int, assessment_id int, raw_score double")
+    a = spark.createDataFrame([(10, 50.0, 60.0), (11, 50.0, 60.0)], "assessment_id int, weight_percentage double, max_score double")
+    e = spark.createDataFrame([(1,), (2,), (3,)], "subject_enrollment_id int")
+    assert _dict(derive.weighted_final_mark(r, a, e)) == {1: None, 2: 50.0, 3: None}
+    s = spark.createDataFrame([(1, "Completed", 90.0), (2, "Enrolled", None), (2, "Dropped", 80.0)], "program_enrollment_id int, status string, final_mark double")
+    p = spark.createDataFrame([(1,), (2,), (3,)], "program_enrollment_id int")
+    got = {x["program_enrollment_id"]: (x["completed_subjects"], x["final_degree_result"]) for x in derive.final_degree_result(s, p).collect()}
+    assert got == {1: (1, "High Distinction"), 2: (0, None), 3: (0, None)}
