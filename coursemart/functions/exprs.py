@@ -145,14 +145,6 @@ def grade_from_mark(mark, degree_level) -> Column:
     return F.when(m.isNull(), F.lit(None).cast("string")).otherwise(g)
 
 
-def degree_result(mean_mark) -> Column:
-    m = col(mean_mark)
-    out = None
-    for t, r in DEGREE_RESULT_BANDS:
-        out = F.when(m >= F.lit(t), F.lit(r)) if out is None else out.when(m >= F.lit(t), F.lit(r))
-    return F.when(m.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit(DEGREE_RESULT_OTHERWISE)))
-
-
 def score_band(frac, p: Params) -> Column:
     f = col(frac)
     return (F.when(f >= F.lit(p.score_band_excellent_pct), "Excellent")

@@ -47,13 +47,13 @@ class Lookup:
 
     def __init__(self, p: Params):
         self.p = p
-        self._ok: dict[int, bool] = {}
+        self._ok: dict[int, tuple[DataFrame, bool]] = {}
 
     def fits(self, dim: DataFrame) -> bool:
-        k = id(dim)
+        k = id(dim)  # the entry holds the DataFrame, so its id is not used again
         if k not in self._ok:
-            self._ok[k] = fits_broadcast(dim, self.p)
-        return self._ok[k]
+            self._ok[k] = (dim, fits_broadcast(dim, self.p))
+        return self._ok[k][1]
 
     def side(self, dim: DataFrame) -> DataFrame:
         return F.broadcast(dim) if self.fits(dim) else dim

@@ -72,12 +72,12 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
                            p: Params) -> DataFrame:
     e = subject_enriched(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk)
     counts = _materialize(mark_counts(e), "offering_mark_counts")
-    bound = known_rows(counts)  # every table below aggregates ``counts``: at most this many rows
-    ranks = offering_mark_ranks(counts)
-    subj = _weighted_mark_stats(counts, ["subject_code", "semester_id"], p, "subject_pass_rate") \
-        .withColumnRenamed("_avg", "program_average_mark_for_this_subject")
-    coord = _weighted_mark_stats(counts, ["coordinator_name"], p, None) \
-        .withColumnRenamed("_avg", "coordinator_average_mark")
+    # each small table is written once: its own row count decides whether it is broadcast
+    ranks = _materialize(offering_mark_ranks(counts), "offering_mark_ranks")
+    subj = _materialize(_weighted_mark_stats(counts, ["subject_code", "semester_id"], p, "subject_pass_rate")
+                        .withColumnRenamed("_avg", "program_average_mark_for_this_subject"), "subject_stats")
+    coord = _materialize(_weighted_mark_stats(counts, ["coordinator_name"], p, None)
+                         .withColumnRenamed("_avg", "coordinator_average_mark"), "coordinator_stats")
 
     # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment group
     # of early-arriving rows) are numbered across partitions. Detection samples a narrow input:
@@ -89,11 +89,11 @@ def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_
                             F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
                            p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
     # NULL-safe on both keys: NULL offering / NULL mark rows get their group's rank
-    r = lk.side_bounded(ranks, bound)
+    r = lk.side(ranks)
     x = x.join(r, x.offering_key.eqNullSafe(r.offering_key) & x.final_mark.eqNullSafe(r.final_mark), "left") \
         .drop(r.offering_key).drop(r.final_mark)
-    x = x.join(lk.side_bounded(subj, bound), ["subject_code", "semester_id"], "left")
-    x = x.join(lk.side_bounded(coord, bound), "coordinator_name", "left")
+    x = x.join(lk.side(subj), ["subject_code", "semester_id"], "left")
+    x = x.join(lk.side(coord), "coordinator_name", "left")
 
     mark = F.col("final_mark")
     is_pass = mark.isNotNull() & (mark >= F.lit(p.subject_pass_mark))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursemart.functions.exprs import ts_lit
@@ -83,5 +83,6 @@ def scd2_current(snapshot: DataFrame) -> DataFrame:
 
 
 def scd2_history(snapshot: DataFrame, key: str = PROGRAM_KEY) -> DataFrame:
-    """All versions, in key then validity order."""
-    return snapshot.orderBy(F.col(key).asc(), F.col("dbt_valid_from").asc())
+    """All versions with their number, 1 for the first of its key (a key has a handful of versions)."""
+    w = Window.partitionBy(key).orderBy("dbt_valid_from")
+    return snapshot.withColumn("version", F.row_number().over(w).cast("bigint"))

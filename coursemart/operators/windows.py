@@ -66,6 +66,12 @@ def split_hot(df: DataFrame, part: list[str], threshold: int, fraction: float =
     return cold, hot, n_hot, hot_rows
 
 
+def _side(df: DataFrame, name: str) -> DataFrame:
+    """A per-range table (groups + ranges rows), written once; broadcast when its counted rows are few."""
+    t = materialize(df, name)
+    return F.broadcast(t) if known_rows(t) * 64 * len(t.columns) <= BROADCAST_BYTES else t
+
+
 def _ranged(hot: DataFrame, part: list[str], order: list[Column], n_rows_hint: int) -> DataFrame:
     """Hot rows range-partitioned on (group, order) into ~HOT_PARTITION_ROWS-row partitions.
     Groups are contiguous in range order, so (group, partition) pairs number at most
@@ -91,7 +97,7 @@ def row_number(df: DataFrame, part: list[str], order: list[Column], out: str,
     wo = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, "_pid", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
     local = r.withColumn("_rn", F.row_number().over(Window.partitionBy(*part, "_pid").orderBy(*order)))
-    o = F.broadcast(offsets)
+    o = _side(offsets, "hot_offsets")
     j = local.join(o, _ns_join_cond(local, o, part + ["_pid"]), "left")
     for c in part + ["_pid"]:
         j = j.drop(o[c])
@@ -117,7 +123,7 @@ def lag(df: DataFrame, part: list[str], order: list[Column], value: str, out: st
     last = local.filter(F.col("_rn") == F.col("_cnt")).select(*part, "_pid", F.col(value).alias("_last"))
     wp = Window.partitionBy(*part).orderBy("_pid")
     before = last.select(*part, "_pid", F.lag("_last").over(wp).alias("_prev_last"))
-    b = F.broadcast(before)
+    b = _side(before, "hot_before")
     j = local.join(b, _ns_join_cond(local, b, part + ["_pid"]), "left")
     for c in part + ["_pid"]:
         j = j.drop(b[c])
