@@ -30,8 +30,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_driver(spark, sf_dir, ORACLE_PARAMS)
+    """The warehouse over ``sf_dir``, wired once per application (its dimensions are written once)."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _WAREHOUSES:
+        _WAREHOUSES[k] = Warehouse.from_driver(spark, sf_dir, ORACLE_PARAMS)
+    return _WAREHOUSES[k]
 
 
 def r6(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -45,17 +52,7 @@ def r6_sql(cols_all: list[str], rounded: list[str]) -> str:
 # ---------------------------------------------------------------------------------------
 # dims and facts (whole tables)
 
-@register("dim_program", O.q("""select * from dim_program
-where program_id in (select program_id from raw_program_enrollments)"""))
-def q_dim_program(spark, sf_dir):
-    """The programme dimension (current SCD2 versions), restricted to programmes in use by the
-    enrollment journal (a semi join; programmes come from a fixed-size table in the binding)."""
-    w = wh(spark, sf_dir)
-    used = w.stg["program_enrollments"].select("program_id")
-    return w.dim_program().join(used, "program_id", "left_semi")
-
-
-for _name in ["dim_student", "dim_subject", "dim_semester", "dim_subject_offering", "dim_assessment",
+for _name in ["dim_program", "dim_student", "dim_subject", "dim_semester", "dim_subject_offering", "dim_assessment",
               "fact_program_enrollment", "fact_subject_enrollment", "fact_assessment_result"]:
     def _mk(n):
         return lambda spark, sf_dir: wh(spark, sf_dir).table(n)
@@ -70,15 +67,15 @@ select d as full_date, extract(year from d)::int as year, extract(quarter from d
        date_trunc('quarter', d)::date as quarter_start,
        case when extract(month from d)::int >= 7 then extract(year from d)::int + 1 else extract(year from d)::int end
          as fiscal_year
-from (select unnest(generate_series(min(start_date), max(end_date), interval '1 day'))::date as d
+from (select unnest(generate_series(min(start_date), date '2035-12-31', interval '1 day'))::date as d
       from raw_semesters) s"""))
 def q_dim_date(spark, sf_dir):
-    """The calendar dimension over the span of the data (first semester start to last semester
-    end); the warehouse default spans 2000-01-01 to 2035-12-31."""
+    """The calendar dimension from the first semester's start to the end of the warehouse's own span (2000-01-01 to
+    2035-12-31, which it holds whole)."""
     from coursemart.operators.dims import dim_date
     w = wh(spark, sf_dir)
-    lo, hi = w.stg["semesters"].agg(F.min("start_date"), F.max("end_date")).first()
-    return dim_date(spark, lo.isoformat(), hi.isoformat())
+    lo = w.stg["semesters"].agg(F.min("start_date")).first()[0]
+    return dim_date(spark, lo.isoformat())
 
 
 # ---------------------------------------------------------------------------------------
@@ -178,9 +175,10 @@ def q_land_incremental(spark, sf_dir):
 
 @register("land_metrics", LANDED_SQL + "select _ingested_at, count(*) as rows_landed from landed group by _ingested_at")
 def q_land_metrics(spark, sf_dir):
-    """Rows landed per run, exact (observed while writing) and equal to a count by run."""
-    target, _, _ = _two_landings(spark, sf_dir)
-    return spark.read.parquet(target).groupBy("_ingested_at").agg(F.count(F.lit(1)).alias("rows_landed"))
+    """Rows landed per run, as each landing reports them (observed while writing)."""
+    _, r1, r2 = _two_landings(spark, sf_dir)
+    return spark.createDataFrame([(RUN1, r1.rows), (RUN2, r2.rows)], "run string, rows_landed long") \
+        .select(F.col("run").cast("timestamp_ntz").alias("_ingested_at"), "rows_landed")
 
 
 @register("watermark", f"with landed1 as ({FIRST_RUN_SQL}) select max(ts) as watermark from landed1")
@@ -188,7 +186,7 @@ def q_watermark(spark, sf_dir):
     target = scratch_path(spark, "raw_events")
     ev = read_driver(spark, sf_dir, "events")
     landing.land_incremental(spark, _events_first_run(ev), target, "ts", "event_id", RUN1, name="events")
-    return spark.read.parquet(target).agg(F.max("ts").alias("watermark"))
+    return spark.createDataFrame([(landing.watermark(spark, target, "ts"),)], "watermark timestamp_ntz")
 
 
 @register("land_force_full", f"select *, timestamp '{RUN2}' as _ingested_at from events")
@@ -251,7 +249,7 @@ def q_incremental_filter(spark, sf_dir):
     target = scratch_path(spark, "fact_subject_enrollment")
     base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
                                            w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p1)
-    store.upsert_delete_insert(spark, base, target, "subject_enrollment_key", buckets=16)
+    store.upsert_delete_insert(spark, base, target, "subject_enrollment_id")
     since = store.max_loaded_at(spark, target)
     return factops.incremental_source(stg, str(since))
 
@@ -266,10 +264,10 @@ def q_upsert_delete_insert(spark, sf_dir):
     target = scratch_path(spark, "fact_subject_enrollment")
     base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
                                            w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p)
-    store.upsert_delete_insert(spark, base, target, "subject_enrollment_key", buckets=16)
+    store.upsert_delete_insert(spark, base, target, "subject_enrollment_id")
     batch = factops.fact_subject_enrollment(stg, w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p,
                                             since=JOURNAL_CUT)
-    return store.upsert_delete_insert(spark, batch, target, "subject_enrollment_key", buckets=16)
+    return store.upsert_delete_insert(spark, batch, target, "subject_enrollment_id")
 
 
 # ---------------------------------------------------------------------------------------
@@ -334,11 +332,7 @@ def q_scd2_current(spark, sf_dir):
 @register("scd2_history", _scd_q("""select student_id, email, dbt_valid_from, dbt_valid_to,
   row_number() over (partition by student_id order by dbt_valid_from) as version from scd_all"""))
 def q_scd2_history(spark, sf_dir):
-    from pyspark.sql import Window
-    h = _scd_runs(spark, sf_dir)
-    w = Window.partitionBy(SCD_KEY).orderBy("dbt_valid_from")  # a handful of versions per key
-    return h.select(SCD_KEY, "email", "dbt_valid_from", "dbt_valid_to",
-                    F.row_number().over(w).cast("bigint").alias("version"))
+    return scd2.scd2_history(_scd_runs(spark, sf_dir), SCD_KEY).select(SCD_KEY, "email", "dbt_valid_from", "dbt_valid_to", "version")
 
 
 # ---------------------------------------------------------------------------------------
@@ -348,7 +342,7 @@ def _sel(*cols):
     return ", ".join(cols)
 
 
-@register("dedup_latest", O.q(f"select {', '.join(SE_STG_COLS)} from se_dedup"))
+@register("dedup_latest", O.q(f"select {', '.join(SE_STG_COLS)} from latest_subject_enrollments"))
 def q_dedup_latest(spark, sf_dir):
     return factops.dedup_latest(wh(spark, sf_dir).stg["subject_enrollments"], "subject_enrollment_id") \
         .select(*SE_STG_COLS)
@@ -368,8 +362,8 @@ def q_rank_in_group(spark, sf_dir):
         "subject_enrollment_id", "offering_id", "final_mark", "rank_in_offering")
 
 
-@register("class_size", O.q("select dso.offering_id, count(*) as class_size from fact_subject_enrollment f"
-                            " join dim_subject_offering dso on f.offering_key = dso.offering_key group by dso.offering_id"))
+@register("class_size", O.q("select class as offering_id, count(*) as class_size from subject_chain where class is not null"
+                            " group by class"))
 def q_class_size(spark, sf_dir):
     w = wh(spark, sf_dir)
     e = obtops.subject_enriched(w.fact_subject_enrollment(), w.dim_student(), w.dim_program(),
@@ -382,7 +376,9 @@ def q_class_size(spark, sf_dir):
 
 @register("pass_rate", O.q(f"select subject_code, semester_id, {O.R6('program_average_mark_for_this_subject')} as"
                            f" program_average_mark_for_this_subject, {O.R6('subject_pass_rate')} as subject_pass_rate"
-                           " from o1_subject_stats"))
+                           " from (select subject_code, semester_id, avg(final_mark) as program_average_mark_for_this_subject,"
+                           " avg((final_mark >= 50)::int) as subject_pass_rate from obt_subject_enrollment"
+                           " where final_mark is not null group by all) s"))
 def q_pass_rate(spark, sf_dir):
     w = wh(spark, sf_dir)
     e = obtops.subject_enriched(w.fact_subject_enrollment(), w.dim_student(), w.dim_program(),
@@ -419,20 +415,20 @@ def q_z_score(spark, sf_dir):
 
 @register("credit_weighted_gpa", O.q(f"select program_enrollment_key, cast(total_retakes as bigint) as total_retakes,"
                                      f" cast(credits_earned as bigint) as credits_earned, {O.R6('program_gpa')} as"
-                                     " gpa_raw from o3_subject_agg"))
+                                     " gpa_raw from enrollment_credits"))
 def q_credit_weighted_gpa(spark, sf_dir):
     a = obtops.subject_agg(wh(spark, sf_dir).obt_subject_enrollment())
     return r6(a.withColumn("total_retakes", F.col("total_retakes").cast("bigint"))
               .withColumn("credits_earned", F.col("credits_earned").cast("bigint")), ["gpa_raw"])
 
 
-@register("last_activity", O.q("select * from o3_last_activity"))
+@register("last_activity", O.q("select * from enrollment_activity"))
 def q_last_activity(spark, sf_dir):
     w = wh(spark, sf_dir)
     return obtops.last_activity(w.fact_subject_enrollment(), w.fact_assessment_result())
 
 
-@register("multi_program", O.q("select * from o3_multi_program"))
+@register("multi_program", O.q("select * from student_programs"))
 def q_multi_program(spark, sf_dir):
     return obtops.multi_program(wh(spark, sf_dir).fact_program_enrollment())
 
@@ -463,8 +459,8 @@ def q_surrogate_key(spark, sf_dir):
                     key(s, "student_id", "email", p=ORACLE_PARAMS).alias("student_email_key"))
 
 
-@register("dim_lookup_left", O.q("select f.subject_enrollment_id, d.subject_code, d.subject_title, d.credit_points"
-                                 " from fact_subject_enrollment f left join dim_subject d on f.subject_key = d.subject_key"))
+@register("dim_lookup_left", O.q("select subject_enrollment_id, subject_code, subject_title, credit_points"
+                                 " from subject_chain left join raw_subjects on subj = subject_code"))
 def q_dim_lookup_left(spark, sf_dir):
     w = wh(spark, sf_dir)
     return w.lk.join(w.fact_subject_enrollment().select("subject_enrollment_id", "subject_key"), w.dim_subject(),
@@ -472,10 +468,10 @@ def q_dim_lookup_left(spark, sf_dir):
         .drop("subject_key")
 
 
-@register("snowflake_hop", O.q("""select a.assessment_id, dsub.subject_code, dsem.semester_id, dsem.academic_year
-from dim_assessment a left join dim_subject_offering dso on a.offering_key = dso.offering_key
-left join dim_subject dsub on dso.subject_key = dsub.subject_key
-left join dim_semester dsem on dso.semester_key = dsem.semester_key"""))
+@register("snowflake_hop", O.q("""select assessment_id, raw_subjects.subject_code, raw_semesters.semester_id, academic_year
+from raw_assessments left join raw_subject_offerings using (offering_id)
+left join raw_subjects on raw_subjects.subject_code = raw_subject_offerings.subject_code
+left join raw_semesters on raw_semesters.semester_id = raw_subject_offerings.semester_id"""))
 def q_snowflake_hop(spark, sf_dir):
     w = wh(spark, sf_dir)
     x = w.lk.join(w.dim_assessment().select("assessment_id", "offering_key"), w.dim_subject_offering(),
@@ -489,13 +485,17 @@ def q_snowflake_hop(spark, sf_dir):
 # derived marks and grades
 
 @register("weighted_final_mark", O.q(f"""select r.subject_enrollment_id,
-  {O.R6('sum(cast(r.raw_score as double) / cast(a.max_score as double) * cast(a.weight_percentage as double))'
-        ' / sum(cast(a.weight_percentage as double)) * 100.0')} as weighted_final_mark
-from raw_assessment_results r join raw_assessments a on r.assessment_id = a.assessment_id
-where r.raw_score is not null and a.max_score > 0 group by r.subject_enrollment_id"""))
+  {O.R6('sum(r.raw_score::double / r.max_score::double * r.weight_percentage::double)'
+        ' / sum(r.weight_percentage::double) * 100.0')} as weighted_final_mark
+from (select e.subject_enrollment_id, x.raw_score, x.max_score, x.weight_percentage
+      from (select distinct subject_enrollment_id from raw_subject_enrollments) e
+      left join (select * from raw_assessment_results join raw_assessments using (assessment_id)
+                 where raw_score is not null and max_score > 0) x using (subject_enrollment_id)) r
+group by r.subject_enrollment_id"""))
 def q_weighted_final_mark(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return r6(derive.weighted_final_mark(w.stg["assessment_results"], w.stg["assessments"]), ["weighted_final_mark"])
+    return r6(derive.weighted_final_mark(w.stg["assessment_results"], w.stg["assessments"], w.stg["subject_enrollments"]),
+              ["weighted_final_mark"])
 
 
 @register("grade_from_mark", O.q(f"""select f.subject_enrollment_id, f.final_mark, dp.degree_level,
@@ -507,14 +507,18 @@ def q_grade_from_mark(spark, sf_dir):
     return derive.with_grade(x)
 
 
-@register("final_degree_result", O.q("""select program_enrollment_id, count(final_mark) as completed_subjects,
-  case when sum(final_mark) >= 85 * count(final_mark) then 'High Distinction'
-       when sum(final_mark) >= 75 * count(final_mark) then 'Distinction'
-       when sum(final_mark) >= 65 * count(final_mark) then 'Merit' else 'Pass' end as final_degree_result
-from se_dedup where status = 'Completed' and final_mark is not null group by program_enrollment_id"""))
+@register("final_degree_result", O.q("""select pe.program_enrollment_id, count(m) as completed_subjects,
+  case when count(m) = 0 then null when sum(m) >= 85 * count(m) then 'High Distinction'
+       when sum(m) >= 75 * count(m) then 'Distinction' when sum(m) >= 65 * count(m) then 'Merit' else 'Pass' end
+    as final_degree_result
+from (select distinct program_enrollment_id from raw_program_enrollments) pe
+left join (select program_enrollment_id, final_mark as m from latest_subject_enrollments where status = 'Completed') s
+  on s.program_enrollment_id = pe.program_enrollment_id
+group by pe.program_enrollment_id"""))
 def q_final_degree_result(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return derive.final_degree_result(factops.dedup_latest(w.stg["subject_enrollments"], "subject_enrollment_id"))
+    return derive.final_degree_result(factops.dedup_latest(w.stg["subject_enrollments"], "subject_enrollment_id"),
+                                      w.stg["program_enrollments"])
 
 
 # ---------------------------------------------------------------------------------------
@@ -601,10 +605,7 @@ def q_dq_singular_score(spark, sf_dir):
     return dq.dq_singular(wh(spark, sf_dir).fact_assessment_result(), dq.singular_score())
 
 
-@register("dq_singular_program", O.q("""select * from fact_program_enrollment where enrollment_date > completion_date
-  or status not in ('Active', 'Graduated', 'Withdrawn', 'Suspended', 'Dismissed', 'Leave of Absence')
-  or program_enrollment_id is null or student_key is null
-  or final_degree_result not in ('High Distinction', 'Distinction', 'Merit', 'Pass')"""))
+@register("dq_singular_program", O.q(f"select * from fact_program_enrollment where {O.SINGULAR_PROGRAM}"))
 def q_dq_singular_program(spark, sf_dir):
     return dq.dq_singular(wh(spark, sf_dir).fact_program_enrollment(), dq.singular_program())
 
@@ -614,20 +615,22 @@ def q_dq_singular_program(spark, sf_dir):
 
 @register("stream_land_dedup", f"select *, timestamp '{RUN1}' as _ingested_at from events")
 def q_stream_land_dedup(spark, sf_dir):
-    """Two drops of events; the second replays the last 10 minutes of the first. The stream
-    lands every event once."""
+    """Drops of events out of order (the oldest hour of the day last) with a replay of 10 minutes, one file per
+    micro-batch. The stream lands every event once."""
     base = scratch_path(spark, "stream_land")
     ev = read_driver(spark, sf_dir, "events")
     cut = ts_lit(EVENTS_CUT)
-    ev.filter(F.col("ts") <= cut).write.parquet(f"{base}/src/d1")
-    ev.filter(F.col("ts") > cut - F.expr("INTERVAL 10 MINUTES")).write.parquet(f"{base}/src/d2")
+    early = F.hour("ts") == 0
+    ev.filter(~early & (F.col("ts") > cut - F.expr("INTERVAL 10 MINUTES"))).coalesce(2).write.parquet(f"{base}/src/d1")
+    ev.filter(~early & (F.col("ts") <= cut)).coalesce(2).write.parquet(f"{base}/src/d2")
+    ev.filter(early).coalesce(1).write.parquet(f"{base}/src/d3")
     schema = spark.read.parquet(f"{base}/src/d1").schema
     stream.land_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "ts", "event_id", RUN1,
-                       max_files_per_trigger=None)
+                       max_files_per_trigger=1)
     return spark.read.parquet(f"{base}/out")
 
 
-@register("stream_upsert", O.q(f"select {', '.join(SE_STG_COLS)}, src_seq from se_dedup"))
+@register("stream_upsert", O.q(f"select {', '.join(SE_STG_COLS)}, src_seq from latest_subject_enrollments"))
 def q_stream_upsert(spark, sf_dir):
     """The subject-enrollment journal arrives in three drops by landing time; each
     micro-batch is merged into the table by key; the result is the latest version per id."""
@@ -640,3 +643,82 @@ def q_stream_upsert(spark, sf_dir):
     schema = spark.read.parquet(f"{base}/src/d1").schema
     stream.upsert_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "subject_enrollment_id")
     return stream.read_latest(spark, f"{base}/out").select(*SE_STG_COLS, "src_seq")
+
+
+# ---------------------------------------------------------------------------------------
+# staging projections, and quality operators on rows of the driver tables that do violate them
+
+from coursemart.sources.staging import INCREMENTAL_TABLES, SOURCE_SCHEMAS  # noqa: E402
+
+for _t in [t for t in SOURCE_SCHEMAS if t != "subject_enrollments"]:
+    _cols = [f.name for f in SOURCE_SCHEMAS[_t].fields] + ["_ingested_at"]
+
+    def _mk3(t, cols):
+        return lambda spark, sf_dir: wh(spark, sf_dir).stg[t].select(*cols)
+    # full-reload tables are stamped with the run's time
+    _sql = [c if c != "_ingested_at" or _t in INCREMENTAL_TABLES else f"{O.TS} as {c}" for c in _cols]
+    register(f"stg_{_t}", O.q(f"select {', '.join(_sql)} from raw_{_t}"))(_mk3(_t, _cols))
+
+
+@register("dq_rows_unique", O.q("""select subject_enrollment_id, count(*) as n_records from raw_subject_enrollments
+where subject_enrollment_id is not null group by 1 having count(*) > 1"""))
+def q_dq_rows_unique(spark, sf_dir):
+    """Ids that the journal holds in several versions."""
+    return dq.dq_unique(wh(spark, sf_dir).stg["subject_enrollments"], "subject_enrollment_id")
+
+
+@register("dq_rows_not_null", O.q("select subject_enrollment_id, status from latest_subject_enrollments where final_mark is null"))
+def q_dq_rows_not_null(spark, sf_dir):
+    """Enrollments without a final mark."""
+    w = wh(spark, sf_dir)
+    return dq.dq_not_null(factops.dedup_latest(w.stg["subject_enrollments"], "subject_enrollment_id"), "final_mark") \
+        .select("subject_enrollment_id", "status")
+
+
+@register("dq_rows_relationships", O.q(f"""select subject_enrollment_id, program_enrollment_id from raw_subject_enrollments
+where program_enrollment_id not in (select program_enrollment_id from raw_program_enrollments
+                                    where _ingested_at <= timestamp '{JOURNAL_CUT}')"""))
+def q_dq_rows_relationships(spark, sf_dir):
+    """Subject enrollments whose programme enrollment had not arrived at the cut."""
+    w = wh(spark, sf_dir)
+    arrived = w.stg["program_enrollments"].filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT))
+    return dq.dq_relationships(w.stg["subject_enrollments"], "program_enrollment_id", arrived, "program_enrollment_id") \
+        .select("subject_enrollment_id", "program_enrollment_id")
+
+
+@register("dq_rows_accepted_values", O.q("""select status, count(*) as n_records from raw_subject_enrollments
+where status <> 'Enrolled' group by status"""))
+def q_dq_rows_accepted_values(spark, sf_dir):
+    """Statuses other than that of a running enrollment, with their rows."""
+    return dq.dq_accepted_values(wh(spark, sf_dir).stg["subject_enrollments"], "status", ["Enrolled"])
+
+
+@register("dq_rows_accepted_range", O.q("""select result_id, raw_score from raw_assessment_results
+where raw_score < 40 or raw_score > 60"""))
+def q_dq_rows_accepted_range(spark, sf_dir):
+    """Scores outside a band that many leave."""
+    return dq.dq_accepted_range(wh(spark, sf_dir).stg["assessment_results"], "raw_score", 40, 60).select("result_id", "raw_score")
+
+
+@register("dq_rows_singular", O.q(f"""select program_enrollment_id, status from (
+  select *, if(status = 'Withdrawn', null, {O.K('student_id')}) as student_key from raw_program_enrollments) f
+where {O.SINGULAR_PROGRAM}"""))
+def q_dq_rows_singular(spark, sf_dir):
+    """The singular programme check over the journal, where withdrawn enrollments are taken to have no student."""
+    from coursemart.functions.exprs import key
+    j = wh(spark, sf_dir).stg["program_enrollments"]
+    j = j.withColumn("student_key", F.when(F.coalesce(F.col("status") != "Withdrawn", F.lit(True)), key(j, "student_id", p=ORACLE_PARAMS)))
+    return dq.dq_singular(j, dq.singular_program()).select("program_enrollment_id", "status")
+
+
+@register("surrogate_key_default", O.q("""select student_id, count(*) as rows_by_key, count(*) as rows_by_id from raw_program_enrollments
+group by student_id"""))
+def q_surrogate_key_default(spark, sf_dir):
+    """Rows per student found by joining on the default (xxhash64) key and on the id itself."""
+    from coursemart.functions.exprs import key
+    from coursemart.params import Params
+    w, p = wh(spark, sf_dir), Params()
+    s, e = w.stg["students"], w.stg["program_enrollments"].select("student_id")
+    keys = s.select("student_id", key(s, "student_id", p=p).alias("k"))
+    by_key = keys.join(e.select(key(e, "student_id", p=p).alias("k")), "k").groupBy("student_id").agg(F.count(F.lit(1)).alias("rows_by_key"))
+    return by_key.join(e.groupBy("student_id").agg(F.count(F.lit(1)).alias("rows_by_id")), "student_id")
