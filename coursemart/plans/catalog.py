@@ -594,9 +594,9 @@ def _dq_query(checks):
 
 for _test in ["unique", "not_null", "relationships", "accepted_values", "accepted_range", "unique_combination"]:
     _cs = [c for c in dq.ALL_CHECKS if c.test == _test]
-    register(f"dq_{_test}", O.dq_report_sql(_cs))(_dq_query(_cs))
+    register(f"dq_{_test}", O.dq_report_sql([c for c in O.EXPECTED_CHECKS if c.test == _test]))(_dq_query(_cs))
 
-register("dq_suite", O.dq_report_sql(dq.ALL_CHECKS))(_dq_query(dq.ALL_CHECKS))
+register("dq_suite", O.dq_report_sql(O.EXPECTED_CHECKS))(_dq_query(dq.ALL_CHECKS))
 register("dq_contract", O.dq_report_sql(dq.CONTRACT_CHECKS))(_dq_query(dq.CONTRACT_CHECKS))
 
 
