@@ -58,13 +58,6 @@ class Lookup:
     def side(self, dim: DataFrame) -> DataFrame:
         return F.broadcast(dim) if self.fits(dim) else dim
 
-    def side_bounded(self, df: DataFrame, max_rows_bound: int | None) -> DataFrame:
-        """Broadcast ``df`` when a proven upper bound on its rows (e.g. the rows of the table it
-        aggregates) times its row width fits the budget; otherwise leave the join to a shuffle."""
-        if max_rows_bound is not None and max_rows_bound * row_width(df.schema) <= self.p.broadcast_max_bytes:
-            return F.broadcast(df)
-        return df
-
     def join(self, fact: DataFrame, dim: DataFrame, on, how: str = "left", cols=None) -> DataFrame:
         """Equi-join of a large input with a dimension (projected to ``cols``): broadcast hash
         join when the dimension passed the size check, otherwise a shuffle join (AQE may

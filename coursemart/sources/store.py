@@ -116,7 +116,7 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
         d = spark.read.schema(base.schema).parquet(c.path(target)).withColumn(VERSION, F.lit(c.version))
         deltas = d if deltas is None else deltas.unionByName(d)
     touched = deltas.select(*key).distinct()
-    untouched = base.join(touched, key, "left_anti")
+    untouched = base.join(touched, key, "left_anti").select(*cols)
     if rule == "replace":
         newest = F.max(VERSION).over(Window.partitionBy(*key))
         solved = deltas.withColumn("_newest", newest).filter(F.col("_newest") == F.col(VERSION))

@@ -59,3 +59,18 @@ def test_journal_partitions_pruned_by_ingest_date(spark):
     p = plan(incremental_source(stg, "2024-03-01 00:00:00"))
     part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
     assert part and "_ingest_date" in part[0] and ">= 2024-03-01" in part[0], p
+
+
+def test_small_budget_does_not_shuffle_the_wide_input_for_small_statistics(spark):
+    """Each statistics table is judged by its own rows: the coordinators' few rows are broadcast although the
+    (offering, mark) counts they come from would not fit the budget."""
+    from coursemart.params import Params
+    from coursemart.plans.warehouse import Warehouse
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse.from_driver(spark, SF_SMALL, Params(broadcast_max_bytes=100_000))
+        plan = w.obt_subject_enrollment()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(coordinator_name" not in plan

@@ -162,6 +162,14 @@ def test_upserts_write_only_their_batch_and_compact(spark, monkeypatch):
     assert [c.kind for c in store.commits(spark, target)] == ["base", "delta", "delta"]
 
 
+def test_resolved_table_keeps_its_column_order(spark):
+    target = scratch_path(spark, "t_order")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "v string, k int")
+    store.upsert_delete_insert(spark, rows, target, "k")
+    for fn in (store.upsert_delete_insert, store.upsert_latest):
+        assert fn(spark, rows.filter("k = 2").withColumn("v", F.lit("c")), target, "k").columns == ["v", "k"]
+
+
 def test_null_keys_are_never_replaced(spark):
     target = scratch_path(spark, "t_null")
     cols = "k int, v string"
