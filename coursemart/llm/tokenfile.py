@@ -25,10 +25,19 @@ CACHE_WORDS = 400_000        # words kept by a worker from batch to batch
 RUN_BYTES = 1 << 20          # text encoded at once
 ENCODE_AT_ONCE = 4096
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-#: a word that ends in ASCII punctuation after an ASCII letter: tokenizers of this kind cut there
-TAIL = re.compile(rb"(.*[A-Za-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# Letters of ASCII and Latin-1 in UTF-8: all are letters to such a tokenizer, and composed already.
+LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+PUNCTUATION = rb"[!-&(-/:-@\[-`{-~]"  # without the apostrophe, which may begin a run of its own
+#: a word that ends in punctuation after a letter: tokenizers of this kind cut there
+TAIL = re.compile(rb"(.*" + LETTER + rb")(" + PUNCTUATION + rb"+)", re.DOTALL)
+LETTERS = re.compile(LETTER + rb"+")
 #: one token run of such a tokenizer: letters, or punctuation
-PLAIN = re.compile(rb"[a-z]+|[!-&(-/:-@\[-`{-~]+")
+PLAIN = re.compile(LETTER + rb"+|" + PUNCTUATION + rb"+")
+
+
+def lowered(word: bytes) -> bytes:
+    """Letters lowered as the tokenizer does; other words as they are."""
+    return word.decode().lower().encode() if LETTERS.fullmatch(word) else word
 
 
 class WordIds:
@@ -74,7 +83,7 @@ class WordIds:
         """Number the words: a word's ids are those of its one or two parts."""
         self.parts, self.pieces = {b"": 0}, _Lists()
         self.pieces.add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))
-        split = [(w, b"") if b"<|" in w or not (m := TAIL.fullmatch(w)) else (m[1].lower(), m[2]) for w in words]
+        split = [(lowered(w), b"") if b"<|" in w or not (m := TAIL.fullmatch(w)) else (lowered(m[1]), m[2]) for w in words]
         self._encode(list({p for two in split for p in two if p}))
         ids, n = self.pieces.get(np.array([self.parts[p] for two in split for p in two], dtype=np.int64))
         self.words.add(ids, n.reshape(-1, 2).sum(axis=1))

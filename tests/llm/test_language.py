@@ -150,7 +150,7 @@ def test_word_ids_of_odd_texts(monkeypatch):
 
     t = Tokenizer.from_file(WORD_BPE)
     texts = ["It's, dogs', a b Ünï,x <|endoftext|>, A.B.C...! 'S'T x\x0by\x85z é, É! ﬁ 12,5 ½ 中文, İstanbul, ΣΑΣ, ", "", None, "  ",
-             "'s 'll,", "don't!! WE'LL.", "á. ́b", "A,́ x!́", "x" * 3000]
+             "'s 'll,", "don't!! WE'LL.", "á. ́b", "A,́ x!́", "x" * 3000, "ÉÀÿß, ÷a a÷ Ñandú!! ñ$$$ ŸẞÖ. Œuvre¿ d'Été' éé’é İ,"]
     for keep in (1000, 3):  # also when nearly nothing is kept
         monkeypatch.setattr(tokenfile, "CACHE_WORDS", keep)
         coder = tokenfile.WordIds(WORD_BPE)
