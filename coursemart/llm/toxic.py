@@ -241,20 +241,27 @@ def places(kind: np.ndarray, base: np.ndarray, n: np.ndarray, text: np.ndarray,
     return np.where(inside, kind[np.minimum(base[text][:, None] + off, len(kind) - 1)], -1)
 
 
-def supported(item: np.ndarray, doc: np.ndarray, y: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct items that at least ``least`` documents hold, with the log-odds of label 1 over the sample's
-    own, as if PRIOR more documents at the sample's rate held each."""
-    order = np.lexsort((doc, item))
-    item, doc = item[order], doc[order]
-    new = np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])]
-    item, doc = item[new], doc[new]
-    at = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
-    n = np.diff(np.r_[at, len(item)])
-    pos = np.add.reduceat(y[doc], at)
-    rate = y.mean()
-    odds = np.log((pos + PRIOR * rate) / (n - pos + PRIOR * (1 - rate))) - np.log(rate / (1 - rate))
-    keep = n >= least
-    return item[at][keep], odds[keep]
+class Support:
+    """Documents and toxic documents that hold each item, added up over runs of documents."""
+
+    def __init__(self):
+        self.item, self.n, self.pos = np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0)
+
+    def add(self, item: np.ndarray, doc: np.ndarray, y: np.ndarray) -> None:
+        order = np.lexsort((doc, item))
+        item, doc = item[order], doc[order]
+        new = np.r_[True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])][:len(item)]
+        every = np.concatenate([self.item, item[new]])
+        self.item, kind = np.unique(every, return_inverse=True)
+        self.n = np.bincount(kind, weights=np.concatenate([self.n, np.ones(int(new.sum()))]), minlength=len(self.item))
+        self.pos = np.bincount(kind, weights=np.concatenate([self.pos, y[doc[new]]]), minlength=len(self.item))
+
+    def known(self, rate: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Items that at least ``least`` documents hold, with the log-odds of label 1 over the sample's own, as if
+        PRIOR more documents at the sample's rate held each."""
+        odds = np.log((self.pos + PRIOR * rate) / (self.n - self.pos + PRIOR * (1 - rate))) - np.log(rate / (1 - rate))
+        keep = self.n >= least
+        return self.item[keep], odds[keep]
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int = EPOCHS) -> Network:
@@ -270,18 +277,25 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
     rng = np.random.default_rng(seed)
     w = Words([t.lower() for t in texts])
     pick, kind, h = distinct_words(w)
-    who, gram = word_grams(w, pick)
-    order = np.argsort(who, kind="stable")
-    who, gram = who[order], gram[order]
-    at = np.searchsorted(who, np.arange(len(pick) + 1))
-    used = np.unique(kind.astype(np.int64) * len(y) + w.doc)  # (distinct word, document)
-    size = np.diff(at)[used // len(y)]
-    g_item = gram[np.repeat(at[used // len(y)], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)]
-    words, word_odds = supported(h[used // len(y)], used % len(y), y, MIN_WORD)
-    grams, gram_odds = supported(g_item, np.repeat(used % len(y), size), y, MIN_GRAM)
+    by_word, by_gram = Support(), Support()
+    by_word.add(h[kind], w.doc, y)
+    for a in range(0, len(y), 64):  # n-grams of a few documents' distinct words at a time
+        of = np.flatnonzero((w.doc >= a) & (w.doc < a + 64))
+        used = np.unique(kind[of].astype(np.int64) * len(y) + w.doc[of])  # (distinct word, document)
+        k, g = word_grams(w, pick[used // len(y)])
+        by_gram.add(g, (used % len(y))[k], y)
+    words, word_odds = by_word.known(y.mean(), MIN_WORD)
+    grams, gram_odds = by_gram.known(y.mean(), MIN_GRAM)
     net = Network.start(seed, Known(words, np.abs(word_odds)), Known(grams, np.abs(gram_odds)))
     # warm start: document log-odds in the first dimension, of n-grams as of words
-    slots, gram = net.word_index.find(h), net.gram_index.find(gram)
+    slots = net.word_index.find(h)
+    parts = []
+    for a in range(0, len(pick), 20_000):
+        k, g = word_grams(w, pick[a:a + 20_000])
+        order = np.argsort(k, kind="stable")
+        parts.append(((k[order] + a).astype(np.int32), net.gram_index.find(g)[order].astype(np.int32)))
+    who, gram = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+    at = np.searchsorted(who, np.arange(len(pick) + 1))
     net.words[net.word_index.find(words), 0] = word_odds / 2
     net.salience[net.gram_index.find(grams)] = gram_odds / 2
     net.words[0], net.salience[0] = 0, 0
@@ -290,14 +304,18 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
     sums = {k: np.zeros_like(v) for k, v in net.p.items()}
     sum_salience = np.zeros(len(net.salience), F4)
     sum_words, sum_grams = np.zeros(len(net.words), F4), np.zeros(len(net.grams), F4)
-    x_all = net.inputs(slots, who, gram)
+    def all_inputs() -> np.ndarray:
+        return np.concatenate([net.inputs(slots[a:a + 20_000], who[at[a]:at[min(a + 20_000, len(slots))]] - a,
+                                          gram[at[a]:at[min(a + 20_000, len(slots))]]) for a in range(0, len(slots), 20_000)])
+
+    x_all = all_inputs()
     odds = x_all[:, 0] + x_all[:, -1]
     for epoch in range(epochs):
         if epoch == 0:  # by the words' log-odds before there is a network
             s = np.concatenate([np.where((pl := places(kind, base, w.n, text[a:a + 8192], first[a:a + 8192])) >= 0, odds[pl], -9).max(axis=1)
                                 for a in range(0, len(text), 8192)])
         else:
-            x_all = net.inputs(slots, who, gram)
+            x_all = all_inputs()
             s = np.concatenate([net.run(x_all, places(kind, base, w.n, text[a:a + 8192], first[a:a + 8192])) for a in range(0, len(text), 8192)])
         by_doc = np.lexsort((-s, text))
         rank = np.arange(len(text)) - np.searchsorted(text, text)  # of the sorted windows within their text
