@@ -154,7 +154,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 
 ORACLE = """
-with recursive v as (select vec_id, embedding::double[] e, sqrt(list_sum(list_transform(embedding::double[], x -> x * x))) n from embeddings),
+with recursive v as (select vec_id, embedding::double[] e, sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) n from embeddings),
 l as (select a.vec_id a, b.vec_id b from v a join v b on a.vec_id <> b.vec_id
       where a.n > 0 and b.n > 0 and isfinite(a.n) and isfinite(b.n) and list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
 r as (select vec_id, vec_id root from v union select r.vec_id, l.b from r join l on r.root = l.a),
