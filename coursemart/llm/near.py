@@ -58,7 +58,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     out = []
     with np.errstate(over="ignore"):
         run = np.zeros(len(h), dtype=np.uint64)
-        for k in range(size):
+        for k in range(min(size, len(h))):
             run[:len(h) - k] = (run[:len(h) - k] ^ h[k:]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
         run = mix64(run)
         for a, c in zip(first.tolist(), n.tolist()):

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from fixtures_llm import ROWS, documents, empty, rows_of
+from fixtures_llm import NEAR, ROWS, documents, empty, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -180,6 +180,14 @@ def brute_near(rows, threshold=0.8):
     return links
 
 
+@pytest.mark.parametrize("words", range(7))
+def test_shingles_of_a_run_of_few_words(words):
+    """A run that holds one short text alone gives the sets it has beside longer ones."""
+    t = b" ".join(b"w%d" % i for i in range(words))
+    alone, beside = near.shingle_sets([t]), near.shingle_sets([t, NEAR.encode()])
+    assert len(alone) == 1 and len(alone[0]) == len(shingles(t.decode())) and np.array_equal(alone[0], beside[0])
+
+
 def test_near_edge_rows(spark):
     got = {(r["id"], r["tk"]): r for r in near.jaccard_join(documents(spark)).collect()}
     links = brute_near(ROWS)
