@@ -90,6 +90,60 @@ def test_vectors_recall_and_precision(spark):
     assert sum(got.values()) >= 0.98 * want.sum()
 
 
+def planted(n, pairs, dense, cone, seed, dim=64, cosine=0.905):
+    """Unit vectors that do not link but for ``pairs`` isolated pairs (rows 2i and 2i + 1) of the given cosine. A share
+    ``dense`` of the rows lies in one cone (cosine about ``cone`` with each other), every second pair in it."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(n, dim))
+    axis = vectors.unit(r.normal(size=(1, dim)))
+    narrow = np.zeros(n, dtype=bool)
+    narrow[2 * pairs:] = r.random(n - 2 * pairs) < dense
+    if dense:
+        narrow[0:2 * pairs:4] = True
+    x = vectors.unit(x)
+    x[narrow] = vectors.unit(np.sqrt(cone) * axis + np.sqrt(1 - cone) * x[narrow])
+    a = x[0:2 * pairs:2]
+    z = r.normal(size=a.shape)
+    z = vectors.unit(z - (z * a).sum(axis=1, keepdims=True) * a)
+    # in the cone the partner lies as far along its axis
+    in_cone = narrow[0:2 * pairs:2]
+    side = z - (z @ axis.T) * axis
+    side -= (side * a).sum(axis=1, keepdims=True) / (1 - (a @ axis.T) ** 2) * (a - (a @ axis.T) * axis)
+    q, along = a - (a @ axis.T) * axis, a @ axis.T
+    c = np.clip((cosine - along ** 2) / (1 - along ** 2), -1, 1)
+    b = along * axis + c * q + np.sqrt(1 - c * c) * np.sqrt((q * q).sum(axis=1, keepdims=True)) * vectors.unit(side)
+    x[1:2 * pairs:2] = np.where(in_cone[:, None], b, cosine * a + np.sqrt(1 - cosine ** 2) * z)
+    return x, in_cone
+
+
+def pairs_found(spark, x, pairs):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {k["vec_id"]: k["component_id"] for k in vectors.near_vectors(df).collect()}
+    return np.array([got[2 * i] == got[2 * i + 1] for i in range(pairs)])
+
+
+def test_isolated_pairs_are_found_in_a_dense_third(spark, monkeypatch):
+    """Runs so small that 6,000 vectors need passes, as millions do with runs of the usual size."""
+    monkeypatch.setattr(vectors, "CELL", 64, raising=False)
+    x, in_cone = planted(6000, 400, 1 / 3, 0.7, 3)
+    found = pairs_found(spark, x, 400)
+    assert found[in_cone].mean() >= 0.98 and found[~in_cone].mean() >= 0.98
+
+
+def test_vectors_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CELL", 64, raising=False)
+    x, _ = planted(400, 150, 0.9, 0.7, 4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    before, out = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (8, 400):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            out.append(rows_of(vectors.near_vectors(df), "vec_id", "n_links", "component_id", "kept"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert out[0] == out[1]
+
+
 # ------------------------------------------------------------------ lines
 
 def within_one(a, b):
