@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from coursemart.llm.common import INVERSE, column_runs, cut, mix64, powers, text_or_empty
 
 BLOCKS = 4
-MIN_FUZZY = 20               # characters from which a line may differ by an edit; shorter ones must be equal
+MIN_FUZZY = 20               # characters from which a line may differ by an edit unless the caller says otherwise; shorter ones must be equal
 BROADCAST_BYTES = 32 << 20
 RUN_BYTES = 512 << 10          # text hashed at once
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +124,7 @@ def split_lines(text: str) -> list[str]:
     return [x.strip(" ") for x in text.split("\n")]
 
 
-def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_fuzzy: int) -> DataFrame:
     """(id, tk, no, h, h2, keys): every line that is not blank; keys only for lines that may differ by an edit."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).withColumn("tk", F.xxhash64("body"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -142,7 +142,7 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 x = Lines(lines)
                 h = x.whole()
                 keys = block_keys(x).astype(np.int64)
-                fuzzy = x.n >= MIN_FUZZY
+                fuzzy = x.n >= min_fuzzy
                 flat = keys[fuzzy].ravel()
                 at = np.concatenate([[0], np.cumsum(np.where(fuzzy, 2 * BLOCKS, 0))]).astype(np.int32)
                 take = pa.array(doc, pa.int64())
@@ -159,11 +159,11 @@ def _small(df: DataFrame, bytes_per_row: int) -> DataFrame:
     return F.broadcast(df) if df.count() * bytes_per_row <= BROADCAST_BYTES else df
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """(id, tk, dropped): for each document with lines to drop, their numbers. A line that is not blank goes if
-    an earlier one (smaller id, then text hash, then line number; a null id last) is equal, or - from MIN_FUZZY
-    characters - within one edit. Whether that earlier line stays does not matter."""
-    rows = cut(_line_rows(docs, id_col, text_col), "lines")
+    an earlier one (smaller id, then text hash, then line number; a null id last) is equal, or - both from ``min_fuzzy``
+    characters, 1 for all lines - within one edit. Whether that earlier line stays does not matter."""
+    rows = cut(_line_rows(docs, id_col, text_col, min_fuzzy), "lines")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "tk", "no")
     lines = cut(rows.select("h", "h2", order.alias("o"), "keys")
                 .groupBy("h", "h2").agg(F.min("o").alias("first"), F.count(F.lit(1)).alias("times"), F.min_by("keys", "o").alias("keys")), "distinct-lines")
@@ -171,7 +171,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     block = lines.select("h", F.posexplode("keys").alias("slot", "key"))
     met = block.join(block.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "key")
     suspects = cut(met.groupBy("h").agg(F.collect_set("slot").alias("slots")), "suspects")
-    spelled = cut(_spell(docs, suspects, id_col, text_col), "suspect-lines")
+    spelled = cut(_spell(docs, suspects, text_col, min_fuzzy), "suspect-lines")
     firsts = lines.join(suspects.select("h"), "h", "left_semi").select("h", "first")
     # links: a group's members to its earliest, or to the line that the variant is
     variants = _variants(spelled).join(firsts, "h")
@@ -192,14 +192,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return gone.groupBy("id", "tk").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
 
 
-def _spell(docs: DataFrame, suspects: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _spell(docs: DataFrame, suspects: DataFrame, text_col: str, min_fuzzy: int) -> DataFrame:
     """(h, line, slots) of the suspect lines, read again from the texts."""
     bodies = docs.select(text_or_empty(text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, bodies in column_runs(b.column("body"), RUN_BYTES):
-                lines = list(dict.fromkeys(x for t in bodies for x in split_lines(t.decode()) if len(x) >= MIN_FUZZY))
+                lines = list(dict.fromkeys(x for t in bodies for x in split_lines(t.decode()) if len(x) >= max(min_fuzzy, 1)))
                 h = Lines(lines).whole().astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(lines, pa.string())], names=["h", "line"])
 
@@ -225,14 +225,15 @@ def _variants(spelled: DataFrame) -> DataFrame:
     return spelled.mapInArrow(run, "key long, h long, whole boolean, sub boolean")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """(row: struct of the columns of ``docs``, clean, n_lines, dropped): one row per row of ``docs``; ``clean`` is the
     text without the dropped lines, ``dropped`` their numbers from 0.
 
     Null and empty texts have no lines to drop and stay as they are; blank lines stay; rows with equal id and
     text are one document and get the same result; an empty table gives an empty table; other columns of
-    any name pass through in ``row``. A long text's lines are dealt out like any others."""
-    gone = repeated_lines(docs, id_col, text_col)
+    any name pass through in ``row``. Lines of fewer than ``min_fuzzy`` characters go only if equal (1: every line
+    may differ by an edit). A long text's lines are dealt out like any others."""
+    gone = repeated_lines(docs, id_col, text_col, min_fuzzy)
     packed = docs.select(F.struct(*docs.columns).alias("row"))
     packed = packed.select("row", F.col(f"row.{id_col}").alias("r_id"), F.xxhash64(text_or_empty(f"row.{text_col}")).alias("r_tk"))
     j = (packed.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_tk") == F.col("tk")), "left")

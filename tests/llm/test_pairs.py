@@ -200,6 +200,17 @@ def test_lines_one_edit_everywhere(spark):
     assert got == {i: want[i, t] for i, t, *_ in rows}
 
 
+def test_short_lines_within_one_edit(spark, monkeypatch):
+    monkeypatch.setattr(lines, "MIN_FUZZY", 1)  # of the plain version
+    r = np.random.default_rng(8)
+    texts = ["Share this article", "Share this article!", "Read more...", "Read more..", "a line of 19 letters", "a line of 19 letter", "é", "中", "ab", "b"]
+    texts += ["".join(r.choice(list("abc"), int(r.integers(1, 19)))) for _ in range(120)]
+    rows = [(int(k), "\n".join(texts[i] for i in part), "en", "a", 1) for k, part in enumerate(np.array_split(r.permutation(len(texts)), 20))]
+    want = brute_lines(rows)
+    got = {x["doc_id"]: list(x["dropped"]) for x in lines.dedup_lines(documents(spark, rows), min_fuzzy=1).select("row.doc_id", "dropped").collect()}
+    assert got == {i: want[i, t] for i, t, *_ in rows}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="abé中 ", min_size=20, max_size=45), st.integers(0, 44), st.sampled_from("sdi"))
 def test_an_edit_always_meets(s, i, kind):
