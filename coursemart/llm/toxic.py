@@ -32,7 +32,8 @@ PRIOR = 10.0
 WORD_DIM, GRAM_DIM, HIDDEN = 8, 8, 8
 ORDERS = (3, 4, 5, 6)
 INPUTS = WORD_DIM + GRAM_DIM + 1
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 24      # of the fit
+SCORE_STRIDE = WINDOW // 2   # of scoring: any WINDOW - SCORE_STRIDE + 1 words lie whole in some window
 MAX_TRAIN = 3000             # labelled documents that the fit may use: bound of the sample
 EPOCHS = 4
 BATCH = 64
@@ -89,12 +90,12 @@ def word_grams(w: Words, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(who), np.concatenate(hashes)
 
 
-def windows(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, first word within it) of all windows: every STRIDE words, the last one ending with the text;
+def windows(n_words: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+    """(text, first word within it) of all windows: every ``stride`` words, the last one ending with the text;
     one window for a text of up to WINDOW words, empty ones included."""
-    count = np.maximum(1, -(-(n_words - WINDOW) // STRIDE) + 1)
+    count = np.maximum(1, -(-(n_words - WINDOW) // stride) + 1)
     text = np.repeat(np.arange(len(n_words)), count)
-    first = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+    first = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * stride
     return text, np.minimum(first, np.maximum(n_words[text] - WINDOW, 0))
 
 
@@ -223,7 +224,7 @@ class Network:
         if len(pick):
             who, gram = word_grams(w, pick)
             x = self.inputs(self.word_index.find(h), who, self.gram_index.find(gram))
-        text, first = windows(w.n)
+        text, first = windows(w.n, SCORE_STRIDE)
         base = np.cumsum(w.n) - w.n
         best = np.full(len(texts), -np.inf)
         for a in range(0, len(text), 8192):

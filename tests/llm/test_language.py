@@ -266,3 +266,37 @@ def test_by_bytes_keeps_order_and_bounds():
     texts = ["a" * 10, None, "b" * 100, "", "c" * 5]
     runs = list(by_bytes(texts, 50))
     assert [x for run in runs for x in run] == [(t or "").encode() for t in texts] and len(runs) > 1
+
+
+def test_a_toxic_passage_counts_wherever_it_starts(monkeypatch):
+    """Passages of 10 to 16 words at 32 offsets of a long clean text lie whole in a window, with one decision."""
+    r = np.random.default_rng(6)
+    clean, bad = [f"word{i}" for i in range(200)], [f"vile{i}" for i in range(20)]
+    texts, y = [], []
+    for k in range(300):
+        words = [str(w) for w in r.choice(clean, int(r.integers(20, 120)))]
+        if k % 2:
+            at = int(r.integers(0, len(words)))
+            words[at:at] = [str(w) for w in r.choice(bad, int(r.integers(10, 17)))]
+        texts.append(" ".join(words).encode())
+        y.append(k % 2)
+    net = toxic.train(texts, np.array(y))
+    plain = toxic.places
+    seen = []
+
+    def places(kind, base, n, text, first):
+        seen.append((text, first))
+        return plain(kind, base, n, text, first)
+
+    monkeypatch.setattr(toxic, "places", places)
+    long = [str(w) for w in r.choice(clean, 200)]
+    for size in (10, 13, 16):
+        passage = [str(w) for w in r.choice(bad, size)]
+        seen.clear()
+        score = net.score([" ".join(long[:64 + k] + passage + long[64 + k:]).encode() for k in range(32)])
+        text, first = (np.concatenate(c) for c in zip(*seen))
+        for k in range(32):
+            f = first[text == k]
+            assert ((f <= 64 + k) & (64 + k + size <= f + toxic.WINDOW)).any()
+        assert (score >= 0.5).all()
+    assert net.score([" ".join(long).encode()])[0] < 0.5
