@@ -132,11 +132,11 @@ def test_isolated_pairs_are_found_in_a_dense_third(spark, monkeypatch):
 
 def test_vectors_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(vectors, "CELL", 64, raising=False)
-    x, _ = planted(400, 150, 0.9, 0.7, 4)
+    x, _ = planted(600, 200, 0.95, 0.75, 4)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     before, out = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:
-        for parts in (8, 400):
+        for parts in (8, 1000):
             spark.conf.set("spark.sql.shuffle.partitions", str(parts))
             out.append(rows_of(vectors.near_vectors(df), "vec_id", "n_links", "component_id", "kept"))
     finally:
