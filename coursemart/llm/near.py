@@ -1,14 +1,16 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison of shingle sets decides.
+"""N-gram Jaccard join: MinHash bands of one depth find candidates, exact comparison of shingle sets decides.
 
 1. Every document's set of word shingles gets a MinHash signature of ``trees`` x ``max_depth`` values. Documents
    with one set become one class.
-2. Forest: in each tree a class is a path of ``max_depth`` values. Matched prefixes are shortened from the
-   full path until pairs at the threshold meet in some tree with the target recall (``forest_depth``);
-   classes under one trie node of that depth are candidates. A trie node's members are compared by their
-   whole signatures, in bounded blocks, and only a spanning forest of the pairs that may reach the
-   threshold (within four standard errors) leaves the task.
+2. Bands, in place of an LSH forest: in each of the ``trees`` a class is a path of ``max_depth`` values, and classes that
+   share its first values are candidates. How many values is fixed before the run, from the parameters alone
+   (``forest_depth``: the most with which pairs at the threshold meet in some tree with the target recall), so the
+   join is by equal keys; no prefix is shortened by what the data hold, and a dense node is compared at that depth
+   too. The further values serve the signatures alone. A node's members are compared by their whole signatures,
+   in bounded blocks, and only a spanning forest of the pairs that may reach the threshold (within four standard
+   errors) leaves the task.
 3. Exact: the classes of one candidate component are compared pair by pair in bounded blocks on their shingle
-   sets, so no link between members is lost to the forest; a task returns a count per class and a
+   sets, so no link between members is lost to the bands; a task returns a count per class and a
    spanning forest of its links, never pairs.
 
 Work grows with the square of a group only inside these blocks, which are spread over tasks; what is shuffled
