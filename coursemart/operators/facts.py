@@ -18,9 +18,10 @@ def dedup_latest(df: DataFrame, pk, order=None) -> DataFrame:
     """Keep the latest row per ``pk`` (row_number() = 1 by arrival, newest first).
 
     Planned as a WindowGroupLimit: a partial limit runs before the shuffle, so even a
-    key with a huge number of versions sends at most one row per map task.
+    key with a huge number of versions sends at most one row per map task. Rows without any of the order's
+    columns are ordered by all their values, so that the same row stays whatever the partitions.
     """
-    order = [c for c in (order or ARRIVAL_ORDER) if c in df.columns]
+    order = [c for c in (order or ARRIVAL_ORDER) if c in df.columns] or df.columns
     pk = [pk] if isinstance(pk, str) else list(pk)
     w = Window.partitionBy(*pk).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

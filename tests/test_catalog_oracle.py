@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 from oracle import compare
 
 import __spark_entry__ as entry

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 from coursemart.functions.exprs import ts_lit
 from coursemart.params import Params

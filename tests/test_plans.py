@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 from coursemart.functions.exprs import ts_lit
 from coursemart.operators.facts import dedup_latest, incremental_source
