@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.llm import exact, lines, lm, mixing, near, quality, sampling, tokenfile, toxic, vectors
+from coursemart.llm import ann, audit, exact, lines, lm, merkle, mixing, near, quality, sampling, tokenfile, toxic, vectors
 from coursemart.llm.common import fold, read
 
 
@@ -85,6 +85,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms in at least 10 documents of their language; all pairs of sources, ten terms a source."""
+    return audit.divergence(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document a leaf; every fifth (by crc32 of its id) is checked with its text lower-cased."""
+    return merkle.manifest(read(spark, sf_dir, "documents"), tampered=merkle.tampered_rows())
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each vector whose id is divisible by 20, among all."""
+    return ann.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sample_pieces": op8_sample_pieces,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality": op10_quality,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {
@@ -103,4 +121,6 @@ ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact.ORACLE,
     "op4_line_dedup": lines.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
+    "op11_source_divergence": audit.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
