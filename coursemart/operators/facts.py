@@ -39,6 +39,13 @@ def incremental_source(stg: DataFrame, since: str | None) -> DataFrame:
     return out
 
 
+def parent_lookup(d: DataFrame, parent: DataFrame, id_col: str, key_col: str, p: Params) -> DataFrame:
+    """Fact-to-fact: ``parent``'s columns by its natural id. The key, which follows from the id, is joined on as well, so a
+    parent stored in buckets of its key is read where it lies and only ``d`` is shuffled (or broadcast by AQE)."""
+    side = parent.select(F.col(key_col).alias("_parent"), *parent.columns)
+    return d.withColumn("_parent", key(d, id_col, p=p)).join(side, ["_parent", id_col], "left").drop("_parent")
+
+
 def fact_program_enrollment(stg: DataFrame, d_student: DataFrame, d_program: DataFrame, lk: Lookup,
                             p: Params, since: str | None = None) -> DataFrame:
     d = dedup_latest(incremental_source(stg, since), "program_enrollment_id")
@@ -52,9 +59,8 @@ def fact_program_enrollment(stg: DataFrame, d_student: DataFrame, d_program: Dat
 def fact_subject_enrollment(stg: DataFrame, f_pe: DataFrame, d_offering: DataFrame, lk: Lookup,
                             p: Params, since: str | None = None) -> DataFrame:
     d = dedup_latest(incremental_source(stg, since), "subject_enrollment_id")
-    # fact-to-fact: a shuffle join (AQE broadcasts at run time when the parent turns out small)
     pe = f_pe.select("program_enrollment_id", "program_enrollment_key", "student_key", "program_key")
-    d = d.join(pe, "program_enrollment_id", "left")
+    d = parent_lookup(d, pe, "program_enrollment_id", "program_enrollment_key", p)
     d = lk.join(d, d_offering, "offering_id", cols=["offering_id", "offering_key", "subject_key"])
     return d.select(key(d, "subject_enrollment_id", p=p).alias("subject_enrollment_key"), "subject_enrollment_id",
                     "subject_key", "program_enrollment_key", "student_key", "program_key", "offering_key",
@@ -65,7 +71,7 @@ def fact_assessment_result(stg: DataFrame, f_se: DataFrame, d_assessment: DataFr
                            p: Params, since: str | None = None) -> DataFrame:
     d = dedup_latest(incremental_source(stg, since), "result_id")
     se = f_se.select("subject_enrollment_id", "subject_enrollment_key", "subject_key", "student_key", "program_key")
-    d = d.join(se, "subject_enrollment_id", "left")
+    d = parent_lookup(d, se, "subject_enrollment_id", "subject_enrollment_key", p)
     d = lk.join(d, d_assessment, "assessment_id", cols=["assessment_id", "assessment_key"])
     return d.select(key(d, "result_id", p=p).alias("result_key"), "result_id", "subject_enrollment_key",
                     "subject_key", "student_key", "program_key", "assessment_key", "raw_score", "submitted_at",

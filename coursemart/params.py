@@ -33,6 +33,10 @@ class Params:
     # row width stays under this many bytes; beyond it the join is left to a shuffle.
     broadcast_max_bytes: int = 64 * 1024 * 1024
 
+    # Facts are stored in this many buckets of their key; choose it so that a bucket of the largest fact holds
+    # 1-2 GB of Parquet (e.g. 65,536 for 100 TB).
+    fact_buckets: int = 16
+
     # Ordered windows (attempts, trend): a group above ``hot_group_rows`` rows is numbered
     # across range partitions instead of in one task; found on a sample of this fraction.
     hot_group_rows: int = 5_000_000

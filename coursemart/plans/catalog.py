@@ -7,6 +7,7 @@ query and its oracle (sums of the same values in another order differ in the las
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,11 +128,17 @@ from coursemart.operators import derive, dq, facts as factops, obt as obtops, sc
 from coursemart.operators.joins import Lookup  # noqa: E402
 from coursemart.plans import dashboards  # noqa: E402
 from coursemart.session import materialize, scratch_path  # noqa: E402
-from coursemart.sources import landing, store  # noqa: E402
+from coursemart.sources import landing  # noqa: E402
+from coursemart.sources.lake import Lake  # noqa: E402
 from coursemart.sources.binding import read_driver  # noqa: E402
 from coursemart.sources.staging import staged  # noqa: E402
 from coursemart.streaming import stream  # noqa: E402
 
+def own_lake(spark, name: str, buckets: int = 8) -> Lake:
+    """A lake of this query alone under the work folder."""
+    return Lake(spark, scratch_path(spark, name), prefix=f"q{uuid.uuid4().hex[:10]}_", buckets=buckets)
+
+
 # Fixed scenario clock for the landing / upsert / history queries.
 RUN1, RUN2, RUN3 = "2024-01-16 00:00:00", "2024-02-01 00:00:00", "2024-02-02 00:00:00"
 EVENTS_CUT = "2024-01-15 12:00:00"           # first landing sees events up to here ...
@@ -246,12 +253,11 @@ def q_incremental_filter(spark, sf_dir):
     w = wh(spark, sf_dir)
     p1 = ORACLE_PARAMS.with_(run_ts=JOURNAL_CUT)
     stg = w.stg["subject_enrollments"]
-    target = scratch_path(spark, "fact_subject_enrollment")
+    lake = own_lake(spark, "incremental_filter")
     base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
                                            w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p1)
-    store.upsert_delete_insert(spark, base, target, "subject_enrollment_id")
-    since = store.max_loaded_at(spark, target)
-    return factops.incremental_source(stg, str(since))
+    lake.upsert_delete_insert(base, "warehouse", "fact_subject_enrollment", "subject_enrollment_id", by="subject_enrollment_key")
+    return factops.incremental_source(stg, lake.loaded_at("warehouse", "fact_subject_enrollment"))
 
 
 @register("upsert_delete_insert", O.q("select * from fact_subject_enrollment"))
@@ -261,13 +267,13 @@ def q_upsert_delete_insert(spark, sf_dir):
     w = wh(spark, sf_dir)
     p = ORACLE_PARAMS
     stg = w.stg["subject_enrollments"]
-    target = scratch_path(spark, "fact_subject_enrollment")
+    lake = own_lake(spark, "upsert_delete_insert")
     base = factops.fact_subject_enrollment(stg.filter(F.col("_ingested_at") <= ts_lit(JOURNAL_CUT)),
                                            w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p)
-    store.upsert_delete_insert(spark, base, target, "subject_enrollment_id")
+    lake.upsert_delete_insert(base, "warehouse", "fact_subject_enrollment", "subject_enrollment_id", by="subject_enrollment_key")
     batch = factops.fact_subject_enrollment(stg, w.fact_program_enrollment(), w.dim_subject_offering(), w.lk, p,
                                             since=JOURNAL_CUT)
-    return store.upsert_delete_insert(spark, batch, target, "subject_enrollment_id")
+    return lake.upsert_delete_insert(batch, "warehouse", "fact_subject_enrollment", "subject_enrollment_id")
 
 
 # ---------------------------------------------------------------------------------------
@@ -615,16 +621,22 @@ def q_dq_singular_program(spark, sf_dir):
 
 @register("stream_land_dedup", f"select *, timestamp '{RUN1}' as _ingested_at from events")
 def q_stream_land_dedup(spark, sf_dir):
-    """Drops of events out of order (the oldest hour of the day last) with a replay of 10 minutes, one file per
+    """Drops of events in order of their time, each with the last ten minutes of the one before once more, one file per
     micro-batch. The stream lands every event once."""
     base = scratch_path(spark, "stream_land")
     ev = read_driver(spark, sf_dir, "events")
-    cut = ts_lit(EVENTS_CUT)
-    early = F.hour("ts") == 0
-    ev.filter(~early & (F.col("ts") > cut - F.expr("INTERVAL 10 MINUTES"))).coalesce(2).write.parquet(f"{base}/src/d1")
-    ev.filter(~early & (F.col("ts") <= cut)).coalesce(2).write.parquet(f"{base}/src/d2")
-    ev.filter(early).coalesce(1).write.parquet(f"{base}/src/d3")
-    schema = spark.read.parquet(f"{base}/src/d1").schema
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [lo + (hi - lo) * k / 4 for k in range(1, 4)]
+    edges = [None, *cuts, None]
+    back = F.expr("INTERVAL 10 MINUTES")
+    for k in range(4):
+        drop = ev
+        if edges[k] is not None:
+            drop = drop.filter(F.col("ts") > ts_lit(str(edges[k])) - back)
+        if edges[k + 1] is not None:
+            drop = drop.filter(F.col("ts") <= ts_lit(str(edges[k + 1])))
+        drop.coalesce(1).write.parquet(f"{base}/src/d{k}")
+    schema = spark.read.parquet(f"{base}/src/d0").schema
     stream.land_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "ts", "event_id", RUN1,
                        max_files_per_trigger=1)
     return spark.read.parquet(f"{base}/out")
@@ -641,8 +653,10 @@ def q_stream_upsert(spark, sf_dir):
     j.filter((ing >= ts_lit("1996-01-01 00:00:00")) & (ing < ts_lit(JOURNAL_CUT))).write.parquet(f"{base}/src/d2")
     j.filter(ing >= ts_lit(JOURNAL_CUT)).write.parquet(f"{base}/src/d3")
     schema = spark.read.parquet(f"{base}/src/d1").schema
-    stream.upsert_stream(spark, f"{base}/src/*", schema, f"{base}/out", f"{base}/ckpt", "subject_enrollment_id")
-    return stream.read_latest(spark, f"{base}/out").select(*SE_STG_COLS, "src_seq")
+    lake = own_lake(spark, "stream_upsert_lake")
+    stream.upsert_stream(spark, f"{base}/src/*", schema, lake, "warehouse", "latest", f"{base}/ckpt", "subject_enrollment_id",
+                         max_files_per_trigger=2)
+    return lake.table("warehouse", "latest").select(*SE_STG_COLS, "src_seq")
 
 
 # ---------------------------------------------------------------------------------------

@@ -1,15 +1,15 @@
 """End-to-end build: land → SCD2 snapshot → dims → incremental facts → wide tables → DQ.
 
-Layout under ``root`` (a shared folder on a cluster):
+Each layer is a database of named tables (``sources.lake``), its files under ``root`` (a shared folder on a cluster):
 
-    raw/raw_<table>                 landed journal / full reloads (Parquet)
-    snapshots/dim_program           SCD2 history, a new version per run
-    warehouse/<dim|fact>            dims rebuilt per run; facts upserted as deltas
-    obt/<table>                     wide tables rebuilt per run
-    dq/report                       data-quality report, a new version per run
+    raw.raw_<table>                 views of the landed journals and full reloads (Parquet)
+    staging.stg_<table>             views: the contract's columns of a raw table
+    snapshots.dim_program           SCD2 history, rebuilt per run from the one before
+    warehouse.<dim|fact>            dims rebuilt per run; facts upserted in buckets of their keys
+    obt.<table>                     wide tables
+    dq.report                       data-quality report, rebuilt per run
 
-All but the raw layer are versioned tables (``sources.store``): a run that fails leaves the committed versions
-as they were and can be started again; readers keep the version that they opened.
+A run that fails leaves tables that serve readers and can be started again.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from coursemart.operators import dq
 from coursemart.params import Params
 from coursemart.plans.warehouse import Warehouse
-from coursemart.sources import landing, store
-from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, SOURCE_SCHEMAS, check_schema, stage_all
+from coursemart.sources import landing
+from coursemart.sources.lake import Lake
+from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, SOURCE_SCHEMAS, check_schema, stage_all, staged_columns
 
 DIMS = ["dim_student", "dim_subject", "dim_semester", "dim_program", "dim_subject_offering", "dim_assessment",
         "dim_date"]
@@ -31,6 +33,12 @@ DIMS = ["dim_student", "dim_subject", "dim_semester", "dim_program", "dim_subjec
 FACT_KEYS = {"fact_program_enrollment": "program_enrollment_id",
              "fact_subject_enrollment": "subject_enrollment_id",
              "fact_assessment_result": "result_id"}
+# the key whose buckets a fact lies in: results lie with their subject enrollment, so joining the two moves neither
+FACT_BUCKETS = {"fact_program_enrollment": "program_enrollment_key",
+                "fact_subject_enrollment": "subject_enrollment_key",
+                "fact_assessment_result": "subject_enrollment_key"}
+OBT_PARTITIONS = {"obt_program_enrollment": ["status"]}  # what the dashboards filter by
+SKEW, SKEW_ROWS = 4, 1_000_000
 OBTS = ["obt_subject_enrollment", "obt_assessment_result", "obt_program_enrollment", "obt_program_summary"]
 
 
@@ -48,6 +56,19 @@ def _timed(rep: RunReport, name: str, fn):
     return out
 
 
+def bucket_key(lake: Lake, fact: str, staged: dict[str, DataFrame]) -> tuple[str, bool]:
+    """(column whose buckets the fact gets, whether a row's bucket never changes). Results of which one subject enrollment has
+    so many that its bucket would hold several times the others' are laid out by their own key instead; their join is
+    then a shuffle join, whose skewed partitions AQE splits."""
+    own = {"fact_assessment_result": "result_key"}.get(fact, FACT_BUCKETS[fact])
+    if own == FACT_BUCKETS[fact]:
+        return own, True
+    held = (staged["assessment_results"].groupBy(F.pmod(F.xxhash64("subject_enrollment_id"), F.lit(lake.buckets)).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first())
+    uneven = (held["most"] or 0) > max(SKEW_ROWS, SKEW * held["all"] / lake.buckets if held["all"] else 0)
+    return (own, True) if uneven else (FACT_BUCKETS[fact], False)
+
+
 def land(spark: SparkSession, sources: dict[str, DataFrame], root: str, p: Params, force_full: bool = False,
          rep: RunReport | None = None) -> RunReport:
     """Land the seven full-reload tables and the three incremental journals (fail-fast; every source is checked
@@ -67,49 +88,59 @@ def read_landed(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{root}/raw/raw_{t}") for t in list(FULL_TABLES) + list(INCREMENTAL_TABLES)}
 
 
-def build(spark: SparkSession, staged: dict[str, DataFrame], root: str, p: Params, full_refresh: bool = False,
+def layer_views(lake: Lake) -> None:
+    """The landed tables and their staging projections by name."""
+    for t in [*FULL_TABLES, *INCREMENTAL_TABLES]:
+        if not lake.exists("raw", f"raw_{t}"):
+            lake.spark.sql(f"CREATE VIEW {lake.name('raw', f'raw_{t}')} AS SELECT * FROM parquet.`{lake.root}/raw/raw_{t}`")
+            cols = ", ".join(f"`{c}`" for c in staged_columns(lake.spark.table(lake.name("raw", f"raw_{t}")), t))
+            lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.name('staging', f'stg_{t}')} AS SELECT {cols} FROM {lake.name('raw', f'raw_{t}')}")
+
+
+def build(spark: SparkSession, staged: dict[str, DataFrame], lake: Lake, p: Params, full_refresh: bool = False,
           run_dq: bool = True, rep: RunReport | None = None) -> RunReport:
     """One warehouse run over staged (landed) tables."""
     rep = rep or RunReport()
-    snap_path = f"{root}/snapshots/dim_program"
-    prev = store.read_table(spark, snap_path) if store.exists(spark, snap_path) else None
+    prev = lake.table("snapshots", "dim_program") if lake.exists("snapshots", "dim_program") else None
     w = Warehouse(spark, staged, p, snapshot=prev, materialize_dims=False)
-    w.put("snapshot", _timed(rep, "scd2_snapshot", lambda: store.write_table(w.snapshot(), snap_path)))
+    w.put("snapshot", _timed(rep, "scd2_snapshot", lambda: lake.rebuild(w.snapshot(), "snapshots", "dim_program")))
 
     for d in DIMS:
-        path = f"{root}/warehouse/{d}"
-        w.put(d, _timed(rep, d, lambda d=d, path=path: store.write_table(w.table(d), path)))
+        w.put(d, _timed(rep, d, lambda d=d: lake.rebuild(w.table(d), "warehouse", d)))
 
     for f, key in FACT_KEYS.items():
-        target = f"{root}/warehouse/{f}"
-        since = None if full_refresh else store.max_loaded_at(spark, target)
+        since = None if full_refresh else lake.loaded_at("warehouse", f)
         rep.since[f] = since
-        w.since[f] = None if since is None else str(since)
+        w.since[f] = since
         w.forget(f)
+        by, stays = bucket_key(lake, f, staged) if since is None else (None, f != "fact_assessment_result")
         batch = w.table(f)
-        w.put(f, _timed(rep, f, lambda batch=batch, target=target, key=key, since=since: store.upsert_delete_insert(
-            spark, batch, target, key, full_refresh=since is None)))
+        w.put(f, _timed(rep, f, lambda f=f, batch=batch, key=key, by=by, stays=stays, since=since: lake.upsert_delete_insert(
+            batch, "warehouse", f, key, by=by, stays=stays, full_refresh=since is None)))
 
     for o in OBTS:
-        path = f"{root}/obt/{o}"
-        w.put(o, _timed(rep, o, lambda o=o, path=path: store.write_table(w.table(o), path)))
+        w.put(o, _timed(rep, o, lambda o=o: lake.rebuild(w.table(o), "obt", o, OBT_PARTITIONS.get(o))))
 
     if run_dq:
         def models(name):
             if name.startswith("stg_"):
                 return staged[name[4:]]
             return w.table(name)
-        _timed(rep, "dq_suite", lambda: store.write_table(dq.run_suite(models, lookup=w.lk), f"{root}/dq/report"))
+        _timed(rep, "dq_suite", lambda: lake.rebuild(dq.run_suite(models, lookup=w.lk), "dq", "report"))
     return rep
 
 
-def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str, p: Params,
+def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], lake: Lake | str, p: Params,
                  full_refresh: bool = False) -> RunReport:
-    """Land the sources, then build the warehouse from the landed journal."""
+    """Land the sources, then build the warehouse from the landed journal. ``lake``: its folder, or the lake itself
+    where several share a catalog."""
     rep = RunReport()
-    _timed(rep, "land", lambda: land(spark, sources, root, p, force_full=full_refresh, rep=rep))
-    staged = stage_all(read_landed(spark, root))
-    return build(spark, staged, root, p, full_refresh=full_refresh, rep=rep)
+    lake = Lake(spark, lake, buckets=p.fact_buckets) if isinstance(lake, str) else lake
+    lake.attach()
+    _timed(rep, "land", lambda: land(spark, sources, lake.root, p, force_full=full_refresh, rep=rep))
+    staged = stage_all(read_landed(spark, lake.root))
+    _timed(rep, "views", lambda: layer_views(lake))
+    return build(spark, staged, lake, p, full_refresh=full_refresh, rep=rep)
 
 
 __all__ = ["land", "build", "run_pipeline", "read_landed", "RunReport"]

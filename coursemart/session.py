@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",  # tables bucketed by one of a join's keys are co-partitioned
 }
 
 
@@ -94,6 +95,11 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)

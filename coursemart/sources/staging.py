@@ -94,12 +94,16 @@ def staged(raw: DataFrame, table: str) -> DataFrame:
     """Staging view: the source columns plus ``_ingested_at``, nothing else. A missing column or another type
     raises ``SchemaDrift``."""
     check_schema(raw, SOURCE_SCHEMAS[table])
+    return raw.select(*staged_columns(raw, table))
+
+
+def staged_columns(raw: DataFrame, table: str) -> list[str]:
     cols = [f.name for f in SOURCE_SCHEMAS[table].fields] + ["_ingested_at"]
     if "src_seq" in raw.columns:  # landing sequence, the last tie-break of arrival order
         cols.append("src_seq")
     if "_ingest_date" in raw.columns:  # journal partition column: lets incremental reads prune folders
         cols.append("_ingest_date")
-    return raw.select(*cols)
+    return cols
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -1,61 +1,66 @@
 """Landing and upsert as Structured Streaming jobs over a directory of Parquet drops.
 
-* ``land_stream``: each micro-batch lands by the batch rule (``foreachBatch``): rows above the watermark that the
-  target had when the run began, less the lookback, whose (pk, cursor) is not landed yet. The bound is taken
-  once per run, so the rows landed do not depend on how files are cut into micro-batches, and a replayed
-  micro-batch adds nothing.
-* ``upsert_stream``: each micro-batch is reduced to the latest version per key and appended as a delta of the
-  table; reading keeps the newest row per key, so a replayed batch changes nothing.
+* ``land_stream``: the lookback rule as a stateful operator. The watermark trails the newest event time by the lookback; a
+  (pk, cursor) is kept in the state store until the watermark has passed it, so what is delivered again within the lookback
+  lands once, and rows older than the watermark are not taken (the batch rule does not pull rows below its bound
+  either). The Parquet sink commits each micro-batch in its log, so a restart from the checkpoint adds nothing.
+* ``upsert_stream``: each micro-batch is reduced to the latest version per key and merged into the touched buckets of the
+  table; the epoch is noted beside them afterwards, so an epoch that is delivered again changes nothing.
 Both run with ``trigger(availableNow=True)``: process what is there, then stop.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coursemart.functions.exprs import ts_lit
 from coursemart.operators.facts import ARRIVAL_ORDER
-from coursemart.sources import landing, store
+from coursemart.sources.lake import Lake
 
 
-def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
-                cursor: str, pk: str, run_ts: str, lookback_minutes: int = 10,
-                max_files_per_trigger: int | None = None) -> None:
+EVENT_TIME = "_event_time"
+
+
+def _drops(spark: SparkSession, source_dir: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    wm = landing.watermark(spark, target, cursor)
+    return reader.parquet(source_dir)
 
-    def land(batch: DataFrame, _epoch: int) -> None:
-        one = batch.dropDuplicates([pk, cursor])
-        if landing.target_exists(spark, target):
-            landing.append_unseen(spark, one, target, cursor, pk, run_ts, wm, lookback_minutes)
-        else:
-            landing.land_full(spark, one, target, run_ts, cursor=cursor)
 
-    q = (reader.parquet(source_dir).writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(land).trigger(availableNow=True).start())
-    q.awaitTermination()
+def seen_once(rows: DataFrame, cursor: str, pk: str, lookback_minutes: int) -> DataFrame:
+    """Each (pk, cursor) once, as long as it comes again within the lookback; rows behind the watermark are left out.
+    State: the (pk, cursor) of the lookback, in the state store by key."""
+    timed = rows.withColumn(EVENT_TIME, F.col(cursor).cast("timestamp"))  # a watermark takes no other type
+    return timed.withWatermark(EVENT_TIME, f"{int(lookback_minutes)} minutes").dropDuplicatesWithinWatermark([pk, cursor]).drop(EVENT_TIME)
 
 
-def merge_latest(spark: SparkSession, batch: DataFrame, target: str, pk: str) -> None:
-    """Merge one micro-batch into ``target``: newest row per key wins (see ``store.upsert_latest``)."""
-    store.upsert_latest(spark, batch, target, pk)
+def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
+                cursor: str, pk: str, run_ts: str, lookback_minutes: int = 10,
+                max_files_per_trigger: int | None = None) -> None:
+    rows = seen_once(_drops(spark, source_dir, schema, max_files_per_trigger), cursor, pk, lookback_minutes)
+    q = (rows.withColumn("_ingested_at", ts_lit(run_ts)).writeStream.format("parquet").outputMode("append")
+         .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
-def read_latest(spark: SparkSession, target: str) -> DataFrame:
-    return store.read_table(spark, target)
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The query's id as its checkpoint keeps it: a new checkpoint is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
+def upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructType, lake: Lake, layer: str, table: str, checkpoint: str,
                   pk: str, max_files_per_trigger: int | None = None) -> None:
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
-    order_cols = [c for c in ARRIVAL_ORDER if c in schema.fieldNames()]
-    assert order_cols, "an arrival-order column is needed"
-    q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: merge_latest(spark, df, target, pk))
-         .trigger(availableNow=True).start())
+    if not any(c in schema.fieldNames() for c in ARRIVAL_ORDER):
+        raise ValueError(f"one of {ARRIVAL_ORDER} is needed")
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        lake.upsert_latest(batch, layer, table, pk, epoch=f"{stream_id(spark, checkpoint)}-{epoch}")
+
+    q = (_drops(spark, source_dir, schema, max_files_per_trigger).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(merge).trigger(availableNow=True).start())
     q.awaitTermination()

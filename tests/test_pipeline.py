@@ -3,6 +3,7 @@ NULL parent keys until they change again); facts unique per key; wide tables kee
 (left joins never fan out); the DQ report has one row per declared check."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from coursemart.params import Params
 from coursemart.plans import pipeline
 from coursemart.sources.binding import landed_tables
 from coursemart.sources.staging import INCREMENTAL_TABLES
-from coursemart.sources.store import read_table
+from coursemart.sources.lake import Lake
 
 RUN1, RUN2 = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
 CUT = "1997-06-30 00:00:00"
@@ -27,8 +28,12 @@ def _sources(spark, root):
     return out
 
 
-def _facts(spark, lake):
-    return {f: read_table(spark, f"{lake}/warehouse/{f}").drop("_loaded_at") for f in pipeline.FACT_KEYS}
+def _lake(spark, root):
+    return Lake(spark, root, prefix=f"t{uuid.uuid4().hex[:8]}_")
+
+
+def _facts(lake):
+    return {f: lake.table("warehouse", f).drop("_loaded_at") for f in pipeline.FACT_KEYS}
 
 
 def test_incremental_equals_full_refresh(spark):
@@ -38,16 +43,16 @@ def test_incremental_equals_full_refresh(spark):
     for t in INCREMENTAL_TABLES:
         first[t] = src[t].filter(F.col("updated_at") <= ts_lit(CUT))
 
-    inc = f"{scratch}/inc"
+    inc = _lake(spark, f"{scratch}/inc")
     pipeline.run_pipeline(spark, first, inc, Params(run_ts=RUN1))
     rep = pipeline.run_pipeline(spark, src, inc, Params(run_ts=RUN2))
     assert str(rep.since["fact_subject_enrollment"]) == RUN1
     assert rep.landed["subject_enrollments"].mode == "incremental" and rep.landed["subject_enrollments"].rows > 0
 
-    full = f"{scratch}/full"
+    full = _lake(spark, f"{scratch}/full")
     pipeline.run_pipeline(spark, src, full, Params(run_ts=RUN2))
 
-    a, b = _facts(spark, inc), _facts(spark, full)
+    a, b = _facts(inc), _facts(full)
     for f, key in pipeline.FACT_KEYS.items():
         assert a[f].count() == b[f].count(), f
         assert a[f].select(key).distinct().count() == a[f].count(), f"{f} not unique"
@@ -60,11 +65,14 @@ def test_incremental_equals_full_refresh(spark):
     for o, f in [("obt_subject_enrollment", "fact_subject_enrollment"),
                  ("obt_assessment_result", "fact_assessment_result"),
                  ("obt_program_enrollment", "fact_program_enrollment")]:
-        assert read_table(spark, f"{inc}/obt/{o}").count() == a[f].count(), o
+        assert inc.table("obt", o).count() == a[f].count(), o
 
-    assert read_table(spark, f"{inc}/warehouse/dim_date").count() == 13149
-    report = read_table(spark, f"{inc}/dq/report")
+    assert inc.table("warehouse", "dim_date").count() == 13149
+    report = inc.table("dq", "report")
     assert report.count() == 100
+    # every layer is a database; the staging views give the contract's columns
+    assert spark.table(inc.name("staging", "stg_subject_enrollments")).count() == spark.table(inc.name("raw", "raw_subject_enrollments")).count()
+    assert spark.table(inc.name("obt", "obt_program_summary")).count() > 0
     # the journals keep every landed version; their unique checks are not declared, so the facts pass
     bad = {(r.model, r.column_name, r.test) for r in report.filter("failures > 0").collect()}
     assert not any(m.startswith("fact_") and t == "unique" for m, _, t in bad)
@@ -73,13 +81,13 @@ def test_incremental_equals_full_refresh(spark):
 def test_a_run_that_dies_can_be_started_again(spark, monkeypatch):
     scratch = tempfile.mkdtemp(prefix="cm-restart-")
     src = _sources(spark, f"{scratch}/src")
-    lake, once = f"{scratch}/lake", f"{scratch}/once"
+    lake, once = _lake(spark, f"{scratch}/lake"), _lake(spark, f"{scratch}/once")
 
     def die(*a, **k):
         raise RuntimeError("killed")
 
     with monkeypatch.context() as m:
-        m.setattr(pipeline.store, "upsert_delete_insert", die)         # after the snapshot and the dims
+        m.setattr(lake, "upsert_delete_insert", die)         # after the snapshot and the dims
         try:
             pipeline.run_pipeline(spark, src, lake, Params(run_ts=RUN1))
             raise AssertionError("the run should have died")
@@ -87,6 +95,6 @@ def test_a_run_that_dies_can_be_started_again(spark, monkeypatch):
             assert str(e) == "killed"
     pipeline.run_pipeline(spark, src, lake, Params(run_ts=RUN1))
     pipeline.run_pipeline(spark, src, once, Params(run_ts=RUN1))
-    a, b = _facts(spark, lake), _facts(spark, once)
+    a, b = _facts(lake), _facts(once)
     assert all(a[f].exceptAll(b[f]).isEmpty() and b[f].exceptAll(a[f]).isEmpty() for f in pipeline.FACT_KEYS)
-    assert read_table(spark, f"{lake}/snapshots/dim_program").count() == read_table(spark, f"{once}/snapshots/dim_program").count()
+    assert lake.table("snapshots", "dim_program").count() == once.table("snapshots", "dim_program").count()
