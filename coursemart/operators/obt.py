@@ -11,7 +11,9 @@ them are joined back, broadcast when their proven row bound fits the budget.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursemart.functions.exprs import (cents_sum_count, completed_years, date_lit, degree_years, exact_avg,
@@ -68,101 +70,215 @@ def _weighted_mark_stats(counts: DataFrame, by: list[str], p: Params, pass_col:
     return m.groupBy(*by).agg(*aggs)
 
 
-def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup,
-                           p: Params) -> DataFrame:
-    e = subject_enriched(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk)
-    counts = _materialize(mark_counts(e), "offering_mark_counts")
+#: columns that a row is enriched with before its statistics
+SUBJECT_BASE = ["subject_enrollment_key", "subject_enrollment_id", "program_enrollment_key", "offering_key", "status", "final_mark",
+                "final_grade", "student_key", "program_key", "student_id", "first_name", "last_name", "program_id", "program_name",
+                "offering_id", "coordinator_name", "subject_key", "semester_key", "subject_code", "subject_title", "credit_points",
+                "semester_id", "semester_name", "academic_year", "semester_start_date"]
+SUBJECT_COLUMNS = ["subject_enrollment_key", "subject_enrollment_id", "program_enrollment_key", "student_id", "first_name", "last_name",
+                   "program_id", "program_name", "offering_id", "coordinator_name", "subject_code", "subject_title", "credit_points",
+                   "semester_id", "semester_name", "academic_year", "status", "final_mark", "final_grade", "attempt_number", "is_retake",
+                   "is_pass", "credit_points_earned", "class_size", "program_average_mark_for_this_subject", "subject_pass_rate",
+                   "rank_in_offering"]
+#: kept beside them in the stored table, for the next refresh
+SUBJECT_STORED = [c for c in SUBJECT_BASE if c not in SUBJECT_COLUMNS]
+
+
+def attempts(e: DataFrame, p: Params, detect: DataFrame | None = None) -> DataFrame:
+    """row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment group of early-arriving rows) are numbered
+    across partitions."""
+    return windows.row_number(e, ["program_enrollment_key", "subject_code"], [F.col("semester_start_date").asc_nulls_last(),
+                                                                        F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
+                              p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
+
+
+def coordinator_stats(counts: DataFrame, p: Params) -> DataFrame:
+    return _weighted_mark_stats(counts, ["coordinator_name"], p, None).withColumnRenamed("_avg", "coordinator_average_mark")
+
+
+def subject_rows(x: DataFrame, counts: DataFrame, lk: Lookup, p: Params) -> DataFrame:
+    """Numbered rows with the statistics of their offering and their subject in the semester: SUBJECT_COLUMNS and
+    SUBJECT_STORED. ``counts``: mark counts of (at least) the offerings of ``x``."""
     # each small table is written once: its own row count decides whether it is broadcast
     ranks = _materialize(offering_mark_ranks(counts), "offering_mark_ranks")
     subj = _materialize(_weighted_mark_stats(counts, ["subject_code", "semester_id"], p, "subject_pass_rate")
                         .withColumnRenamed("_avg", "program_average_mark_for_this_subject"), "subject_stats")
-    coord = _materialize(_weighted_mark_stats(counts, ["coordinator_name"], p, None)
-                         .withColumnRenamed("_avg", "coordinator_average_mark"), "coordinator_stats")
-
-    # attempts: row_number per (enrollment, subject); hot groups (e.g. the NULL-enrollment group
-    # of early-arriving rows) are numbered across partitions. Detection samples a narrow input:
-    # the fact's two key columns and one dimension lookup.
-    detect = lk.join(f_se.select("program_enrollment_key", "subject_key"), d_subject, "subject_key",
-                     cols=["subject_key", "subject_code"]).drop("subject_key")
-    x = windows.row_number(e, ["program_enrollment_key", "subject_code"],
-                           [F.col("semester_start_date").asc_nulls_last(),
-                            F.col("subject_enrollment_id").asc_nulls_last()], "attempt_number",
-                           p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
     # NULL-safe on both keys: NULL offering / NULL mark rows get their group's rank
     r = lk.side(ranks)
     x = x.join(r, x.offering_key.eqNullSafe(r.offering_key) & x.final_mark.eqNullSafe(r.final_mark), "left") \
         .drop(r.offering_key).drop(r.final_mark)
     x = x.join(lk.side(subj), ["subject_code", "semester_id"], "left")
-    x = x.join(lk.side(coord), "coordinator_name", "left")
 
     mark = F.col("final_mark")
     is_pass = mark.isNotNull() & (mark >= F.lit(p.subject_pass_mark))
-    return x.select(
-        "subject_enrollment_key", "subject_enrollment_id", "program_enrollment_key",
-        "student_id", "first_name", "last_name", "program_id", "program_name",
-        "offering_id", "coordinator_name", "subject_code", "subject_title", "credit_points",
-        "semester_id", "semester_name", "academic_year", "status", "final_mark", "final_grade",
-        "attempt_number",
-        (F.col("attempt_number") > 1).alias("is_retake"),
-        is_pass.alias("is_pass"),
-        F.when(is_pass, F.col("credit_points")).otherwise(F.lit(0)).alias("credit_points_earned"),
-        # the class-size join is an equality join: no size for a NULL offering
-        F.when(F.col("offering_key").isNotNull(), F.col("class_size")).alias("class_size"),
-        "program_average_mark_for_this_subject", "subject_pass_rate", "rank_in_offering",
-        "coordinator_average_mark",
-        ts_lit(p.run_ts).alias("_loaded_at"))
+    # the class-size join is an equality join: no size for a NULL offering
+    return x.withColumns({"is_retake": F.col("attempt_number") > 1, "is_pass": is_pass,
+                          "credit_points_earned": F.when(is_pass, F.col("credit_points")).otherwise(F.lit(0)),
+                          "class_size": F.when(F.col("offering_key").isNotNull(), F.col("class_size"))}).select(*SUBJECT_COLUMNS, *SUBJECT_STORED)
+
+
+def subject_wide(rows: DataFrame, coordinators: DataFrame, loaded_at) -> DataFrame:
+    return rows.join(coordinators, "coordinator_name", "left").select(*SUBJECT_COLUMNS, "coordinator_average_mark", loaded_at.alias("_loaded_at"))
+
+
+def subject_tables(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup, p: Params) -> tuple[DataFrame, DataFrame]:
+    """(rows, mark counts) of all subject enrollments."""
+    e = subject_enriched(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk)
+    counts = _materialize(mark_counts(e), "offering_mark_counts")
+    # detection samples a narrow input: the fact's two key columns and one dimension lookup
+    detect = lk.join(f_se.select("program_enrollment_key", "subject_key"), d_subject, "subject_key",
+                     cols=["subject_key", "subject_code"]).drop("subject_key")
+    return subject_rows(attempts(e, p, detect), counts, lk, p), counts
+
+
+def obt_subject_enrollment(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup,
+                           p: Params) -> DataFrame:
+    rows, counts = subject_tables(f_se, d_student, d_program, d_offering, d_subject, d_semester, lk, p)
+    coord = _materialize(coordinator_stats(counts, p), "coordinator_stats")
+    return subject_wide(rows, lk.side(coord), ts_lit(p.run_ts))
+
+
+def _in(column: str, values: set) -> Column:
+    """The column is one of the values, NULL among them or not: a filter that prunes partitions."""
+    some = sorted(v for v in values if v is not None)
+    cond = F.col(column).isin(some) if some else F.lit(False)
+    return cond | F.col(column).isNull() if None in values else cond
+
+
+def _values(*columns: DataFrame) -> set:
+    """The distinct values of one-column tables (semesters: few by nature)."""
+    return {r[0] for r in reduce(DataFrame.union, columns).distinct().collect()}
+
+
+def _among(df: DataFrame, keys: DataFrame, cols: list[str], how: str, lk: Lookup) -> DataFrame:
+    """``df`` joined with the written ``keys`` on ``cols``, NULL equal to NULL; ``how``: left_semi, or mark (column ``_hit``)."""
+    side = lk.side(keys).select(*[F.col(c).alias(f"_{c}") for c in cols], F.lit(True).alias("_hit"))
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols])
+    if how == "left_semi":
+        return df.join(side, cond, "left_semi")
+    return df.join(side, cond, "left").drop(*[f"_{c}" for c in cols])
+
+
+def refreshed_subjects(before: DataFrame, changed: DataFrame, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup,
+                       p: Params) -> tuple[DataFrame, DataFrame, set]:
+    """(rows, mark counts, semesters): all rows of the semesters that ``changed`` fact rows touch. ``before``: the stored rows,
+    partitioned by semester.
+
+    An offering, its ranks and its averages lie in one semester; what reaches into others are the attempts of one
+    (enrollment, subject). So the semesters are those of the changed rows, of what they were before, and of their
+    siblings; the stored rows of these alone are read whole, all others by four columns. The result equals the full
+    build's rows of these semesters, if the dimensions' rows have not changed."""
+    new = _materialize(subject_enriched(changed, d_student, d_program, d_offering, d_subject, d_semester, lk), "subjects_changed")
+    ids = new.select("subject_enrollment_id")
+    pair = ["program_enrollment_key", "subject_code"]
+    narrow = before.select("subject_enrollment_id", *pair, "semester_id")
+    old = _materialize(narrow.join(ids, "subject_enrollment_id", "left_semi"), "subjects_before")
+    pairs = _materialize(new.select(*pair).unionByName(old.select(*pair)).distinct(), "subjects_touched")
+    semesters = _values(*[t.select("semester_id") for t in (new, old, _among(narrow, pairs, pair, "left_semi", lk))])
+    kept = before.filter(_in("semester_id", semesters)).join(ids, "subject_enrollment_id", "left_anti")
+    x = _materialize(_among(kept.select(*SUBJECT_BASE, "attempt_number").unionByName(new.withColumn("attempt_number", F.lit(None).cast("bigint"))),
+                            pairs, pair, "mark", lk), "subjects_of_semesters")
+    counts = _materialize(mark_counts(x), "offering_mark_counts")
+    again = attempts(x.filter("_hit").drop("_hit", "attempt_number"), p)
+    rows = x.filter("_hit is null").drop("_hit").unionByName(again)
+    return subject_rows(rows, counts, lk, p), counts, semesters
 
 
 # ---------------------------------------------------------------------------------------
 # O2: assessment results
 
-def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk: Lookup,
-                          p: Params) -> DataFrame:
+RESULT_BASE = ["result_key", "result_id", "subject_enrollment_key", "assessment_key", "raw_score", "submitted_at", "student_key",
+               "student_id", "first_name", "last_name", "offering_key", "assessment_title", "weight_percentage", "max_score", "subject_key",
+               "semester_key", "subject_code", "subject_title", "semester_id", "semester_name", "academic_year", "final_mark", "final_grade",
+               "score_percentage"]
+RESULT_COLUMNS = ["result_key", "result_id", "student_id", "first_name", "last_name", "subject_code", "subject_title", "semester_id",
+                  "semester_name", "academic_year", "assessment_title", "weight_percentage", "max_score", "raw_score", "submitted_at",
+                  "final_mark", "final_grade", "score_percentage", "weighted_contribution", "assessment_average_score_for_offering",
+                  "assessment_pass_rate", "z_score_within_assessment", "score_band", "mark_trend_within_subject"]
+RESULT_STORED = [c for c in RESULT_BASE if c not in RESULT_COLUMNS] + ["previous_score_percentage"]
+
+
+def result_enriched(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk: Lookup) -> DataFrame:
     e = f_ar.select("result_key", "result_id", "subject_enrollment_key", "assessment_key", "raw_score",
                     "submitted_at", "student_key")
+    # fact-to-fact first, on subject_enrollment_key: stored in buckets of it, neither is moved
+    e = e.join(f_se.select("subject_enrollment_key", "final_mark", "final_grade"), "subject_enrollment_key", "left")
     e = lk.join(e, d_student, "student_key", cols=["student_key", "student_id", "first_name", "last_name"])
     e = lk.join(e, d_assessment, "assessment_key", cols=["assessment_key", "offering_key", F.col("title").alias("assessment_title"),
                                        "weight_percentage", "max_score"])
     e = lk.join(e, d_offering, "offering_key", cols=["offering_key", "subject_key", "semester_key"])
     e = lk.join(e, d_subject, "subject_key", cols=["subject_key", "subject_code", "subject_title"])
     e = lk.join(e, d_semester, "semester_key", cols=["semester_key", "semester_id", "semester_name", "academic_year"])
-    # fact-to-fact on subject_enrollment_key; the trend window below reuses this partitioning
-    e = e.join(f_se.select("subject_enrollment_key", "final_mark", "final_grade"), "subject_enrollment_key", "left")
-    e = e.withColumn("score_percentage", safe_div("raw_score", "max_score"))
+    return e.withColumn("score_percentage", safe_div("raw_score", "max_score")).select(*RESULT_BASE)
 
-    # per-assessment statistics need only the result and its assessment (the fact grain keeps
-    # the other left joins one-to-one), so they are computed from the narrow pair
-    scored = lk.join(f_ar.select("assessment_key", "raw_score"), d_assessment, "assessment_key",
-                     cols=["assessment_key", "max_score"]) \
-        .withColumn("score_percentage", safe_div("raw_score", "max_score"))
+
+def previous_scores(e: DataFrame, p: Params, detect: DataFrame | None = None) -> DataFrame:
+    """The score before each one of its subject enrollment, in the order of submission."""
+    return windows.lag(e, ["subject_enrollment_key"], [F.col("submitted_at").asc_nulls_last(), F.col("result_id").asc_nulls_last()],
+                       "score_percentage", "previous_score_percentage", p.hot_group_rows, p.hot_sample_fraction, detect_on=detect)
+
+
+def result_rows(x: DataFrame, scored: DataFrame, lk: Lookup, p: Params) -> DataFrame:
+    """Rows with the statistics of their assessment: RESULT_COLUMNS and RESULT_STORED. ``scored``: (assessment_key, raw_score,
+    score_percentage) of (at least) the assessments of ``x``."""
+    # one row per assessment key seen in the fact (keys of deleted assessments included), written
+    # once with its row count observed: broadcast only when that count fits the budget
     stats = _materialize(
         scored.groupBy("assessment_key").agg(
             exact_avg("raw_score").alias("assessment_average_score_for_offering"),
             F.stddev_samp(F.col("raw_score").cast("double")).alias("_sd"),
             F.avg(F.when(F.col("score_percentage") >= F.lit(p.pass_threshold_pct), 1.0).otherwise(0.0))
             .alias("assessment_pass_rate")), "assessment_stats")
-
-    x = windows.lag(e, ["subject_enrollment_key"], [F.col("submitted_at").asc_nulls_last(),
-                                                     F.col("result_id").asc_nulls_last()],
-                    "score_percentage", "_prev", p.hot_group_rows, p.hot_sample_fraction,
-                    detect_on=f_ar.select("subject_enrollment_key"))
-    # one row per assessment key seen in the fact (keys of deleted assessments included), written
-    # once with its row count observed: broadcast only when that count fits the budget
     x = lk.join(x, stats, "assessment_key")
     sd = F.col("_sd")
     z = F.when(sd.isNull() | (sd == 0), F.lit(None).cast("double")) \
         .otherwise((F.col("raw_score").cast("double") - F.col("assessment_average_score_for_offering")) / sd)
-    return x.select(
-        "result_key", "result_id", "student_id", "first_name", "last_name", "subject_code", "subject_title",
-        "semester_id", "semester_name", "academic_year", "assessment_title", "weight_percentage", "max_score",
-        "raw_score", "submitted_at", "final_mark", "final_grade", "score_percentage",
-        round_half_away(F.col("score_percentage") * F.col("weight_percentage").cast("double"), 2)
-        .alias("weighted_contribution"),
-        "assessment_average_score_for_offering", "assessment_pass_rate",
-        z.alias("z_score_within_assessment"),
-        score_band("score_percentage", p).alias("score_band"),
-        trend("score_percentage", "_prev").alias("mark_trend_within_subject"),
-        ts_lit(p.run_ts).alias("_loaded_at"))
+    return x.withColumns({
+        "weighted_contribution": round_half_away(F.col("score_percentage") * F.col("weight_percentage").cast("double"), 2),
+        "z_score_within_assessment": z, "score_band": score_band("score_percentage", p),
+        "mark_trend_within_subject": trend("score_percentage", "previous_score_percentage")}).select(*RESULT_COLUMNS, *RESULT_STORED)
+
+
+def result_table(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk: Lookup, p: Params) -> DataFrame:
+    """The rows of all results."""
+    e = result_enriched(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk)
+    # per-assessment statistics need only the result and its assessment (the fact grain keeps
+    # the other left joins one-to-one), so they are computed from the narrow pair
+    scored = lk.join(f_ar.select("assessment_key", "raw_score"), d_assessment, "assessment_key",
+                     cols=["assessment_key", "max_score"]) \
+        .withColumn("score_percentage", safe_div("raw_score", "max_score"))
+    return result_rows(previous_scores(e, p, f_ar.select("subject_enrollment_key")), scored, lk, p)
+
+
+def obt_assessment_result(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk: Lookup,
+                          p: Params) -> DataFrame:
+    rows = result_table(f_ar, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk, p)
+    return rows.select(*RESULT_COLUMNS, ts_lit(p.run_ts).alias("_loaded_at"))
+
+
+def refreshed_results(before: DataFrame, changed: DataFrame, parents: DataFrame, f_se, d_student, d_assessment, d_offering, d_subject,
+                      d_semester, lk: Lookup, p: Params) -> tuple[DataFrame, set]:
+    """(rows, semesters): all rows of the semesters that ``changed`` results and changed subject enrollments (``parents``) touch.
+
+    An assessment lies in one semester; what reaches into others are the results of one subject enrollment (their order, and
+    the mark that they carry). The semesters are those of the changed results, of what they were before, and of all results
+    of these enrollments and of the changed ones; other rows are read by three columns alone."""
+    new = _materialize(result_enriched(changed, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk), "results_changed")
+    ids, own = new.select("result_id"), ["subject_enrollment_key"]
+    narrow = before.select("result_id", *own, "semester_id")
+    old = _materialize(narrow.join(ids, "result_id", "left_semi"), "results_before")
+    keys = _materialize(new.select(*own).unionByName(old.select(*own)).distinct(), "results_touched")
+    marks = _materialize(parents.select(*own, F.col("final_mark").alias("new_mark"), F.col("final_grade").alias("new_grade"),
+                                        F.lit(True).alias("marked")), "marks_changed")
+    semesters = _values(*[t.select("semester_id") for t in (new, old, _among(narrow, keys, own, "left_semi", lk),
+                                                            narrow.join(lk.side(marks), own, "left_semi"))])
+    kept = before.filter(_in("semester_id", semesters)).join(ids, "result_id", "left_anti").join(lk.side(marks), own, "left")
+    kept = kept.withColumns({c: F.when(F.col("marked"), F.col(f"new_{c[6:]}")).otherwise(F.col(c)) for c in ("final_mark", "final_grade")})
+    both = kept.select(*RESULT_BASE, "previous_score_percentage").unionByName(new.withColumn("previous_score_percentage", F.lit(None).cast("double")))
+    x = _materialize(_among(both, keys, own, "mark", lk), "results_of_semesters")
+    again = previous_scores(x.filter("_hit").drop("_hit", "previous_score_percentage"), p)
+    rows = x.filter("_hit is null").drop("_hit").unionByName(again)
+    return result_rows(rows, x.select("assessment_key", "raw_score", "score_percentage"), lk, p), semesters
 
 
 # ---------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ Each layer is a database of named tables (``sources.lake``), its files under ``r
     staging.stg_<table>             views: the contract's columns of a raw table
     snapshots.dim_program           SCD2 history, rebuilt per run from the one before
     warehouse.<dim|fact>            dims rebuilt per run; facts upserted in buckets of their keys
-    obt.<table>                     wide tables
+    obt.<table>                     wide tables: the two large ones refreshed by semester (``plans.wide``), the others rebuilt
     dq.report                       data-quality report, rebuilt per run
 
 A run that fails leaves tables that serve readers and can be started again.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from coursemart.operators import dq
 from coursemart.params import Params
 from coursemart.plans.warehouse import Warehouse
+from coursemart.plans.wide import Wide, dimensions
 from coursemart.sources import landing
 from coursemart.sources.lake import Lake
 from coursemart.sources.staging import FULL_TABLES, INCREMENTAL_TABLES, SOURCE_SCHEMAS, check_schema, stage_all, staged_columns
@@ -39,7 +40,6 @@ FACT_BUCKETS = {"fact_program_enrollment": "program_enrollment_key",
                 "fact_assessment_result": "subject_enrollment_key"}
 OBT_PARTITIONS = {"obt_program_enrollment": ["status"]}  # what the dashboards filter by
 SKEW, SKEW_ROWS = 4, 1_000_000
-OBTS = ["obt_subject_enrollment", "obt_assessment_result", "obt_program_enrollment", "obt_program_summary"]
 
 
 @dataclass
@@ -103,6 +103,7 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], lake: Lake, p: Para
     rep = rep or RunReport()
     prev = lake.table("snapshots", "dim_program") if lake.exists("snapshots", "dim_program") else None
     w = Warehouse(spark, staged, p, snapshot=prev, materialize_dims=False)
+    before = dimensions(lake)
     w.put("snapshot", _timed(rep, "scd2_snapshot", lambda: lake.rebuild(w.snapshot(), "snapshots", "dim_program")))
 
     for d in DIMS:
@@ -118,7 +119,10 @@ def build(spark: SparkSession, staged: dict[str, DataFrame], lake: Lake, p: Para
         w.put(f, _timed(rep, f, lambda f=f, batch=batch, key=key, by=by, stays=stays, since=since: lake.upsert_delete_insert(
             batch, "warehouse", f, key, by=by, stays=stays, full_refresh=since is None)))
 
-    for o in OBTS:
+    wide = Wide(lake, w, before, rep.since, full_refresh)
+    w.put("obt_subject_enrollment", _timed(rep, "obt_subject_enrollment", wide.subject_enrollment))
+    w.put("obt_assessment_result", _timed(rep, "obt_assessment_result", wide.assessment_result))
+    for o in ("obt_program_enrollment", "obt_program_summary"):
         w.put(o, _timed(rep, o, lambda o=o: lake.rebuild(w.table(o), "obt", o, OBT_PARTITIONS.get(o))))
 
     if run_dq:

@@ -145,6 +145,37 @@ class Lake:
         out._materialized_rows = int(obs.get["n"])
         return out
 
+    def view(self, layer: str, table: str, select: str) -> DataFrame:
+        """(Re)define a view by its SELECT over named tables; readers see the old or the new definition."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS {select}")
+        return self.table(layer, table)
+
+    def overwrite_partitions(self, df: DataFrame, layer: str, table: str, column: str, values: set) -> DataFrame:
+        """Replace the partitions of a rebuilt table whose ``column`` is one of ``values`` by ``df``, which holds no others."""
+        name, obs = self.name(layer, table), Observation(f"parts_{uuid.uuid4().hex[:12]}")
+        rows = df.select(*self.spark.table(name).columns).observe(obs, F.collect_set(F.col(column).cast("string")).alias("held"),
+                                                                  F.count(F.when(F.col(column).isNull(), 1)).alias("nulls"))
+        with _dynamic_overwrite(self.spark):
+            rows.write.mode("overwrite").insertInto(name)
+        held = {*obs.get["held"], *([None] if obs.get["nulls"] else [])}
+        for v in {None if v is None else str(v) for v in values} - held:  # nothing is left of it
+            quoted = "NULL" if v is None else "'" + v.replace("'", "\\'") + "'"
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = {quoted})")
+            delete_path(self.spark, f"{self.folder(layer, table)}/{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
+        return self.table(layer, table)
+
+    def note_inputs(self, layer: str, table: str, inputs: dict[str, str]) -> None:
+        """Note what a finished refresh was made from."""
+        home = f"{self.folder(layer, table)}/_inputs"
+        used = [int(n[:6]) for n in list_folder(self.spark, home)]
+        text = ";".join(f"{k}={v}" for k, v in inputs.items()).replace(" ", "T").replace(":", ".")
+        make_folder(self.spark, f"{home}/{max(used, default=0) + 1:06d};{text}")
+
+    def inputs(self, layer: str, table: str) -> dict[str, str]:
+        """What the table's last finished refresh was made from ({} if it has none)."""
+        notes = list_folder(self.spark, f"{self.folder(layer, table)}/_inputs") if self.exists(layer, table) else []
+        return dict(x.split("=", 1) for x in max(notes).split(";")[1:]) if notes else {}
+
     def analyze(self, layer: str, table: str, columns: list[str]) -> None:
         """Row count and column statistics for the optimizer (one scan of the columns)."""
         self.spark.sql(f"ANALYZE TABLE {self.name(layer, table)} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
