@@ -603,7 +603,7 @@ for _test in ["unique", "not_null", "relationships", "accepted_values", "accepte
     register(f"dq_{_test}", O.dq_report_sql([c for c in O.EXPECTED_CHECKS if c.test == _test]))(_dq_query(_cs))
 
 register("dq_suite", O.dq_report_sql(O.EXPECTED_CHECKS))(_dq_query(dq.ALL_CHECKS))
-register("dq_contract", O.dq_report_sql(dq.CONTRACT_CHECKS))(_dq_query(dq.CONTRACT_CHECKS))
+register("dq_contract", O.dq_report_sql(O.EXPECTED_CONTRACT))(_dq_query(dq.CONTRACT_CHECKS))
 
 
 @register("dq_singular_score", O.q("select * from fact_assessment_result where raw_score < 0 or raw_score > 200"))
@@ -725,6 +725,43 @@ def q_dq_rows_singular(spark, sf_dir):
     return dq.dq_singular(j, dq.singular_program()).select("program_enrollment_id", "status")
 
 
+@register("dq_rows_unique_combination", O.q("""select program_enrollment_id, offering_id, count(*) as n_records from raw_subject_enrollments
+group by 1, 2 having count(*) > 1"""))
+def q_dq_rows_unique_combination(spark, sf_dir):
+    """(programme enrollment, offering) pairs that the journal holds more than once."""
+    return dq.dq_unique_combination(wh(spark, sf_dir).stg["subject_enrollments"], ["program_enrollment_id", "offering_id"])
+
+
+@register("dq_rows_singular_score", O.q("""select result_id, raw_score * 4 - 60 as raw_score from raw_assessment_results
+where raw_score * 4 - 60 < 0 or raw_score * 4 - 60 > 200"""))
+def q_dq_rows_singular_score(spark, sf_dir):
+    """The singular score check over scores on a wider scale, of which some leave 0 to 200 on either side."""
+    r = wh(spark, sf_dir).stg["assessment_results"].withColumn("raw_score", F.col("raw_score") * 4 - 60)
+    return dq.dq_singular(r, dq.singular_score()).select("result_id", "raw_score")
+
+
+@register("dim_date_of_facts", O.q("""select d as full_date, extract(year from d)::int as year, extract(dow from d)::int as day_of_week,
+       case when extract(month from d)::int >= 7 then extract(year from d)::int + 1 else extract(year from d)::int end as fiscal_year,
+       coalesce(e.n, 0) as enrollments, coalesce(r.n, 0) as results
+from (select unnest(generate_series(least((select min(enrollment_date) from fact_program_enrollment), (select min(submitted_at)::date from fact_assessment_result)),
+                                    greatest((select max(coalesce(completion_date, enrollment_date)) from fact_program_enrollment),
+                                             (select max(enrollment_date) from fact_program_enrollment),
+                                             (select max(submitted_at)::date from fact_assessment_result)), interval '1 day'))::date as d) s
+left join (select enrollment_date as d1, count(*) as n from fact_program_enrollment group by 1) e on e.d1 = d
+left join (select submitted_at::date as d2, count(*) as n from fact_assessment_result group by 1) r on r.d2 = d"""))
+def q_dim_date_of_facts(spark, sf_dir):
+    """The calendar over all days that the facts span, with what happened on each day."""
+    from coursemart.operators.dims import dim_date
+    w = wh(spark, sf_dir)
+    pe, ar = w.fact_program_enrollment(), w.fact_assessment_result().select(F.to_date("submitted_at").alias("d"))
+    a = pe.agg(F.min("enrollment_date"), F.greatest(F.max("enrollment_date"), F.max("completion_date"))).first()
+    b = ar.agg(F.min("d"), F.max("d")).first()
+    days = dim_date(spark, min(a[0], b[0]).isoformat(), max(a[1], b[1]).isoformat()).select("full_date", "year", "day_of_week", "fiscal_year")
+    e = pe.groupBy(F.col("enrollment_date").alias("full_date")).agg(F.count(F.lit(1)).alias("enrollments"))
+    r = ar.groupBy(F.col("d").alias("full_date")).agg(F.count(F.lit(1)).alias("results"))
+    return days.join(e, "full_date", "left").join(r, "full_date", "left").fillna(0, ["enrollments", "results"])
+
+
 @register("surrogate_key_default", O.q("""select student_id, count(*) as rows_by_key, count(*) as rows_by_id from raw_program_enrollments
 group by student_id"""))
 def q_surrogate_key_default(spark, sf_dir):

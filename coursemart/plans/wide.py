@@ -64,9 +64,12 @@ class Wide:
         made = {} if self.full else self.lake.inputs("obt", table)
         if any(not made.get(f) for f in facts) or not self.dims_before or made.get("dims") != self.dims_before:
             return None
+        return made if self.dimensions_kept() else None
+
+    def dimensions_kept(self) -> bool:
         if self._same is None:
-            self._same = rows_kept(self.before, self.w)
-        return made if self._same else None
+            self._same = bool(self.dims_before) and rows_kept(self.before, self.w)
+        return self._same
 
     def _changed(self, fact: str, made: dict[str, str]) -> DataFrame:
         """The fact's rows loaded since then."""

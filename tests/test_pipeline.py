@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fixtures_small import SF_SMALL
 
 from coursemart.functions.exprs import ts_lit
+from coursemart.operators import dq
 from coursemart.params import Params
 from coursemart.plans import pipeline
 from coursemart.plans.warehouse import Warehouse
@@ -88,6 +89,12 @@ def test_incremental_equals_full_refresh(spark):
     # every layer is a database; the staging views give the contract's columns
     assert spark.table(inc.name("staging", "stg_subject_enrollments")).count() == spark.table(inc.name("raw", "raw_subject_enrollments")).count()
     assert spark.table(inc.name("obt", "obt_program_summary")).count() > 0
+    # the failures carried through two runs give the report of the whole suite
+    def models(name):
+        return staged[name[4:]] if name.startswith("stg_") else w.table(name)
+    cols = ["model", "column_name", "test", "failures"]
+    assert sorted(map(tuple, report.select(*cols).collect())) == sorted(map(tuple, dq.run_suite(models, lookup=w.lk).select(*cols).collect()))
+    assert inc.inputs("dq", "failures")["fact_assessment_result"].startswith("2002-01-02")
     # the journals keep every landed version; their unique checks are not declared, so the facts pass
     bad = {(r.model, r.column_name, r.test) for r in report.filter("failures > 0").collect()}
     assert not any(m.startswith("fact_") and t == "unique" for m, _, t in bad)
