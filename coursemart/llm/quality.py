@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import Words, by_bytes, column_runs, mix64, text_or_empty
+from coursemart.llm.common import Words, column_runs, mix64, quoted, text_or_empty
 
 BITS = 17                    # 131,072 hashed vectors
 DIM = 8
 ORDERS = (1, 2, 3, 4)        # character n-grams
-MAX_TRAIN = 4000             # labelled documents that the fit may use: bound of the sample
+MAX_TRAIN = 4000             # labelled documents that the fit may use, and
+MAX_BYTES = 24 << 20         # bytes of their texts: bounds of the sample
+RUN_BYTES = 256 << 10        # text of which features are made at once
 EPOCHS = 8
 BATCH = 16
 RATE = 0.1
@@ -62,8 +64,8 @@ def word_hashes(w: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return (mix64(h ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - bits)).astype(np.int64), again * (w.end - w.start) * len(ORDERS)
 
 
-def doc_features(texts: list[bytes], bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(distinct hashes, counts) of each text."""
+def doc_features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes of each text one after the other, their counts, where each text's begin)."""
     w = Words(texts)
     where = np.repeat(np.arange(len(texts)), w.doc_end - w.doc_start + 1)  # text of each place of the buffer
     where = np.append(where, len(texts) - 1)  # the last space
@@ -74,8 +76,7 @@ def doc_features(texts: list[bytes], bits: int = BITS) -> list[tuple[np.ndarray,
     keys += [(w.doc << bits) | h, np.repeat((w.doc << bits) | REPEAT, again)]
     key, n = np.unique(np.concatenate(keys), return_counts=True)
     cut = np.searchsorted(key >> bits, np.arange(len(texts) + 1))
-    key &= (1 << bits) - 1
-    return [(key[a:b], n[a:b].astype(float)) for a, b in zip(cut[:-1], cut[1:])]
+    return (key & (1 << bits) - 1).astype(np.int32), n.astype(np.float32), cut
 
 
 @dataclass
@@ -109,9 +110,16 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
     rng = np.random.default_rng(seed)
     if not len(texts):
         return Linear(np.zeros(1 << bits), 0.0, bits)
-    feats = []
-    for run in by_bytes([t.decode("utf-8", "replace") for t in texts], 1 << 20):
-        feats += doc_features(run, bits)
+    # a few large arrays of 4-byte numbers, so that the driver gets their memory back
+    feats, a = [], 0
+    while a < len(texts):
+        z, size = a + 1, len(texts[a])
+        while z < len(texts) and size + len(texts[z]) <= RUN_BYTES:
+            size += len(texts[z])
+            z += 1
+        h, n, at = doc_features(texts[a:z], bits)
+        feats += [(h[i:j], n[i:j]) for i, j in zip(at[:-1], at[1:])]
+        a = z
     y = labels.astype(int)
     share = np.clip(np.bincount(y, minlength=2) / len(y), 1e-3, 1 - 1e-3)
     vec = rng.uniform(-1, 1, (1 << bits, dim)) / dim
@@ -125,7 +133,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
             part = order[a:a + BATCH]
             size = np.array([len(feats[i][0]) for i in part])
             idx = np.concatenate([feats[i][0] for i in part])
-            wt = np.concatenate([feats[i][1] / max(1.0, feats[i][1].sum()) for i in part])
+            wt = np.concatenate([feats[i][1] / max(1.0, feats[i][1].sum(dtype=float)) for i in part], dtype=float)
             row = np.repeat(np.arange(len(part)), size)
             hid = np.stack([np.bincount(row, weights=vec[idx, d] * wt, minlength=len(part)) for d in range(dim)], axis=1)
             z = hid @ out + bias
@@ -148,33 +156,43 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, limit: int, id_col: str = "doc_id",
-                    text_col: str = "text", seed: int = 17) -> list[tuple[str, int]]:
-    """At most ``limit`` whole labelled texts: those with the smallest hash of (seed, id), so a bounded,
-    reproducible sample whatever the table's size. Ids are picked before texts are read."""
+                    text_col: str = "text", seed: int = 17, max_bytes: int = MAX_BYTES) -> tuple[list[bytes], np.ndarray]:
+    """(whole texts, labels) of at most ``limit`` labelled documents and ``max_bytes`` of text: those with the smallest hash of
+    (seed, id) whose texts fit in together, so a bounded, reproducible sample whatever the table's size. Ids are
+    picked before texts are read. An id with labels of both kinds counts as 1, one that repeats has its smallest text."""
     known = (labels.select(F.col("doc_id").alias("l_id"), F.col(label_col).cast("int").alias("label"))
              .filter("label in (0, 1) and l_id is not null").groupBy("l_id").agg(F.max("label").alias("label")))
     rows = docs.select(F.col(id_col).alias("l_id"), text_or_empty(text_col).alias("body"), learn.alias("learn")).filter("learn")
-    picked = (rows.select("l_id").distinct().join(known, "l_id")
-              .orderBy(F.xxhash64(F.lit(seed), "l_id"), "l_id").limit(limit))
-    got = (rows.select("l_id", "body").join(F.broadcast(picked), "l_id")  # at most ``limit`` rows of two numbers
-           .groupBy("l_id").agg(F.min("body").alias("body"), F.max("label").alias("label"))
-           .orderBy("l_id").collect())
-    return [(r["body"], r["label"]) for r in got]
+    sizes = rows.groupBy("l_id").agg(F.max(F.octet_length("body")).alias("size"))
+    picked, total = [], 0
+    for r in sizes.join(known, "l_id").orderBy(F.xxhash64(F.lit(seed), "l_id"), "l_id").limit(limit).collect():  # two numbers a row
+        if total + r["size"] <= max_bytes:
+            total += r["size"]
+            picked.append((r["l_id"], r["label"]))
+    if not picked:
+        return [], np.zeros(0, dtype=int)
+    kind = docs.schema[id_col].dataType.simpleString()
+    chosen = docs.sparkSession.createDataFrame(picked, f"l_id {kind}, label int")
+    got = (rows.select("l_id", "body").join(F.broadcast(chosen), "l_id").groupBy("l_id").agg(F.min("body").alias("body"), F.max("label").alias("label"))
+           .orderBy("l_id").select("body", "label").toArrow().combine_chunks())
+    texts = [t for c in got.column("body").chunks for _, _, run in column_runs(c.cast(pa.string())) for t in run]
+    return texts, got.column("label").to_numpy().astype(int)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "quality", max_train: int = MAX_TRAIN,
-        id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> Linear:
-    """Train on at most ``max_train`` labelled documents among the rows where ``learn`` holds."""
-    sample = labelled_sample(docs, labels, label_col, learn, max_train, id_col, text_col, seed)
-    return train([t.encode() for t, _ in sample], np.array([y for _, y in sample], dtype=int), seed)
+        id_col: str = "doc_id", text_col: str = "text", seed: int = 17, max_bytes: int = MAX_BYTES) -> Linear:
+    """Train on at most ``max_train`` labelled documents, ``max_bytes`` of text, among the rows where ``learn`` holds."""
+    texts, y = labelled_sample(docs, labels, label_col, learn, max_train, id_col, text_col, seed, max_bytes)
+    return train(texts, y, seed)
 
 
 def score(docs: DataFrame, model: Linear, text_col: str = "text") -> DataFrame:
     """(row: struct of the columns of ``docs``, score): one row per row of ``docs``. Null and empty texts get the
-    score of no features (the bias); texts are scored whole, so a very long one takes as long as it is."""
+    score of no features (the bias); texts are scored whole, so a very long one takes as long as it is. Repeated rows
+    get the same score; an empty table gives an empty one."""
     from pyspark.sql import types as T
 
-    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", text_or_empty(f"row.{text_col}").alias("body"))
+    rows = docs.select(F.struct(*quoted(docs)).alias("row")).select("row", text_or_empty(f"row.{text_col}").alias("body"))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import Words, column_runs, mix64, text_or_empty
-from coursemart.llm.quality import labelled_sample
+from coursemart.llm.common import Words, column_runs, mix64, quoted, text_or_empty
+from coursemart.llm.quality import MAX_BYTES, labelled_sample
 
 INDEX_BITS = 18              # slots of an index: at most so many words, and n-grams, have a vector
 MIN_WORD, MIN_GRAM = 3, 5    # documents of the sample that a word, an n-gram must be in
@@ -357,17 +357,18 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 17, epochs: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "toxic", max_train: int = MAX_TRAIN,
-        id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> Network:
-    """Train on at most ``max_train`` labelled documents among the rows where ``learn`` holds."""
-    sample = labelled_sample(docs, labels, label_col, learn, max_train, id_col, text_col, seed)
-    return train([t.encode() for t, _ in sample], np.array([v for _, v in sample], dtype=int), seed)
+        id_col: str = "doc_id", text_col: str = "text", seed: int = 17, max_bytes: int = MAX_BYTES) -> Network:
+    """Train on at most ``max_train`` labelled documents, ``max_bytes`` of text, among the rows where ``learn`` holds."""
+    texts, y = labelled_sample(docs, labels, label_col, learn, max_train, id_col, text_col, seed, max_bytes)
+    return train(texts, y, seed)
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
     """(row: struct of the columns of ``docs``, score): one row per row of ``docs``. Null and empty texts are
     one window without words, which scores by the output's bias; every word of a text is in a window; a very
-    long text has many windows, scored in bounded runs."""
-    packed = docs.select(F.struct(*docs.columns).alias("row")).select("row", text_or_empty(f"row.{text_col}").alias("body"))
+    long text has many windows, scored in bounded runs. Repeated rows get the same score; an empty table gives an
+    empty one."""
+    packed = docs.select(F.struct(*quoted(docs)).alias("row")).select("row", text_or_empty(f"row.{text_col}").alias("body"))
     schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a fixed size: two tables of vectors and small matrices
 
