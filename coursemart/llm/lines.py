@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import INVERSE, column_runs, cut, mix64, powers, text_or_empty
+from coursemart.llm.common import INVERSE, column_runs, cut, mix64, powers, quoted, text_or_empty
 
 BLOCKS = 4
 MIN_FUZZY = 20               # characters from which a line may differ by an edit unless the caller says otherwise; shorter ones must be equal
 BROADCAST_BYTES = 32 << 20
 RUN_BYTES = 512 << 10          # text hashed at once
+VARIANT_CHARS = 50_000         # characters of the lines whose variants are made at once
 MUL = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -213,14 +214,22 @@ def _variants(spelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, lines, slots = b.column("h").to_numpy(), b.column("line").to_pylist(), b.column("slots").to_pylist()
-            for a in range(0, len(lines), 500):
-                x = Lines(lines[a:a + 500])
+            a = 0
+            while a < len(lines):
+                z, size = a + 1, len(lines[a])
+                while z < len(lines) and size + len(lines[z]) <= VARIANT_CHARS:  # each character makes up to two variants
+                    size += len(lines[z])
+                    z += 1
+                x = Lines(lines[a:z])
                 met = np.zeros((len(x.n), 2 * BLOCKS), dtype=bool)
-                for i, s in enumerate(slots[a:a + 500]):
+                for i, s in enumerate(slots[a:z]):
                     met[i, s] = True
                 line, key, kind = variant_keys(x, met)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(h[a + line]), pa.array(kind == "w"), pa.array(kind == "s")],
-                                                 names=["key", "h", "whole", "sub"])
+                for k in range(0, len(key), VARIANT_CHARS):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[k:k + VARIANT_CHARS].astype(np.int64)), pa.array(h[a + line[k:k + VARIANT_CHARS]]),
+                         pa.array(kind[k:k + VARIANT_CHARS] == "w"), pa.array(kind[k:k + VARIANT_CHARS] == "s")], names=["key", "h", "whole", "sub"])
+                a = z
 
     return spelled.mapInArrow(run, "key long, h long, whole boolean, sub boolean")
 
@@ -234,7 +243,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     any name pass through in ``row``. Lines of fewer than ``min_fuzzy`` characters go only if equal (1: every line
     may differ by an edit). A long text's lines are dealt out like any others."""
     gone = repeated_lines(docs, id_col, text_col, min_fuzzy)
-    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    packed = docs.select(F.struct(*quoted(docs)).alias("row"))
     packed = packed.select("row", F.col(f"row.{id_col}").alias("r_id"), F.xxhash64(text_or_empty(f"row.{text_col}")).alias("r_tk"))
     j = (packed.join(gone, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_tk") == F.col("tk")), "left")
          .select("row", F.col(f"row.{text_col}").cast("string").alias("body"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped")))
