@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import cut
+from coursemart.llm.common import cut, quoted
 
 BITS = 52
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -55,12 +55,12 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, power: float
     a hash of (seed, id); shuffle all copies globally.
 
     Returns the columns of ``docs`` plus ``mix_copy`` (1..k), ``mix_copies`` (k) and ``mix_key`` (the place
-    in the global order; partitions are hash ranges of it and are sorted by it). Columns of these
+    in the global order; rows are dealt by its hash and sorted by it within each partition). Columns of these
     names in ``docs`` are replaced.
     Null sources form one source; rows with equal ids get equal counts; an empty table gives an empty
     table; texts are not looked at. A hot source costs nothing extra: rates are joined from a table of one
     row per source (broadcast when its measured bytes are few, else a shuffle join) and copies are dealt by their own keys."""
-    keep = [c for c in docs.columns if c not in ("mix_copy", "mix_copies", "mix_key")]
+    keep = quoted(docs.drop("mix_copy", "mix_copies", "mix_key"))
     rates = cut(source_rates(docs, targets, power, total, source_col), "rates")
     size = rates.agg(F.sum(64 + 8 * F.size(F.coalesce("cdf", F.array())) + F.coalesce(F.octet_length("source"), F.lit(0)))).first()[0] or 0
     rates = rates.select(F.col("source").cast("string").alias("r_source"), "cdf")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemart.llm.common import Words, column_runs, components, cut, discard, local_forest, mix64, text_or_empty
+from coursemart.llm.common import Words, column_runs, components, cut, discard, local_forest, mix64, quoted, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -324,7 +324,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One row of each component of near copies (and all rows that link with nothing), columns as they
     were. Rows with equal id and text count once; texts without words all stay."""
     kept = jaccard_join(docs, id_col, text_col, **params).filter("kept").select("id", "tk", "n")
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.struct(*quoted(docs)).alias("row"))
     rows = rows.select("row", F.col(f"row.{id_col}").alias("r_id"), F.xxhash64(text_or_empty(f"row.{text_col}")).alias("r_tk"))
     j = rows.join(kept, F.col("r_id").eqNullSafe(F.col("id")) & (F.col("r_tk") == F.col("tk")))
     words = j.filter("n > 0").dropDuplicates(["r_id", "r_tk"]).select("row.*")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursemart.llm.common import column_runs, mix64, span_hash, text_or_empty
+from coursemart.llm.common import column_runs, mix64, span_hash, quoted, text_or_empty
 from coursemart.llm.lattice import Lattice, Vocabulary, vocabulary
 
 GRID = float(1 << 36)  # arc probabilities as whole numbers: sums are exact, draws do not depend on the batch
@@ -126,7 +126,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 17, sharpness: float =
     text is checked by decoding its pieces. Null and empty texts have no pieces; rows with the same id and
     text get the same pieces; a null id is hashed as such; a column of ``docs`` named ``out_col`` is replaced.
     A text without spaces is one long unit: time grows with its length, memory with its batch."""
-    keep = [c for c in docs.columns if c != out_col]
+    keep = quoted(docs.drop(out_col))
     packed = docs.select(F.struct(*keep).alias("row")) if keep else docs
     rows = packed.select("row", text_or_empty(f"row.{text_col}").alias("body"),
                          F.xxhash64(F.lit(seed), F.col(f"row.{id_col}")).alias("seed"))
@@ -152,7 +152,7 @@ def encode(docs: DataFrame, model_path: str, seed: int = 17, sharpness: float =
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "piece_ids", out_col: str = "decoded") -> DataFrame:
     """``df`` plus ``out_col``: the text that the pieces spell (no pieces or null: the empty text)."""
-    keep = [c for c in df.columns if c != out_col]
+    keep = quoted(df.drop(out_col))
     rows = df.select(F.struct(*keep).alias("row"), F.coalesce(F.col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias("ids"))
     schema = T.StructType([*[f for f in rows.schema.fields if f.name == "row"], T.StructField("text", T.StringType())])
 
