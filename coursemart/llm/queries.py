@@ -52,8 +52,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = tokenfile.tokenize_to_files(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
-    return (tokenfile.token_crc32(tokenfile.read_tokens(spark, path)).join(tokenfile.token_starts(spark, path), "seq")
-            .select("doc_id", "start", "n_tokens", "ids_crc32"))
+    rows = tokenfile.token_crc32(tokenfile.read_tokens(spark, path))
+    return tokenfile.token_starts(spark, path, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

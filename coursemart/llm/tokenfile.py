@@ -10,7 +10,6 @@ numbers alone, skip the token pages.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,32 +20,42 @@ from pyspark.sql import functions as F
 
 from coursemart.llm.common import Words, column_runs, scratch_path, span_hash, text_or_empty
 
-CACHE_WORDS = 400_000        # words kept by a worker from batch to batch
+CACHE_WORDS = 1_200_000      # runs kept by a worker from batch to batch, about 50 bytes each
+RECENT = 1 << 16             # runs that are found before they are merged with those kept longer
 RUN_BYTES = 1 << 20          # text encoded at once
 ENCODE_AT_ONCE = 4096
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-# Letters of ASCII and Latin-1 in UTF-8: all are letters to such a tokenizer, and composed already.
-LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
-PUNCTUATION = rb"[!-&(-/:-@\[-`{-~]"  # without the apostrophe, which may begin a run of its own
-#: a word that ends in punctuation after a letter: tokenizers of this kind cut there
-TAIL = re.compile(rb"(.*" + LETTER + rb")(" + PUNCTUATION + rb"+)", re.DOTALL)
-LETTERS = re.compile(LETTER + rb"+")
-#: one token run of such a tokenizer: letters, or punctuation
-PLAIN = re.compile(LETTER + rb"+|" + PUNCTUATION + rb"+")
-
-
-def lowered(word: bytes) -> bytes:
-    """Letters lowered as the tokenizer does; other words as they are."""
-    return word.decode().lower().encode() if LETTERS.fullmatch(word) else word
+# Bytes of token runs that need no tokenizer to tell apart: letters of ASCII and Latin-1 (all letters to such a tokenizer,
+# and composed already), digits, and ASCII punctuation without the apostrophe, which may begin a run of its own.
+SPACE, LETTER, SIGN, DIGIT, OTHER = range(5)
+_KIND = np.full(256, OTHER, dtype=np.uint8)
+_KIND[33:127] = SIGN
+_KIND[ord("'")] = OTHER
+_KIND[32], _KIND[48:58], _KIND[65:91], _KIND[97:123] = SPACE, DIGIT, LETTER, LETTER
+
+
+def kinds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of each byte, the bytes with their letters lowered). Two bytes of a Latin-1 letter are letters both."""
+    kind, low = _KIND[buf], buf.copy()
+    low[(buf >= 65) & (buf <= 90)] += 32
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    after = buf[lead + 1]
+    lead = lead[(after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)]  # not the signs of times and division
+    kind[lead] = kind[lead + 1] = LETTER
+    capital = lead[(buf[lead + 1] < 0x9F)]
+    low[capital + 1] += 0x20
+    kind[np.flatnonzero((buf[:-1] == ord("<")) & (buf[1:] == ord("|")))] = OTHER        # may be a special token's name
+    return kind, low
 
 
 class WordIds:
-    """Token ids of whitespace-free words by a tokenizers file, each word encoded once while it is kept.
+    """Token ids of whitespace-free words by a tokenizers file, each run of letters, digit or run of signs encoded once
+    while it is kept.
 
-    Holds for tokenizers that lower their text, cut at white space and drop it, and cut between letters
-    and other signs: then a text's ids are its words' ids in turn, and a word's are those of its letters
-    (lowered) and its closing punctuation. Words are told apart by two 64-bit hashes. The first CACHE_WORDS
-    words are kept from run to run, later ones for their run."""
+    Holds for tokenizers that lower their text, cut at white space and drop it, and cut between letters, single digits
+    and other signs: then a text's ids are its runs' ids in turn. Words with any other byte are encoded whole, as they
+    are. Runs are told apart by two 64-bit hashes. The first CACHE_WORDS are kept from batch to batch, later ones for
+    their own."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,67 +66,103 @@ class WordIds:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         #: ids that end a run; without word ends in the vocabulary, words are encoded one by one
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
-        self.slot: dict[int, int] = {}      # hash of a kept word -> its number
-        self.check = np.zeros(0, dtype=np.uint64)  # second hash of each word
-        self.parts: dict[bytes, int] = {}   # token runs of this run of texts
-        self.words, self.pieces = _Lists(), _Lists()
-
-    def _encode(self, words: list[bytes]) -> None:
-        """Encode the parts and number them."""
-        plain = [w for w in words if b"<|" not in w and PLAIN.fullmatch(w)] if self.ends.any() else []
-        for a in range(0, len(plain), ENCODE_AT_ONCE):  # runs apart by spaces: each ends with a word end
-            part = plain[a:a + ENCODE_AT_ONCE]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, dtype=np.int32)
-            n = np.diff(np.flatnonzero(np.r_[True, self.ends[ids]]))
-            if len(n) != len(part):
-                raise ValueError("a plain word is not one run of this tokenizer")
-            self.parts.update(zip(part, self.pieces.add(ids, n)))
-        rest = [w for w in words if w not in self.parts]
-        for a in range(0, len(rest), ENCODE_AT_ONCE):
-            part = rest[a:a + ENCODE_AT_ONCE]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
-            n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            self.parts.update(zip(part, self.pieces.add(np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(n.sum())), n)))
-
-    def _add(self, words: list[bytes]) -> None:
-        """Number the words: a word's ids are those of its one or two parts."""
-        self.parts, self.pieces = {b"": 0}, _Lists()
-        self.pieces.add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))
-        split = [(lowered(w), b"") if b"<|" in w or not (m := TAIL.fullmatch(w)) else (lowered(m[1]), m[2]) for w in words]
-        self._encode(list({p for two in split for p in two if p}))
-        ids, n = self.pieces.get(np.array([self.parts[p] for two in split for p in two], dtype=np.int64))
-        self.words.add(ids, n.reshape(-1, 2).sum(axis=1))
+        self.kept, self.recent = _Index(), _Index()
+        self.check = np.zeros(0, dtype=np.uint64)  # second hash of each
+        self.words = _Lists()
+
+    def _add(self, runs: list[bytes], plain: np.ndarray) -> np.ndarray:
+        """Encode the runs, the plain ones many at once; the number of each."""
+        number = np.empty(len(runs), dtype=np.int64)
+        for whole, which in ((False, np.flatnonzero(plain)), (True, np.flatnonzero(~plain))):
+            for a in range(0, len(which), ENCODE_AT_ONCE):
+                part = which[a:a + ENCODE_AT_ONCE]
+                if whole:
+                    ids = [e.ids for e in self.tokenizer.encode_batch_fast([runs[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)]
+                    n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                    flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(n.sum()))
+                else:  # apart by spaces: each ends with a word end
+                    text = b" ".join([runs[i] for i in part]).decode()
+                    flat = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+                    n = np.diff(np.flatnonzero(np.r_[True, self.ends[flat]]))
+                    if len(n) != len(part):
+                        raise ValueError("a plain run is not one of this tokenizer")
+                number[part] = self.words.add(flat, n)
+        return number
+
+    def _runs(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, start, end, text, plain) of the runs of all words: of a word of plain bytes its parts, of another itself."""
+        if not len(w.start) or not self.ends.any():
+            return w.buf, w.start, w.end, w.doc, np.zeros(len(w.start), dtype=bool)
+        kind, low = kinds(w.buf)
+        odd = np.add.reduceat(kind == OTHER, w.start) > 0          # up to the next word's start: a space lies between
+        at = np.zeros(len(w.buf), dtype=np.int8)                   # bytes of odd words keep their own form and are not cut
+        at[w.start[odd]] = 1
+        at[w.end[odd]] -= 1
+        inside = np.cumsum(at, dtype=np.int8).astype(bool)
+        buf = np.where(inside, w.buf, low)
+        cut = np.zeros(len(buf), dtype=bool)
+        cut[1:] = ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & ~(inside[1:] & inside[:-1])
+        cut &= kind != SPACE
+        cut[w.start] = True
+        start = np.flatnonzero(cut)
+        space = np.flatnonzero(w.buf == 32)
+        end = np.minimum(np.append(start[1:], len(buf)), space[np.searchsorted(space, start)])
+        word = np.searchsorted(w.start, start, side="right") - 1
+        return buf, start, end, w.doc[word], ~odd[word]
 
     def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has); ``end_id`` closes each text."""
-        w = Words(texts)
-        first_hash, second = w.hash, span_hash(w.buf, w.start, w.end, SECOND)
+        buf, start, end, doc, plain = self._runs(Words(texts))
+        first_hash, second = span_hash(buf, start, end), span_hash(buf, start, end, SECOND)
         uniq, pick, kind = np.unique(first_hash, return_index=True, return_inverse=True)
-        if not np.array_equal(second[pick][kind], second):  # two words with one hash: tell them by position
+        if not np.array_equal(second[pick][kind], second):  # two runs with one hash: tell them by position
             pick, kind = np.arange(len(first_hash)), np.arange(len(first_hash))
             uniq = np.zeros(0, dtype=np.uint64)
-        number = np.array([self.slot.get(h, -1) for h in uniq.tolist()] if len(uniq) else [-1] * len(pick), dtype=np.int64)
+        number = np.maximum(self.kept.find(uniq), self.recent.find(uniq)) if len(uniq) else np.full(len(pick), -1, dtype=np.int64)
         known = number >= 0
         known[known] = self.check[number[known]] == second[pick][known]
         fresh = np.flatnonzero(~known)
         kept = self.words.count
         if len(fresh):
-            buf = w.buf.tobytes()
-            self._add([buf[a:z] for a, z in zip(w.start[pick[fresh]].tolist(), w.end[pick[fresh]].tolist())])
-            number[fresh] = np.arange(kept, self.words.count)
+            whole = buf.tobytes()
+            number[fresh] = self._add([whole[a:z] for a, z in zip(start[pick[fresh]].tolist(), end[pick[fresh]].tolist())], plain[pick[fresh]])
         ids, n = self.words.get(number[kind])
-        per = np.bincount(w.doc, weights=n, minlength=len(texts)).astype(np.int64)
+        per = np.bincount(doc, weights=n, minlength=len(texts)).astype(np.int64)
         total = per + (end_id is not None)
         out = np.full(int(total.sum()), end_id if end_id is not None else 0, dtype=np.int32)
         out[np.arange(len(ids)) + np.repeat(np.cumsum(total) - total - (np.cumsum(per) - per), per)] = ids
         if kept + len(fresh) <= CACHE_WORDS and len(uniq):
-            self.slot.update(zip(uniq[fresh].tolist(), range(kept, self.words.count)))
-            self.check = np.concatenate([self.check, second[pick[fresh]]])
+            self.recent.add(uniq[fresh], number[fresh])
+            if len(self.recent.hash) > RECENT:
+                self.kept.add(self.recent.hash, self.recent.number)
+                self.recent = _Index()
+            check = np.empty(len(fresh), dtype=np.uint64)
+            check[number[fresh] - kept] = second[pick[fresh]]
+            self.check = np.concatenate([self.check, check])
         else:
             self.words.drop(kept)
         return out, total
 
 
+class _Index:
+    """Numbers of hashes, in sorted arrays."""
+
+    def __init__(self):
+        self.hash, self.number = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those that are not there."""
+        if not len(self.hash):
+            return np.full(len(h), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        return np.where(self.hash[at] == h, self.number[at], -1).astype(np.int64)
+
+    def add(self, h: np.ndarray, number: np.ndarray) -> None:
+        both = np.concatenate([self.hash, h])
+        order = np.argsort(both, kind="stable")
+        self.hash, self.number = both[order], np.concatenate([self.number, number.astype(np.int32)])[order]
+
+
 class _Lists:
     """Numbered lists of ids in one growing array."""
 
@@ -198,19 +243,20 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None) ->
     return t if where is None else t.filter(where)
 
 
-def token_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, start): tokens of all rows before, from the metadata. One total per shard comes to the driver;
-    within a shard the sum runs over its rows."""
-    meta = read_metadata(spark, path).withColumn("shard", F.shiftright("seq", 33))
-    totals = sorted((r["shard"], r["n"]) for r in meta.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect())
-    before, rows = 0, []
+def token_starts(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
+    """``rows`` (with seq and n_tokens; by default these two of the table) and start: tokens of all rows before. One total per
+    shard, from the metadata, comes to the driver; within a shard the sum runs over its rows."""
+    totals = sorted((r["shard"], r["n"]) for r in read_metadata(spark, path).groupBy(F.shiftright("seq", 33).alias("shard"))
+                    .agg(F.sum("n_tokens").alias("n")).collect())
+    before, offsets = 0, []
     for shard, n in totals:
-        rows.append((shard, before))
+        offsets.append((shard, before))
         before += n
-    offsets = spark.createDataFrame(rows, "shard long, before long")
+    rows = read_metadata(spark, path).select("seq", "n_tokens") if rows is None else rows
     w = Window.partitionBy("shard").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return (meta.withColumn("within", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)))
-            .join(F.broadcast(offsets), "shard").select("seq", (F.col("before") + F.col("within")).alias("start")))
+    return (rows.withColumn("shard", F.shiftright("seq", 33)).withColumn("within", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)))
+            .join(F.broadcast(spark.createDataFrame(offsets, "shard long, before long")), "shard")
+            .select(*rows.columns, (F.col("before") + F.col("within")).alias("start")))
 
 
 def token_crc32(tokens: DataFrame) -> DataFrame:

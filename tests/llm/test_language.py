@@ -159,6 +159,20 @@ def test_word_ids_of_odd_texts(monkeypatch):
             assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
+def test_word_ids_of_random_strings():
+    """Letters, digits, signs, special tokens' names and characters beyond Latin-1 in any order."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    t, coder, r = Tokenizer.from_file(WORD_BPE), tokenfile.WordIds(WORD_BPE), random.Random(1)
+    some = [*"abcXYZ019.,;!?'\"-_<|>()[]{}@#$%^&*+=~`/\\ \n\t", *"ÉéßþÞ×÷ÿÀ中🙂İſﬁ²½٣ǅKª", "\u0301", "\u00a0", "\u2003", "\u0085", "\x00", "\x1f", "\u200d", "\ufeff",
+            "<|startoftext|>", "'s", "'ll"]
+    for _ in range(3000):
+        x = "".join(r.choice(some) for _ in range(r.randrange(1, 25)))
+        assert coder.encode([x.encode()], None)[0].tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
 def test_token_files_layout_and_edges(spark, tmp_path):
     import pyarrow.parquet as pq
 
