@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemart.operators.dq import _ROW_LEVEL, Check, _row_condition
@@ -41,40 +41,24 @@ def _name(c: Check) -> str:
     return c.column if c.column else c.args["name"]
 
 
-def _entries(df: DataFrame, c: Check, item, row_id, n) -> DataFrame:
-    return df.select(F.lit(c.model).alias("model"), F.lit(_name(c)).alias("column_name"), F.lit(c.test).alias("test"),
-                     item.cast("string").alias("item"), row_id.cast("string").alias("row_id"), n.cast("long").alias("n"))
+def _tag(c: Check) -> list:
+    return [F.lit(c.model).alias("model"), F.lit(_name(c)).alias("column_name"), F.lit(c.test).alias("test")]
 
 
-def _of(carried: DataFrame, c: Check) -> DataFrame:
-    return carried.filter((F.col("model") == c.model) & (F.col("column_name") == _name(c)) & (F.col("test") == c.test))
-
-
-def _summed(entries: DataFrame) -> DataFrame:
-    keys = ["model", "column_name", "test", "item", "row_id"]
-    return entries.groupBy(*keys).agg(F.sum("n").alias("n"))
-
-
-def _row_level(load: Load, cs: list[Check]) -> DataFrame:
-    """All row-level checks of one model in one pass over the load."""
+def _values(load: Load, cs: list[Check], bad: Callable[[Check], Column]) -> DataFrame:
+    """One pass over the load: an entry for each check of ``cs`` whose condition ``bad`` a row meets. The item is the column's value
+    where items are reported or looked up; a journal's entries are counted by item."""
     null = F.lit(None).cast("string")
-    if load.id_col is None:
-        one = load.new.agg(*[F.count_if(F.coalesce(_row_condition(c), F.lit(False))).alias(f"f{i}") for i, c in enumerate(cs)])
-        rows = F.array(*[F.struct(F.lit(c.model).alias("model"), F.lit(_name(c)).alias("column_name"), F.lit(c.test).alias("test"), null.alias("item"),
-                                  null.alias("row_id"), F.col(f"f{i}").cast("long").alias("n")) for i, c in enumerate(cs)])
-        return one.select(F.explode(rows).alias("e")).select("e.*").filter("n > 0")
-    hits = F.array(*[F.when(F.coalesce(_row_condition(c), F.lit(False)),
-                            F.struct(F.lit(c.model).alias("model"), F.lit(_name(c)).alias("column_name"), F.lit(c.test).alias("test")))
-                     for c in cs])
-    found = load.new.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("e"), F.col(load.id_col).cast("string").alias("row_id"))
-    return found.select("e.model", "e.column_name", "e.test", null.alias("item"), "row_id", F.lit(1).cast("long").alias("n"))
+    hits = F.array(*[F.when(bad(c), F.struct(*_tag(c), (F.col(c.column).cast("string") if c.test in ("accepted_values", "relationships") else null)
+                                             .alias("item"))) for c in cs])
+    row_id = F.col(load.id_col).cast("string") if load.id_col else null
+    found = load.new.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("e"), row_id.alias("row_id"))
+    found = found.select("e.*", "row_id", F.lit(1).cast("long").alias("n"))
+    return found if load.id_col else _summed(found)
 
 
-def _accepted(load: Load, c: Check) -> DataFrame:
-    bad = load.new.filter(F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.args["values"]))
-    if load.id_col is None:
-        return _entries(bad.groupBy(c.column).agg(F.count(F.lit(1)).alias("n")), c, F.col(c.column), F.lit(None), F.col("n"))
-    return _entries(bad, c, F.col(c.column), F.col(load.id_col), F.lit(1))
+def _summed(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("model", "column_name", "test", "item", "row_id").agg(F.sum("n").alias("n"))
 
 
 def _unique(load: Load, c: Check, carried: DataFrame) -> DataFrame:
@@ -87,46 +71,48 @@ def _unique(load: Load, c: Check, carried: DataFrame) -> DataFrame:
     if not load.first:
         seen = keys.distinct().select(*[F.col(x).alias(f"_{x}") for x in cols])
         rows = rows.join(seen, reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in cols]), "left_semi")
-    now = _entries(rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), c, text, F.lit(None), F.col("n"))
+    now = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*_tag(c), text.alias("item"), F.lit(None).cast("string").alias("row_id"), "n")
     if load.first:
         return now
-    old = _of(carried, c).join(keys.select(text.alias("item")).distinct(), "item", "left_anti").select(*now.columns)
-    return now.unionByName(old)
-
-
-def _references(load: Load, c: Check, carried: DataFrame, parent: DataFrame) -> DataFrame:
-    """References without a parent, of the load's rows and of the entries so far."""
-    rows = load.new.filter(F.col(c.column).isNotNull())
-    if load.id_col is None:
-        rows = _entries(rows.groupBy(c.column).agg(F.count(F.lit(1)).alias("n")), c, F.col(c.column), F.lit(None), F.col("n"))
-    else:
-        rows = _entries(rows, c, F.col(c.column), F.col(load.id_col), F.lit(1))
-    rows = rows if load.first else rows.unionByName(_of(carried, c))
-    keys = parent.select(F.col(c.args["field"]).cast("string").alias("item"))
+    old = carried.filter((F.col("test") == c.test) & (F.col("column_name") == _name(c)))
+    return now.unionByName(old.join(keys.select(text.alias("item")).distinct(), "item", "left_anti").select(*now.columns))
+
+
+def _orphans(load: Load, cs: list[Check], carried: DataFrame, models: Callable[[str], DataFrame]) -> DataFrame:
+    """References without a parent, of the load's rows and of the entries so far; all of a model's in one join."""
+    rows = _values(load, cs, lambda c: F.col(c.column).isNotNull())
+    if not load.first:
+        rows = rows.unionByName(carried.filter(F.col("test") == "relationships"))
+    keys = reduce(DataFrame.unionByName, [models(c.args["to"]).select(F.lit(c.column).alias("column_name"), F.col(c.args["field"]).cast("string").alias("item"))
+                                          for c in cs])
+    on = ["column_name", "item"]
     if not load.first:                                          # few of the parents' keys are asked for
-        keys = keys.join(rows.select("item").distinct(), "item", "left_semi")
-    return rows.join(keys.distinct(), "item", "left_anti").select(*rows.columns)
+        keys = keys.join(rows.select(*on).distinct(), on, "left_semi")
+    return rows.join(keys.distinct(), on, "left_anti").select(*rows.columns)
 
 
 def failing(load: Load, checks: list[Check], carried: DataFrame, models: Callable[[str], DataFrame]) -> DataFrame:
     """The entries of one model after the load. ``carried``: the entries of all models before."""
+    columns = ["model", "column_name", "test", "item", "row_id", "n"]
+    carried = carried.filter(F.col("model") == checks[0].model)
     if load.id_col is not None and not load.first:              # a replaced row's entries go
         ids = load.new.select(F.col(load.id_col).cast("string").alias("row_id")).distinct()
-        carried = carried.filter(F.col("model") == checks[0].model).join(ids, "row_id", "left_anti").select(*carried.columns)
-    parts, kept = [], []
-    row_level = [c for c in checks if c.test in _ROW_LEVEL]
-    if row_level:
-        parts.append(_row_level(load, row_level))
-    for c in checks:
+        carried = carried.join(ids, "row_id", "left_anti").select(*columns)
+    by_row = [c for c in checks if c.test in _ROW_LEVEL or c.test == "accepted_values"]
+
+    def bad(c: Check) -> Column:
         if c.test == "accepted_values":
-            parts.append(_accepted(load, c))
-        elif c.test in ("unique", "unique_combination"):
-            parts.append(_unique(load, c, carried))
-        elif c.test == "relationships":
-            parts.append(_references(load, c, carried, models(c.args["to"])))
+            return F.coalesce(~F.col(c.column).isin(*c.args["values"]), F.lit(False))
+        return F.coalesce(_row_condition(c), F.lit(False))
+
+    parts = [_values(load, by_row, bad)] if by_row else []
+    parts += [_unique(load, c, carried) for c in checks if c.test in ("unique", "unique_combination")]
+    references = [c for c in checks if c.test == "relationships"]
+    if references:
+        parts.append(_orphans(load, references, carried, models))
     if not load.first:
-        kept = [_of(carried, c) for c in checks if c.test in _ROW_LEVEL or c.test == "accepted_values"]
-    return _summed(reduce(DataFrame.unionByName, parts + kept))
+        parts.append(carried.filter(F.col("test").isin(*_ROW_LEVEL, "accepted_values")))
+    return _summed(reduce(DataFrame.unionByName, [x.select(*columns) for x in parts]))
 
 
 def carry(spark: SparkSession, loads: dict[str, Load], checks: list[Check], carried: DataFrame | None, models: Callable[[str], DataFrame],

@@ -150,38 +150,49 @@ def _values(*columns: DataFrame) -> set:
     return {r[0] for r in reduce(DataFrame.union, columns).distinct().collect()}
 
 
-def _among(df: DataFrame, keys: DataFrame, cols: list[str], how: str, lk: Lookup) -> DataFrame:
-    """``df`` joined with the written ``keys`` on ``cols``, NULL equal to NULL; ``how``: left_semi, or mark (column ``_hit``)."""
-    side = lk.side(keys).select(*[F.col(c).alias(f"_{c}") for c in cols], F.lit(True).alias("_hit"))
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols])
-    if how == "left_semi":
-        return df.join(side, cond, "left_semi")
-    return df.join(side, cond, "left").drop(*[f"_{c}" for c in cols])
+def _among(df: DataFrame, keys: DataFrame, cols: list[str], lk: Lookup) -> DataFrame:
+    """The rows of ``df`` that agree with one of the written ``keys`` in ``cols``, NULL equal to NULL."""
+    side = lk.side(keys).select(*[F.col(c).alias(f"_{c}") for c in cols])
+    return df.join(side, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]), "left_semi")
 
 
 def refreshed_subjects(before: DataFrame, changed: DataFrame, d_student, d_program, d_offering, d_subject, d_semester, lk: Lookup,
-                       p: Params) -> tuple[DataFrame, DataFrame, set]:
-    """(rows, mark counts, semesters): all rows of the semesters that ``changed`` fact rows touch. ``before``: the stored rows,
-    partitioned by semester.
+                       p: Params) -> tuple[DataFrame, set, DataFrame, set]:
+    """(rows, their semesters, mark counts, their semesters): all rows of the semesters that ``changed`` fact rows touch.
+    ``before``: the stored rows, partitioned by semester.
 
     An offering, its ranks and its averages lie in one semester; what reaches into others are the attempts of one
-    (enrollment, subject). So the semesters are those of the changed rows, of what they were before, and of their
-    siblings; the stored rows of these alone are read whole, all others by four columns. The result equals the full
-    build's rows of these semesters, if the dimensions' rows have not changed."""
+    (enrollment, subject). These are numbered again for the changed rows' pairs, from six columns. The semesters of the changed
+    rows, and of what they were before, get new statistics; those where only a sibling's number is another now get that
+    number. The stored rows of these alone are read whole. The result equals the full build's rows of these semesters, if the
+    dimensions' rows have not changed."""
     new = _materialize(subject_enriched(changed, d_student, d_program, d_offering, d_subject, d_semester, lk), "subjects_changed")
-    ids = new.select("subject_enrollment_id")
-    pair = ["program_enrollment_key", "subject_code"]
-    narrow = before.select("subject_enrollment_id", *pair, "semester_id")
+    ids = lk.side(new).select("subject_enrollment_id")
+    pair, place = ["program_enrollment_key", "subject_code"], ["subject_enrollment_id", "semester_id", "semester_start_date"]
+    narrow = before.select(*place, *pair, "attempt_number")
     old = _materialize(narrow.join(ids, "subject_enrollment_id", "left_semi"), "subjects_before")
     pairs = _materialize(new.select(*pair).unionByName(old.select(*pair)).distinct(), "subjects_touched")
-    semesters = _values(*[t.select("semester_id") for t in (new, old, _among(narrow, pairs, pair, "left_semi", lk))])
-    kept = before.filter(_in("semester_id", semesters)).join(ids, "subject_enrollment_id", "left_anti")
-    x = _materialize(_among(kept.select(*SUBJECT_BASE, "attempt_number").unionByName(new.withColumn("attempt_number", F.lit(None).cast("bigint"))),
-                            pairs, pair, "mark", lk), "subjects_of_semesters")
+    kin = _among(narrow, pairs, pair, lk).join(ids, "subject_enrollment_id", "left_anti").withColumnRenamed("attempt_number", "was")
+    kin = _materialize(kin.unionByName(new.select(*place, *pair, F.lit(None).cast("bigint").alias("was"))), "subjects_kin")
+    numbered = _materialize(attempts(kin, p), "subjects_numbered")
+    moved = numbered.filter("was <> attempt_number")
+    counted = _values(new.select("semester_id"), old.select("semester_id"))
+    others = _values(moved.select("semester_id")) - counted
+    again = lk.side(numbered).select("subject_enrollment_id", F.col("attempt_number").alias("again"))
+
+    def renumbered(rows: DataFrame) -> DataFrame:
+        x = rows.join(again, "subject_enrollment_id", "left")
+        return x.withColumn("attempt_number", F.coalesce("again", "attempt_number")).drop("again")
+
+    kept = before.filter(_in("semester_id", counted)).join(ids, "subject_enrollment_id", "left_anti")
+    x = kept.select(*SUBJECT_BASE, "attempt_number").unionByName(new.withColumn("attempt_number", F.lit(None).cast("bigint")))
+    x = _materialize(renumbered(x), "subjects_of_semesters")
     counts = _materialize(mark_counts(x), "offering_mark_counts")
-    again = attempts(x.filter("_hit").drop("_hit", "attempt_number"), p)
-    rows = x.filter("_hit is null").drop("_hit").unionByName(again)
-    return subject_rows(rows, counts, lk, p), counts, semesters
+    rows = subject_rows(x, counts, lk, p)
+    if others:
+        rest = renumbered(before.filter(_in("semester_id", others))).withColumn("is_retake", F.col("attempt_number") > 1)
+        rows = rows.unionByName(rest.select(*rows.columns))
+    return rows, counted | others, counts, counted
 
 
 # ---------------------------------------------------------------------------------------
@@ -260,25 +271,31 @@ def refreshed_results(before: DataFrame, changed: DataFrame, parents: DataFrame,
                       d_semester, lk: Lookup, p: Params) -> tuple[DataFrame, set]:
     """(rows, semesters): all rows of the semesters that ``changed`` results and changed subject enrollments (``parents``) touch.
 
-    An assessment lies in one semester; what reaches into others are the results of one subject enrollment (their order, and
-    the mark that they carry). The semesters are those of the changed results, of what they were before, and of all results
-    of these enrollments and of the changed ones; other rows are read by three columns alone."""
+    An assessment lies in one semester; what reaches into others are the results of one subject enrollment: the order in which
+    they follow each other, which is taken again for the changed ones' enrollments, and the mark that they carry. The
+    semesters are those of the changed results, of what they were before, of results that follow another score now, and of
+    the changed enrollments' results; other rows are read by six columns alone."""
     new = _materialize(result_enriched(changed, f_se, d_student, d_assessment, d_offering, d_subject, d_semester, lk), "results_changed")
-    ids, own = new.select("result_id"), ["subject_enrollment_key"]
-    narrow = before.select("result_id", *own, "semester_id")
+    ids, own = lk.side(new).select("result_id"), ["subject_enrollment_key"]
+    order = ["result_id", *own, "semester_id", "submitted_at", "score_percentage"]
+    narrow = before.select(*order, "previous_score_percentage")
     old = _materialize(narrow.join(ids, "result_id", "left_semi"), "results_before")
     keys = _materialize(new.select(*own).unionByName(old.select(*own)).distinct(), "results_touched")
     marks = _materialize(parents.select(*own, F.col("final_mark").alias("new_mark"), F.col("final_grade").alias("new_grade"),
                                         F.lit(True).alias("marked")), "marks_changed")
-    semesters = _values(*[t.select("semester_id") for t in (new, old, _among(narrow, keys, own, "left_semi", lk),
-                                                            narrow.join(lk.side(marks), own, "left_semi"))])
+    kin = _among(narrow, keys, own, lk).join(ids, "result_id", "left_anti").withColumnRenamed("previous_score_percentage", "was")
+    kin = _materialize(kin.unionByName(new.select(*order, F.lit(None).cast("double").alias("was"))), "results_kin")
+    followed = _materialize(previous_scores(kin, p), "results_followed")
+    moved = followed.filter(~F.col("was").eqNullSafe(F.col("previous_score_percentage")))
+    semesters = _values(*[t.select("semester_id") for t in (new, old, moved, narrow.join(lk.side(marks), own, "left_semi"))])
     kept = before.filter(_in("semester_id", semesters)).join(ids, "result_id", "left_anti").join(lk.side(marks), own, "left")
     kept = kept.withColumns({c: F.when(F.col("marked"), F.col(f"new_{c[6:]}")).otherwise(F.col(c)) for c in ("final_mark", "final_grade")})
-    both = kept.select(*RESULT_BASE, "previous_score_percentage").unionByName(new.withColumn("previous_score_percentage", F.lit(None).cast("double")))
-    x = _materialize(_among(both, keys, own, "mark", lk), "results_of_semesters")
-    again = previous_scores(x.filter("_hit").drop("_hit", "previous_score_percentage"), p)
-    rows = x.filter("_hit is null").drop("_hit").unionByName(again)
-    return result_rows(rows, x.select("assessment_key", "raw_score", "score_percentage"), lk, p), semesters
+    x = kept.select(*RESULT_BASE, "previous_score_percentage").unionByName(new.withColumn("previous_score_percentage", F.lit(None).cast("double")))
+    again = lk.side(followed).select("result_id", F.col("previous_score_percentage").alias("again"), F.lit(True).alias("_hit"))
+    x = x.join(again, "result_id", "left").withColumn("previous_score_percentage", F.when(F.col("_hit"), F.col("again"))
+                                                      .otherwise(F.col("previous_score_percentage"))).drop("again", "_hit")
+    x = _materialize(x, "results_of_semesters")
+    return result_rows(x, x.select("assessment_key", "raw_score", "score_percentage"), lk, p), semesters
 
 
 # ---------------------------------------------------------------------------------------

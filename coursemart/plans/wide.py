@@ -89,8 +89,9 @@ class Wide:
             lake.rebuild(rows, "obt", "subject_enrollment_rows", [SEMESTER])
             lake.rebuild(counts, "obt", "offering_marks", [SEMESTER])
         elif self.now[facts[0]].replace(" ", "T").replace(":", ".") != made[facts[0]]:
-            rows, counts, semesters = obt.refreshed_subjects(lake.table("obt", "subject_enrollment_rows"), self._changed(facts[0], made), *dims, w.lk, w.p)
-            lake.overwrite_partitions(counts, "obt", "offering_marks", SEMESTER, semesters)
+            rows, semesters, counts, counted = obt.refreshed_subjects(lake.table("obt", "subject_enrollment_rows"), self._changed(facts[0], made),
+                                                                      *dims, w.lk, w.p)
+            lake.overwrite_partitions(counts, "obt", "offering_marks", SEMESTER, counted)
             lake.overwrite_partitions(rows, "obt", "subject_enrollment_rows", SEMESTER, semesters)
         lake.rebuild(obt.coordinator_stats(lake.table("obt", "offering_marks"), w.p), "obt", "coordinator_marks")
         self._note("subject_enrollment_rows", facts)
