@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursemart.operators.dq import _ROW_LEVEL, Check, _row_condition
+from coursemart.operators.dq import _ROW_LEVEL, Check, _row_condition, dq_relationships
 from coursemart.session import scratch_path
 
 ENTRY = "model string, column_name string, test string, item string, row_id string, n long"
@@ -79,15 +79,22 @@ def _unique(load: Load, c: Check, carried: DataFrame) -> DataFrame:
 
 
 def _orphans(load: Load, cs: list[Check], carried: DataFrame, models: Callable[[str], DataFrame]) -> DataFrame:
-    """References without a parent, of the load's rows and of the entries so far; all of a model's in one join."""
+    """References without a parent, of the load's rows and of the entries so far; all of a model's in one join. Where all
+    rows are the load, one anti join for each on the keys as they are, which a small parent answers by broadcast."""
+    if load.first:
+        row_id = F.col(load.id_col).cast("string") if load.id_col else F.lit(None).cast("string")
+        found = []
+        for c in cs:
+            child = load.rows.select(*dict.fromkeys([c.column, *([load.id_col] if load.id_col else [])]))
+            lost = dq_relationships(child, c.column, models(c.args["to"]), c.args["field"])
+            found.append(lost.select(*_tag(c), F.col(c.column).cast("string").alias("item"), row_id.alias("row_id"), F.lit(1).cast("long").alias("n")))
+        return reduce(DataFrame.unionByName, found)
     rows = _values(load, cs, lambda c: F.col(c.column).isNotNull())
-    if not load.first:
-        rows = rows.unionByName(carried.filter(F.col("test") == "relationships"))
+    rows = rows.unionByName(carried.filter(F.col("test") == "relationships"))
     keys = reduce(DataFrame.unionByName, [models(c.args["to"]).select(F.lit(c.column).alias("column_name"), F.col(c.args["field"]).cast("string").alias("item"))
                                           for c in cs])
     on = ["column_name", "item"]
-    if not load.first:                                          # few of the parents' keys are asked for
-        keys = keys.join(rows.select(*on).distinct(), on, "left_semi")
+    keys = keys.join(rows.select(*on).distinct(), on, "left_semi")  # few of the parents' keys are asked for
     return rows.join(keys.distinct(), on, "left_anti").select(*rows.columns)
 
 

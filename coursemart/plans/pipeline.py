@@ -15,6 +15,7 @@ A run that fails leaves tables that serve readers and can be started again.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,9 +119,14 @@ def check_quality(lake: Lake, staged: dict[str, DataFrame], w: Warehouse, wide:
         new = w.table(f).filter(F.col("_loaded_at") > ts_lit(since[f])) if carried else w.table(f)
         loads[f] = dq_carry.Load(w.table(f), new, key, not carried)
     large = [c for c in dq.ALL_CHECKS if c.model in loads]
-    entries = lake.rebuild(dq_carry.carry(lake.spark, loads, large, lake.table("dq", "failures") if carried else None, models), "dq", "failures")
+    before = lake.table("dq", "failures") if carried else None
+    for name in {c.args["to"] for c in dq.ALL_CHECKS if c.test == "relationships"}:
+        models(name)                                            # wired once, before several threads ask for them
+    with ThreadPoolExecutor(max_workers=2) as pool:             # the small models beside the large ones
+        large_entries = pool.submit(dq_carry.carry, lake.spark, loads, large, before, models)
+        small = pool.submit(dq.run_suite, models, [c for c in dq.ALL_CHECKS if c.model not in loads], w.lk).result()
+        entries = lake.rebuild(large_entries.result(), "dq", "failures")
     lake.note_inputs("dq", "failures", {**now, "dims": wide.dims_now})
-    small = dq.run_suite(models, [c for c in dq.ALL_CHECKS if c.model not in loads], lookup=w.lk)
     return lake.rebuild(small.unionByName(dq_carry.report(entries, large)), "dq", "report")
 
 

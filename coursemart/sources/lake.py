@@ -40,15 +40,21 @@ def database(layer: str, prefix: str = "") -> str:
     return prefix + layer
 
 
+DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+#: a task keeps that many partitions' files open instead of sorting its rows by partition first
+CONCURRENT_WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "24"}
+
+
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(conf)
-    spark.conf.set(conf, "dynamic")
+def _set(spark: SparkSession, conf: dict[str, str]):
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(conf, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 class Lake:
@@ -138,7 +144,8 @@ class Lake:
         folder = f"{self._home(layer, table)}/{self._next(layer, table)}"
         obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
         writer = df.observe(obs, F.count(F.lit(1)).alias("n")).write
-        (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+        with _set(self.spark, CONCURRENT_WRITERS):
+            (writer.partitionBy(*parts) if parts else writer).parquet(folder)
         self._register(layer, table, folder, df.schema, parts)
         self._forget_old(layer, table)
         out = self.table(layer, table)
@@ -155,7 +162,7 @@ class Lake:
         name, obs = self.name(layer, table), Observation(f"parts_{uuid.uuid4().hex[:12]}")
         rows = df.select(*self.spark.table(name).columns).observe(obs, F.collect_set(F.col(column).cast("string")).alias("held"),
                                                                   F.count(F.when(F.col(column).isNull(), 1)).alias("nulls"))
-        with _dynamic_overwrite(self.spark):
+        with _set(self.spark, {**DYNAMIC, **CONCURRENT_WRITERS}):
             rows.write.mode("overwrite").insertInto(name)
         held = {*obs.get["held"], *([None] if obs.get["nulls"] else [])}
         for v in {None if v is None else str(v) for v in values} - held:  # nothing is left of it
@@ -211,7 +218,7 @@ class Lake:
         obs = Observation(f"buckets_{uuid.uuid4().hex[:12]}")
         loaded = F.max("_loaded_at") if "_loaded_at" in rows.columns else F.max(F.lit(None).cast("timestamp_ntz"))
         rows = rows.observe(obs, F.collect_set(BUCKET).alias("buckets"), loaded.cast("string").alias("loaded"))
-        with _dynamic_overwrite(self.spark):
+        with _set(self.spark, DYNAMIC):
             rows.repartition(max(1, touched), BUCKET).write.mode("overwrite").insertInto(name)
         return set(obs.get["buckets"]), obs.get["loaded"]
 
