@@ -85,3 +85,9 @@ def test_scans_of_checked_models():
                   dq.Check("fact_subject_enrollment", "x", "unique"), dq.Check("fact_subject_enrollment", "y", "unique"),
                   dq.Check("a", "k", "relationships", {"to": "fact_subject_enrollment", "field": "k"})])
     assert n == {"fact_assessment_result": 1, "fact_subject_enrollment": 3, "a": 1}
+
+
+def test_own_lake_has_buckets_for_its_rows(spark):
+    from coursemart.plans import catalog
+    assert catalog.own_lake(spark, "few", 10).buckets == 8
+    assert catalog.own_lake(spark, "many", 200 * catalog.BUCKET_ROWS + 1).buckets == 201
