@@ -8,7 +8,7 @@ whose axes lie nearest to it (multiprobe), and what it finds is ranked by the ex
 
 Tables, axes, hashes and probes come from a bounded sample: the exact neighbours of about SAMPLE_QUERIES queries, and of the
 SAMPLE_HEAVY vectors that most rows ask with, among all rows, and about SAMPLE_ROWS rows for what a probe costs. Of the plans whose recall on that sample reaches the target, the
-cheapest at the whole table's row counts is taken. A plan probes at most a quarter of a table's buckets; vectors
+cheapest at the whole table's row counts is taken, the k rows that each block met returns counted among its costs. A plan probes at most a quarter of a table's buckets; vectors
 without any structure (uniform ones, whose neighbours are hardly nearer than the rest) need more tables, but
 even buckets dealt at random would reach the target in a dozen. All rows are indexed, all queries answered; a
 bucket of many rows is compared in blocks over tasks.
@@ -37,7 +37,10 @@ SAMPLE_ROWS = 1024
 MAX_TABLES = 32
 MAX_PROBES = 512
 STEPS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384)   # probes tried
-CELL = 4096                  # rows of a block of one bucket
+PLANNED_CELL = 16384         # rows of a block of one bucket, each of which returns a query's k rows
+CELL = PLANNED_CELL          # blocks cut smaller than planned return more rows and find the same
+CELL_VALUES = 1 << 20        # and their components: wider vectors come in smaller blocks
+PRODUCTS = 1 << 22           # inner products held at a time
 QUERIES = 1024               # queries of a block of one bucket
 ROW_COST, PAIR_COST = 200.0, 1.0   # a copy of a vector through a shuffle against one inner product
 
@@ -142,8 +145,19 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def cell_rows(dim: int, most: int) -> int:
+    """Rows of a block."""
+    return max(1, min(most, CELL_VALUES // max(1, dim)))
+
+
 def nearest(q: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, score) of each query's ``k`` rows of largest inner product, ties by smaller ``low``."""
+    step = max(1, PRODUCTS // max(1, len(x)))
+    parts = [(s, _nearest(q[s:s + step], x, low, k)) for s in range(0, max(1, len(q)), step)]
+    return tuple(np.concatenate(a) for a in zip(*[(i + s, j, score) for s, (i, j, score) in parts], strict=True))
+
+
+def _nearest(q: np.ndarray, x: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     with np.errstate(over="ignore", invalid="ignore"):
         s = q @ x.T
     if s.shape[1] > k:
@@ -212,6 +226,7 @@ def make_plan(classes: DataFrame, queries: DataFrame, dim: int, rows: int, asked
     grids = [sorted({t for t in STEPS if t < p.probes} | {p.probes}) for p in plans]
     first = [np.full(len(ut), 1 << 30) for _ in plans]              # smallest probe that finds the neighbour, over the tables so far
     share = [np.zeros(len(g)) for g in grids]                       # of all rows that the probes read, summed over tables
+    made = [np.zeros(len(g)) for g in grids]                        # rows that a query's blocks return, summed over tables
     best, price = None, math.inf
     for table in range(MAX_TABLES):
         yq, yx, yt = ([rotate(u, seed, table, h) for h in range(3)] for u in (uq, ux, ut))
@@ -222,11 +237,14 @@ def make_plan(classes: DataFrame, queries: DataFrame, dim: int, rows: int, asked
             hit = order[who] == bt[:, None]
             first[c] = np.minimum(first[c], np.where(hit.any(axis=1), hit.argmax(axis=1), 1 << 30))
             rows_in = np.bincount(bx, minlength=p.buckets) / max(1, len(bx)) if p.buckets <= 1 << 20 else np.full(1, 1 / p.buckets)
-            read = np.cumsum(rows_in[order if len(rows_in) > 1 else np.zeros_like(order)], axis=1).mean(axis=0)
+            at = order if len(rows_in) > 1 else np.zeros_like(order)
+            read = np.cumsum(rows_in[at], axis=1).mean(axis=0)
+            back = np.cumsum((np.minimum(k, rows_in * rows) * np.ceil(np.maximum(1.0, rows_in * rows) / cell_rows(dim, PLANNED_CELL)))[at], axis=1).mean(axis=0)
             for g, t in enumerate(grids[c]):
                 share[c][g] += read[t - 1]
+                made[c][g] += back[t - 1]
                 got = min(float((first[c][m] < t).mean()) for m in parts)
-                cost = ROW_COST * (table + 1) * (rows + asked * t) + PAIR_COST * asked * rows * share[c][g]
+                cost = ROW_COST * ((table + 1) * (rows + asked * t) + asked * made[c][g]) + PAIR_COST * asked * rows * share[c][g]
                 better = min(got, recall) - (min(best.recall, recall) if best else -1.0)
                 if better > 0 or (better == 0 and cost < price):
                     best, price = Plan(table + 1, p.axes, p.hashes, t, dim, scale, seed, got), cost
@@ -266,7 +284,7 @@ def search(classes: DataFrame, queries: DataFrame, plan: Plan, rows: int, asked:
         return rows_as_units(x, plan.scale)
 
     # hashed once without their vectors, to know which cells need blocks
-    held = cut(placed(classes, units, bucket_of, []).groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    held = cut(placed(classes, units, bucket_of, []).groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / cell_rows(plan.dim, CELL)).cast("int").alias("parts"))
                .filter("parts > 1"), "full-cells")
     want = cut(placed(queries, queries_as_units, probes_of, []).groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("asks"))
                .filter("asks > 1"), "asked-cells")

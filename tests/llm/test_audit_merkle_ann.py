@@ -1,6 +1,7 @@
 """Operators 11 to 13: odd tables against plain versions, forced blocks and layers, recall against brute force."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -217,6 +218,22 @@ def test_blocks_of_a_bucket_change_nothing(spark, monkeypatch):
     assert found_of(ann.nearest_neighbours(vectors(spark, rows), F.col("vec_id") % 5 == 0)) == whole
 
 
+def test_blocks_that_return_rows_stay_few(spark):
+    """Each block that a query meets returns k rows: vectors without structure must not be dealt over ever more of them."""
+    x = np.random.default_rng(8).normal(size=(10000, 64))
+    rows = spark.createDataFrame([(i, i, v) for i, v in enumerate(x.tolist())], "node long, low long, v array<double>").withColumn("asks", F.lit(1))
+    plan = ann.make_plan(rows, rows.filter("node % 20 = 0"), 64, 10000, 500, float(ann.norms(x).max()) * (1 + 1e-12), 21, ann.RECALL, 23)
+    assert plan.recall >= ann.RECALL and plan.tables * plan.probes * math.ceil(10000 / plan.buckets / ann.CELL) <= 12
+
+
+def test_products_in_steps_change_nothing(monkeypatch):
+    g = np.random.default_rng(4)
+    q, x, low = g.normal(size=(50, 8)), g.normal(size=(300, 8)), np.arange(300)
+    whole = ann.nearest(q, x, low, 5)
+    monkeypatch.setattr(ann, "PRODUCTS", 2000)
+    assert all((a == b).all() for a, b in zip(whole, ann.nearest(q, x, low, 5), strict=True))
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [1.0, 2.0]), (1, [3.0, -1.0]), (2, None), (40, None), (3, [0.0, 0.0]), (60, [0.0, -0.0]),
             (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (80, [1.0, 1.0, 1.0]), (8, [])]
