@@ -91,3 +91,45 @@ def test_own_lake_has_buckets_for_its_rows(spark):
     from coursemart.plans import catalog
     assert catalog.own_lake(spark, "few", 10).buckets == 8
     assert catalog.own_lake(spark, "many", 200 * catalog.BUCKET_ROWS + 1).buckets == 201
+
+
+def test_results_are_not_moved_again_for_their_parent_and_their_order(spark):
+    """Latest versions, parents and orders of kept lines and results: read in buckets of the subject enrollment."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse.from_driver(spark, SF_SMALL, ORACLE_PARAMS, keep=True)
+        latest = facts.dedup_latest(w.stg["subject_enrollments"], "subject_enrollment_id")
+        wide = w.obt_assessment_result().select("result_id", "mark_trend_within_subject", "z_score_within_assessment")
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (latest, wide)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning(se_id" not in plans[0] and "Exchange hashpartitioning(subject_enrollment" not in plans[0]
+    assert "md5" not in plans[1]  # no key that is not asked for
+    moved = [ln for ln in plans[1].splitlines() if "Exchange hashpartitioning(subject_enrollment" in ln]
+    assert len(moved) == 1, plans[1]  # the enrollments alone, to the results' buckets
+
+
+def test_results_without_their_parent_are_followed_by_key(spark):
+    """Some enrollments miss: their results are one group in the order of submission, kept or not."""
+    def wide(keep):
+        w = Warehouse.from_driver(spark, SF_SMALL, ORACLE_PARAMS, keep=keep)
+        w.put("fact_subject_enrollment", w.fact_subject_enrollment().filter(F.col("subject_enrollment_id") % 3 != 0))
+        exact = ["result_key", "result_id", "student_id", "final_mark", "score_percentage", "mark_trend_within_subject"]
+        return w.obt_assessment_result().select(*exact)
+    same(wide(True), wide(False))
+    assert not wide(True).filter("final_mark is null").isEmpty()
+
+
+def test_few_repeated_ids_are_settled_apart(spark):
+    rows = [(i, i % 5, 1) for i in range(50)] + [(7, 3, 2), (7, 9, 3), (8, 1, 0), (None, 1, 1), (None, 2, 2)]
+    j = spark.createDataFrame(rows, "id long, v long, _ingested_at long")
+    want = facts.dedup_latest(j, "id")
+    assert want.filter("id = 7").first()["v"] == 9 and want.filter("id is null").count() == 1
+    few, many = Lookup(ORACLE_PARAMS), Lookup(ORACLE_PARAMS.with_(broadcast_max_bytes=1))
+    same(facts.dedup_few(j, "id", few), want)
+    same(facts.dedup_few(j, "id", many), want)
+    once = j.filter("id > 8")
+    p = plan(facts.dedup_few(once, "id", few))
+    assert "Exchange" not in p and "Window" not in p
+    same(facts.dedup_few(once, "id", few), once)
