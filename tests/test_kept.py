@@ -133,3 +133,22 @@ def test_few_repeated_ids_are_settled_apart(spark):
     p = plan(facts.dedup_few(once, "id", few))
     assert "Exchange" not in p and "Window" not in p
     same(facts.dedup_few(once, "id", few), once)
+
+
+def test_relationships_count_values_before_they_move_them(spark):
+    """Rows of a value are counted in their task: what is moved to a large parent is values, not rows; same report."""
+    child = spark.createDataFrame([(i % 7, i % 3) for i in range(400)] + [(None, 1), (99, None)], "k long, s long").coalesce(1)
+    parents = {"large": spark.range(5).withColumnRenamed("id", "k"), "small": spark.range(2).withColumnRenamed("id", "s"), "child": child}
+    cs = [dq.Check("child", "k", "relationships", {"to": "large", "field": "k"}), dq.Check("child", "s", "relationships", {"to": "small", "field": "s"})]
+    want = {("k", 400 - sum(i % 7 < 5 for i in range(400)) + 1), ("s", sum(i % 3 == 2 for i in range(400)))}
+    for lk in (None, Lookup(ORACLE_PARAMS), Lookup(ORACLE_PARAMS.with_(broadcast_max_bytes=1))):
+        rows = dq._relationship_checks(child, cs, parents.get, lk)
+        assert {(r["column_name"], r["failures"]) for r in rows.collect()} == want
+    p = plan(dq._relationship_checks(child, cs[:1], parents.get, None))
+    assert "partial_count" in p and "LeftAnti" in p and "LeftOuter" not in p
+
+
+def test_columns_that_the_suite_reads():
+    read = dq.columns(dq.ALL_CHECKS, "fact_assessment_result")
+    assert read == ["assessment_key", "raw_score", "result_key", "subject_enrollment_key"]
+    assert dq.columns(dq.CONTRACT_CHECKS, "src_assessment_results") == ["assessment_id", "raw_score", "result_id", "subject_enrollment_id"]
