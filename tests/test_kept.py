@@ -152,3 +152,11 @@ def test_columns_that_the_suite_reads():
     read = dq.columns(dq.ALL_CHECKS, "fact_assessment_result")
     assert read == ["assessment_key", "raw_score", "result_key", "subject_enrollment_key"]
     assert dq.columns(dq.CONTRACT_CHECKS, "src_assessment_results") == ["assessment_id", "raw_score", "result_id", "subject_enrollment_id"]
+
+
+def test_ids_are_not_looked_for_where_results_may_go_unread(spark, monkeypatch):
+    """The dashboards' table asks for results lazily: a dashboard that needs none runs nothing over them."""
+    def never(*a):
+        raise AssertionError("looked for")
+    monkeypatch.setattr(facts, "dedup_few", never)
+    Warehouse.from_driver(spark, SF_SMALL, ORACLE_PARAMS, keep=True).obt_program_enrollment()
