@@ -2,10 +2,11 @@
 
 import contextlib
 import io
+from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from fixtures_small import SF_SMALL
+from fixtures_small import SF_SMALL, base_rows, d, make_staged, ts
 
 from coursemart.operators import dq, facts, obt
 from coursemart.operators.joins import Lookup
@@ -160,3 +161,35 @@ def test_ids_are_not_looked_for_where_results_may_go_unread(spark, monkeypatch):
         raise AssertionError("looked for")
     monkeypatch.setattr(facts, "dedup_few", never)
     Warehouse.from_driver(spark, SF_SMALL, ORACLE_PARAMS, keep=True).obt_program_enrollment()
+
+
+def test_repeated_result_ids_are_read_from_what_was_written(spark, monkeypatch):
+    """The journal of results is derived once where each id comes once; where one does not, the latest versions are kept."""
+    looked = []
+    few = facts.dedup_few
+    monkeypatch.setattr(facts, "dedup_few", lambda *a: looked.append(1) or few(*a))
+    t0, t1, t2 = ts("2021-01-01 00:00:00"), ts("2021-01-02 00:00:00"), ts("2021-01-03 00:00:00")
+    day = [ts(f"2020-03-0{i} 00:00:00") for i in range(1, 5)]
+    rows = {**base_rows(), "program_enrollments": [(1, "U1", "P1", d("2020-01-15"), None, "Active", None, t0, t0)],
+            "subject_enrollments": [(i, 1, 10, "Completed", D("60"), None, t0, t0) for i in (11, 12)]}
+    once = [(1, 11, 100, D("10.00"), day[0], t0, t0), (2, 11, 101, D("14.00"), day[1], t0, t0), (3, 12, 100, D("5.00"), day[0], t0, t0),
+            (None, 12, 101, D("2.00"), day[1], t0, t0)]
+    # 2: a later version with another score; 3: the last one under another enrollment; a second row without an id
+    later = [(2, 11, 101, D("8.00"), day[1], t1, t1), (3, 12, 100, D("9.00"), day[0], t1, t1), (3, 11, 100, D("7.00"), day[2], t2, t2),
+             (None, 12, 101, D("4.00"), day[3], t1, t1)]
+
+    def wide(results):
+        w = Warehouse(spark, make_staged(spark, {**rows, "assessment_results": results}), ORACLE_PARAMS, keep_facts=True)
+        return {(r[0], float(r[1]), r[2]) for r in w.obt_assessment_result().select("result_id", "raw_score", "mark_trend_within_subject").collect()}
+
+    assert wide(once) == {(1, 10.0, "First"), (2, 14.0, "Improving"), (3, 5.0, "First"), (None, 2.0, "Declining")}
+    assert not looked
+    assert wide(once + later) == {(1, 10.0, "First"), (2, 8.0, "Declining"), (3, 7.0, "Declining"), (None, 4.0, "First")}
+    assert looked
+
+
+def test_each_once(spark):
+    ids = spark.createDataFrame([(1,), (2,), (None,)], "id long")
+    assert facts.each_once(ids, "id", 3) and facts.each_once(ids.filter("id > 9"), "id", 3)
+    assert not facts.each_once(ids.union(ids.filter("id = 2")), "id", 3)
+    assert not facts.each_once(ids.union(ids.filter("id is null")), "id", 3)
